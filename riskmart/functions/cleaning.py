@@ -23,6 +23,12 @@ def na_to_null(column: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
     return F.when(~column.isin(list(tokens)), column)
 
 
+def na_to_null_sql(column: str, tokens: Iterable[str] = NA_TOKENS) -> str:
+    """The same as a SQL expression, quick to build for tables with many columns."""
+    listed = ", ".join(f"'{token}'" for token in tokens)
+    return f"CASE WHEN `{column}` NOT IN ({listed}) THEN `{column}` END AS `{column}`"
+
+
 def sentinel_to_null(column: Column, *sentinels: str) -> Column:
     """Null when the value is one of ``sentinels``."""
     return F.when(~column.isin(list(sentinels)), column)

@@ -31,31 +31,46 @@ def bin_names(n_bins: int, prefix: str = "b") -> list[str]:
     return [f"{prefix}{i}" for i in range(n_bins)]
 
 
-def bin_counts(score: Column, n_bins: int, clip: bool = True, prefix: str = "b") -> list[Column]:
-    """One conditional count per bin, so empty bins count 0 without a join.
+def bin_index(score: Column, n_bins: int, clip: bool = True) -> Column:
+    """Equal-width bin of a score, null for a missing score.
 
-    ``clip`` moves values outside [0, 1] to the end bins; otherwise they are left out.
+    ``clip`` moves values outside [0, 1] to the end bins; otherwise they have no bin.
     """
     usable = score.isNotNull() & ~F.isnan(score)
     if not clip:
         usable = usable & (score >= 0) & (score <= 1)
-    index = F.when(usable, unit_bin(score, n_bins))
+    return F.when(usable, unit_bin(score, n_bins))
+
+
+def bin_counts(index: str, n_bins: int) -> list[Column]:
+    """One conditional count per bin, so empty bins count 0 without a join."""
     return [
-        F.count(F.when(index == i, 1)).alias(name) for i, name in enumerate(bin_names(n_bins, prefix))
+        F.count(F.when(F.col(index) == i, 1)).alias(name) for i, name in enumerate(bin_names(n_bins))
     ]
 
 
 def score_profile(
     predictions: DataFrame, by: Sequence[str] = ("snapshot_date",), score: str = "score", n_bins: int = 10
 ) -> DataFrame:
-    """Row count, score mean, population deviation and histogram per cohort, in one aggregate."""
+    """Row count, score mean, population deviation and ``bins`` per cohort, in one aggregate."""
     clean = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
-    return predictions.groupBy(*by).agg(
+    binned = predictions.select(*by, clean.alias("_score")).withColumn(
+        "_bin", bin_index(F.col("_score"), n_bins)
+    )
+    counted = binned.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_predictions"),
-        F.count(clean).alias("n_scores"),
-        F.avg(clean).alias("mean_score"),
-        F.stddev_pop(clean).alias("std_score"),
-        *bin_counts(clean, n_bins),
+        F.count("_score").alias("n_scores"),
+        F.avg("_score").alias("mean_score"),
+        F.stddev_pop("_score").alias("std_score"),
+        *bin_counts("_bin", n_bins),
+    )
+    return counted.select(
+        *by,
+        "n_predictions",
+        "n_scores",
+        "mean_score",
+        "std_score",
+        F.array(*bin_names(n_bins)).alias("bins"),
     )
 
 
@@ -66,59 +81,56 @@ def psi_term(expected: Column, actual: Column) -> Column:
     return (a - e) * F.log(a / e)
 
 
-def psi(expected: Sequence[Column], actual: Sequence[Column]) -> Column:
-    """Population stability index of two lists of bin counts."""
+def array_total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("bigint"), lambda total, n: total + n)
 
-    def shares(counts):
-        total = F.greatest(reduce(add, counts), F.lit(1)).cast("double")
-        return [c.cast("double") / total for c in counts]
 
-    return reduce(add, [psi_term(e, a) for e, a in zip(shares(expected), shares(actual))])
+def array_shares(counts: Column) -> Column:
+    """Counts divided by their sum; all 0 when there are none."""
+    total = F.greatest(array_total(counts), F.lit(1)).cast("double")
+    return F.transform(counts, lambda n: n.cast("double") / total)
 
 
-def rolling_psi(
-    profile: DataFrame,
+def psi(expected: Column, actual: Column) -> Column:
+    """Population stability index of two arrays of bin counts; null when nothing is expected."""
+    terms = F.zip_with(array_shares(expected), array_shares(actual), psi_term)
+    value = F.aggregate(terms, F.lit(0.0), lambda total, t: total + t)
+    return F.when(array_total(expected) > 0, value)
+
+
+def previous_bins(
     order: str = "snapshot_date",
     by: Sequence[str] = (),
     window: int = ROLLING_COHORTS,
     n_bins: int = 10,
 ) -> Column:
-    """PSI of a cohort against the pooled scores of the previous ``window`` cohorts.
+    """Pooled bin counts of the previous ``window`` cohorts of a per-cohort profile.
 
-    Works on the per-cohort profile: pooling raw scores is adding up their bin counts.
-    Null for the first cohort and when the previous ones have no scores.
+    Pooling raw scores is adding up their bin counts, so raw scores are never read again.
+    The window runs over one row per cohort.
     """
     previous = Window.partitionBy(*by).orderBy(order).rowsBetween(-window, -1)
-    names = bin_names(n_bins)
-    expected = [F.coalesce(F.sum(n).over(previous), F.lit(0)) for n in names]
-    actual = [F.col(n) for n in names]
-    return F.when(reduce(add, expected) > 0, psi(expected, actual))
-
-
-def sample_bin_counts(sample: DataFrame, value: str, n_bins: int = 10) -> DataFrame:
-    """One row with the bin counts of a small reference sample as an array."""
-    counted = sample.agg(*bin_counts(F.col(value), n_bins, prefix="r"))
-    return counted.select(F.array(*bin_names(n_bins, "r")).alias("counts"))
+    return F.array(
+        *[F.coalesce(F.sum(F.col("bins")[i]).over(previous), F.lit(0)) for i in range(n_bins)]
+    )
 
 
-def psi_against(reference_counts: Column, n_bins: int = 10) -> Column:
-    """PSI of a cohort's bins against an array of reference bin counts; null without a reference."""
-    expected = [F.element_at(reference_counts, i + 1) for i in range(n_bins)]
-    value = psi(expected, [F.col(n) for n in bin_names(n_bins)])
-    return F.when(reduce(add, expected) > 0, value)
+def sample_bins(sample: DataFrame, value: str, n_bins: int = 10) -> DataFrame:
+    """One row with the bin counts of a small reference sample."""
+    binned = sample.select(bin_index(F.col(value), n_bins).alias("_bin"))
+    return binned.agg(*bin_counts("_bin", n_bins)).select(F.array(*bin_names(n_bins)).alias("bins"))
 
 
-def edge_index(value: Column, edges: Column, n_edges: int) -> Column:
+def edge_index(value: Column, edges: Column, top_bin: Column, n_edges: int) -> Column:
     """Bin of ``value`` among ascending ``edges`` that may repeat; null outside them.
 
     The bin is named by how many edges lie at or below the value, so repeated edges act
-    as one. The last edge belongs to the bin below it.
+    as one. The last edge belongs to ``top_bin``, the bin below it.
     """
-    items = [F.element_at(edges, i + 1) for i in range(n_edges)]
+    items = [edges[i] for i in range(n_edges)]
     at_or_below = reduce(add, [F.when(value >= e, 1).otherwise(0) for e in items])
-    below_top = reduce(add, [F.when(e < items[-1], 1).otherwise(0) for e in items])
     inside = value.isNotNull() & (value >= items[0]) & (value <= items[-1])
-    return F.when(inside, F.least(at_or_below, below_top))
+    return F.when(inside, F.least(at_or_below, top_bin))
 
 
 def decile_edges(features: DataFrame) -> DataFrame:
@@ -136,15 +148,19 @@ def feature_bins(
     Rows are counted right after the unpivot, before any shuffle. ``n`` counts every value,
     also those outside the edges. ``edges`` has one row per feature, so it is broadcast.
     """
+    below_last = F.size(F.filter("edges", lambda e: e < F.element_at("edges", -1)))
     small = edges.select(
-        "feature", "edges", (F.size(F.array_distinct("edges")) - 1).alias("n_bins")
+        "feature",
+        "edges",
+        (F.size(F.array_distinct("edges")) - 1).alias("n_bins"),
+        below_last.alias("_top_bin"),
     )
     placed = features.join(F.broadcast(small), "feature").select(
         *by,
         "feature",
         "n_bins",
         "value",
-        edge_index(F.col("value"), F.col("edges"), n_edges).alias("_bin"),
+        edge_index(F.col("value"), F.col("edges"), F.col("_top_bin"), n_edges).alias("_bin"),
     )
     return placed.groupBy(*by, "feature", "n_bins").agg(
         F.count("value").alias("n"),

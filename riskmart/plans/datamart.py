@@ -23,13 +23,9 @@ from riskmart.schemas import (
 
 def normalise_text(raw: DataFrame) -> DataFrame:
     """Bronze of an all-text extract: missing-value tokens become null."""
-    return raw.select(
-        *[
-            cleaning.na_to_null(F.col(f.name)).alias(f.name)
-            if f.dataType.typeName() == "string"
-            else F.col(f.name)
-            for f in raw.schema.fields
-        ]
+    text = [name for name, dtype in raw.dtypes if dtype == "string"]
+    return raw.selectExpr(
+        *[cleaning.na_to_null_sql(c) if c in text else f"`{c}`" for c in raw.columns]
     )
 
 

@@ -13,11 +13,12 @@ from riskmart.operators.ranking import join_predictions, ranking_metrics
 from riskmart.operators.recent import present
 from riskmart.operators.stability import (
     bin_counts,
+    bin_index,
     bin_names,
     covariate_shift,
-    psi_against,
-    rolling_psi,
-    sample_bin_counts,
+    previous_bins,
+    psi,
+    sample_bins,
     score_profile,
     unit_edges,
 )
@@ -74,18 +75,22 @@ def score_stability(
 ) -> DataFrame:
     """Rolling PSI, its flag and the PSI against a reference sample of training scores."""
     reference = (
-        psi_against(sample_bin_counts(training_scores, training_score).scalar())
+        sample_bins(training_scores, training_score).scalar()
         if training_scores is not None
-        else F.lit(None).cast("double")
+        else F.lit(None).cast("array<bigint>")
+    )
+    return (
+        profile.withColumns({"_previous": previous_bins(), "_reference": reference})
+        .select(
+            MONTH,
+            "n_predictions",
+            "mean_score",
+            "std_score",
+            psi(F.col("_previous"), F.col("bins")).alias("psi_score"),
+            psi(F.col("_reference"), F.col("bins")).alias("psi_vs_training"),
+        )
+        .withColumn("psi_flag", stability_flag(F.col("psi_score")))
     )
-    return profile.select(
-        MONTH,
-        "n_predictions",
-        "mean_score",
-        "std_score",
-        rolling_psi(profile).alias("psi_score"),
-        reference.alias("psi_vs_training"),
-    ).withColumn("psi_flag", stability_flag(F.col("psi_score")))
 
 
 def csi_table(feature_store: DataFrame, edges: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -205,7 +210,8 @@ def recent_cohorts(per_month: DataFrame, n: int, order: str = MONTH) -> DataFram
 
 def score_histogram(predictions: DataFrame, n_bins: int = 20, cohorts: int = 12) -> DataFrame:
     """Score density per cohort, last ``cohorts`` cohorts; scores outside [0, 1] are left out."""
-    counted = predictions.groupBy(MONTH).agg(*bin_counts(F.col("score"), n_bins, clip=False))
+    binned = predictions.select(MONTH, bin_index(F.col("score"), n_bins, clip=False).alias("_bin"))
+    counted = binned.groupBy(MONTH).agg(*bin_counts("_bin", n_bins))
     recent = recent_cohorts(counted, cohorts)
     edges = unit_edges(n_bins)
     bins = F.array(
