@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.operators.running import bucket_offsets, order_bucket
@@ -44,18 +44,21 @@ def exact_percentiles(
         groups = ["_all"]
         bucketed = bucketed.withColumn("_all", F.lit(0))
 
+    def ranks(n: Column) -> Column:
+        positions = F.transform(spark_probabilities, lambda p: p * (n - 1))
+        lower = F.transform(positions, lambda x: F.floor(x).cast("bigint"))
+        upper = F.transform(positions, lambda x: F.ceil(x).cast("bigint"))
+        return F.array_distinct(F.concat(lower, upper))
+
+    def ranks_within(n: Column, start: Column, size: Column) -> Column:
+        return F.filter(ranks(n), lambda r: (r >= start) & (r < start + size))
+
     counts = bucketed.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("n"))
-    last = F.col("total_n") - 1
-    lower = F.transform(spark_probabilities, lambda p: F.floor(p * last).cast("bigint"))
-    upper = F.transform(spark_probabilities, lambda p: F.ceil(p * last).cast("bigint"))
-    start = F.col("before_n")
-    end = start + F.col("bucket_n")
+    wanted = ranks_within(F.col("total_n"), F.col("before_n"), F.col("bucket_n"))
     located = (
         bucket_offsets(counts, groups, ["n"])
-        .withColumn("_ranks", F.array_distinct(F.concat(lower, upper)))
-        .withColumn("_wanted", F.filter("_ranks", lambda r: (r >= start) & (r < end)))
-        .where(F.size("_wanted") > 0)
-        .select(*groups, "_bucket", "_wanted", start.alias("_start"), F.col("total_n").alias("_n"))
+        .where(F.size(wanted) > 0)
+        .select(*groups, "_bucket", F.col("before_n").alias("_start"), F.col("total_n").alias("_n"))
     )
 
     inside = (
@@ -69,15 +72,11 @@ def exact_percentiles(
         .groupBy(*groups, "_bucket", "_value")
         .agg(
             F.count(F.lit(1)).alias("_copies"),
-            F.first("_wanted").alias("_wanted"),
-            F.first("_start").alias("_start"),
-            F.first("_n").alias("_n"),
+            F.max("_start").alias("_start"),
+            F.max("_n").alias("_n"),
         )
         .withColumn("_rank", first_rank)
-        .withColumn(
-            "_hits",
-            F.filter("_wanted", lambda r: (r >= F.col("_rank")) & (r < F.col("_rank") + F.col("_copies"))),
-        )
+        .withColumn("_hits", ranks_within(F.col("_n"), F.col("_rank"), F.col("_copies")))
         .select(*groups, "_n", "_value", F.explode("_hits").alias("_at"))
     )
     by_rank = picked.groupBy(*groups).agg(

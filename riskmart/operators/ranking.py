@@ -89,14 +89,10 @@ def join_predictions(
 ) -> DataFrame:
     """Inner join of predictions to labels with weights instead of repeated rows.
 
-    Duplicates on either side multiply in a row join. Here both sides are combined per key
-    first: one output row per (key, scores) stands for ``n_pos`` + ``n_neg`` joined rows.
+    Duplicates on either side multiply in a row join. Here the labels are combined per key
+    first: each prediction comes out once and stands for ``n_pos`` + ``n_neg`` joined rows.
+    The right side has unique keys, so a hot key is only hot on the left, where adaptive
+    execution splits it.
     """
-    grouped = predictions.groupBy(*keys, *scores).agg(F.count(F.lit(1)).alias("_copies"))
-    joined = grouped.join(label_counts(labels, keys, label), list(keys))
-    return joined.select(
-        *keys,
-        *scores,
-        (F.col("_copies") * F.col("n_pos")).alias("n_pos"),
-        (F.col("_copies") * F.col("n_neg")).alias("n_neg"),
-    )
+    counts = label_counts(labels, keys, label)
+    return predictions.select(*keys, *scores).join(counts, list(keys))

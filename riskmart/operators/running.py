@@ -12,10 +12,13 @@ def order_bucket(value: Column, resolution: int) -> Column:
     """Integer that never decreases as ``value`` grows, ``resolution`` per doubling of 1+|x|.
 
     Fine near 0 and logarithmic for large amounts, so scores and money both spread
-    over many buckets. Being monotone, it splits an ordering into ranges exactly.
+    over many buckets. Being monotone, it splits an ordering into ranges exactly. Never
+    null: a nullable join key would get an extra filter on one side only, and two uses of
+    the same counts could then not share their shuffle.
     """
     value = value.cast("double")
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(float(resolution)))).cast("bigint")
+    bucket = F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(float(resolution)))
+    return F.coalesce(bucket.cast("bigint"), F.lit(0))
 
 
 def bucket_offsets(
