@@ -1 +1,136 @@
-"""x"""
+"""Training, calibration and scoring queries; small models, whole tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskmart.catalog.base import query, table
+from riskmart.functions.loans import month_start
+from riskmart.plans import training
+from riskmart.plans.training import TrainingOptions
+
+FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+OPTIONS = TrainingOptions(
+    train_end="1998-01-01",
+    test_end="2000-01-01",
+    forest_trees=5,
+    forest_depth=4,
+    search_draws=2,
+    search_folds=2,
+    search_ranges={"maxIter": [3, 5], "maxDepth": [2, 3], "stepSize": [0.1]},
+)
+
+
+def dataset(spark, folder):
+    """Line items with a label that depends on price and discount, with noise from the keys."""
+    items = table(spark, folder, "lineitem")
+    price = F.col("l_extendedprice") / F.lit(105000.0)
+    noise = F.pmod(F.xxhash64("l_orderkey", "l_partkey"), F.lit(1000)) / F.lit(1000.0)
+    return items.select(
+        F.col("l_orderkey").cast("string").alias("Customer_ID"),
+        month_start(F.col("l_shipdate")).alias("feature_snapshot_date"),
+        *FEATURES,
+        (price * 0.6 + F.col("l_discount") * 4 > noise).cast("int").alias("label"),
+    )
+
+
+def prepared(spark, folder):
+    imputed, fitted, rows, (n_neg, n_pos), _ = training.prepare(
+        dataset(spark, folder), FEATURES, OPTIONS, "feature_snapshot_date"
+    )
+    frame = training.assembler(fitted.features).transform(
+        fitted.scale(imputed).withColumns(
+            {
+                "balanced_weight": training.class_weight(n_neg, n_pos) * F.col("weight"),
+                "ratio_weight": training.boosted_weight(n_neg, n_pos) * F.col("weight"),
+            }
+        )
+    )
+    return frame, float(n_neg + n_pos)
+
+
+def metrics_of(name, model, frame):
+    scored = model.transform(frame).select(
+        "label", "weight", "split", F.lit(name).alias("model"), training.positive_probability().alias("score")
+    )
+    return training.evaluate(scored)
+
+
+@query("train_logistic")
+def train_logistic(spark, folder):
+    frame, n = prepared(spark, folder)
+    model = training.logistic_regression(n).fit(frame.where("split = 'train'"))
+    return metrics_of("logistic_regression", model, frame)
+
+
+@query("train_forest")
+def train_forest(spark, folder):
+    frame, _ = prepared(spark, folder)
+    model = training.random_forest(OPTIONS).fit(frame.where("split = 'train'"))
+    return metrics_of("random_forest", model, frame)
+
+
+@query("train_boosted_trees")
+def train_boosted_trees(spark, folder):
+    frame, _ = prepared(spark, folder)
+    model = training.boosted_trees(OPTIONS.seed, maxIter=5, maxDepth=3).fit(frame.where("split = 'train'"))
+    return metrics_of("boosted_trees", model, frame)
+
+
+@query("search_hyperparameters")
+def search_hyperparameters(spark, folder):
+    frame, _ = prepared(spark, folder)
+    train = frame.where("split = 'train'").select("label", "weight", "split", "ratio_weight", "features")
+    _, results = training.search_boosted_trees(train, OPTIONS)
+    rows = [(r["maxIter"], r["maxDepth"], r["stepSize"], r["mean_auc"]) for r in results]
+    return spark.createDataFrame(rows, "max_iter int, max_depth int, step_size double, mean_auc double")
+
+
+@query("calibrate_scores")
+def calibrate_scores(spark, folder):
+    """Default rate and mean calibrated score per tenth of the score range, both methods."""
+    frame, n = prepared(spark, folder)
+    model = training.logistic_regression(n).fit(frame.where("split = 'train'"))
+    raw = model.transform(frame).select("label", "weight", "split", training.margin().alias("raw"))
+    test = raw.where("split = 'test'")
+    both = training.fit_sigmoid(test).apply(raw, "raw", "sigmoid")
+    both = training.fit_isotonic(test).apply(both, "raw", "isotonic")
+    return both.groupBy("split", F.floor(F.col("sigmoid") * 10).alias("tenth")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.avg("label").alias("default_rate"),
+        F.avg("sigmoid").alias("mean_sigmoid"),
+        F.avg("isotonic").alias("mean_isotonic"),
+    )
+
+
+@query("train_challenger")
+def train_challenger(spark, folder):
+    """A whole training run: three candidates, search, choice and calibration."""
+    result = training.train_challenger(dataset(spark, folder), FEATURES, "challenger_v1", OPTIONS)
+    return result.comparison
+
+
+@query("shadow_scoring")
+def shadow_scoring(spark, folder):
+    """A linear champion and a forest challenger score every row."""
+    data = dataset(spark, folder)
+    imputed, fitted, _, (n_neg, n_pos), _ = training.prepare(
+        data, FEATURES, OPTIONS, "feature_snapshot_date"
+    )
+    weight = training.class_weight(n_neg, n_pos) * F.col("weight")
+    ready = fitted.scale(imputed).withColumn("balanced_weight", weight)
+    champion = training.fit_bundle(
+        ready, fitted, "logistic_regression", "champion_v1", training.logistic_regression(n_neg + n_pos)
+    )
+    challenger = training.fit_bundle(
+        ready, fitted, "random_forest", "challenger_v1", training.random_forest(OPTIONS)
+    )
+    rows = data.withColumnRenamed("feature_snapshot_date", "snapshot_date")
+    return training.score_month_rows(rows, champion, challenger)
+
+
+@query("feature_importance")
+def feature_importance(spark, folder):
+    frame, _ = prepared(spark, folder)
+    model = training.boosted_trees(OPTIONS.seed, maxIter=5, maxDepth=3).fit(frame.where("split = 'train'"))
+    return training.importance_table(spark, FEATURES, model)

@@ -24,9 +24,12 @@ def exact_percentiles(
     value: str,
     probabilities: Sequence[float],
     resolution: int = 4_096,
+    weight: str | None = None,
 ) -> DataFrame:
     """``percentiles`` (array in the order of ``probabilities``) and ``n`` per group.
 
+    A row with integer ``weight`` w counts as w equal rows.
+
     ``by`` must be a bounded set of groups, such as features or months: the table of
     wanted ranks, at most ``2 * len(probabilities)`` rows per group, is broadcast.
     """
@@ -37,8 +40,9 @@ def exact_percentiles(
     bucketed = usable.select(
         *by,
         F.col(value).cast("double").alias("_value"),
+        (F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")).alias("_weight"),
         order_bucket(F.col(value), resolution).alias("_bucket"),
-    )
+    ).where(F.col("_weight") > 0)
     groups = list(by)
     if not groups:
         groups = ["_all"]
@@ -53,7 +57,7 @@ def exact_percentiles(
     def ranks_within(n: Column, start: Column, size: Column) -> Column:
         return F.filter(ranks(n), lambda r: (r >= start) & (r < start + size))
 
-    counts = bucketed.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = bucketed.groupBy(*groups, "_bucket").agg(F.sum("_weight").alias("n"))
     wanted = ranks_within(F.col("total_n"), F.col("before_n"), F.col("bucket_n"))
     located = (
         bucket_offsets(counts, groups, ["n"])
@@ -71,7 +75,7 @@ def exact_percentiles(
         bucketed.join(F.broadcast(located), [*groups, "_bucket"])
         .groupBy(*groups, "_bucket", "_value")
         .agg(
-            F.count(F.lit(1)).alias("_copies"),
+            F.sum("_weight").alias("_copies"),
             F.max("_start").alias("_start"),
             F.max("_n").alias("_n"),
         )
@@ -94,9 +98,11 @@ def exact_percentiles(
     return by_rank.select(*by, F.transform(spark_probabilities, interpolate).alias("percentiles"), "n")
 
 
-def exact_medians(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+def exact_medians(
+    df: DataFrame, by: Sequence[str], value: str, weight: str | None = None
+) -> DataFrame:
     """``median`` per group."""
-    halves = exact_percentiles(df, by, value, [0.5])
+    halves = exact_percentiles(df, by, value, [0.5], weight=weight)
     return halves.select(*by, F.element_at("percentiles", 1).alias("median"))
 
 
@@ -107,3 +113,27 @@ def long_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] =
         *keep, *[F.nanvl(F.col(c).cast("double"), missing).alias(c) for c in features]
     )
     return casted.unpivot(list(keep), list(features), "feature", "value")
+
+
+def moments(df: DataFrame, by: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
+    """``n, mean, squares`` per group, ``squares`` being the summed squared distance to the mean.
+
+    A row with integer ``weight`` w counts as w equal rows. ``by`` must be a bounded set of
+    groups: with weights their means are broadcast for a second pass.
+    """
+    usable = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    if weight is None:
+        n = F.count(F.lit(1))
+        return usable.groupBy(*by).agg(
+            n.alias("n"), F.avg(value).alias("mean"), (F.var_pop(value) * n).alias("squares")
+        )
+    w = F.col(weight)
+    means = usable.groupBy(*by).agg((F.sum(F.col(value) * w) / F.sum(w)).alias("_mean"))
+    if by:
+        centred = usable.join(F.broadcast(means), list(by))
+    else:
+        centred = usable.withColumn("_mean", means.scalar())
+    distance = F.col(value) - F.col("_mean")
+    return centred.groupBy(*by).agg(
+        F.sum(w).alias("n"), F.max("_mean").alias("mean"), F.sum(distance * distance * w).alias("squares")
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions import cleaning, features, loans
@@ -31,12 +31,19 @@ def normalise_text(raw: DataFrame) -> DataFrame:
 
 def silver_loans(bronze: DataFrame) -> DataFrame:
     """Typed loan months with month on book, missed installments and days past due."""
-    typed = bronze.select(
-        *[F.col(c).try_cast(t).alias(c) for c, t in LOAN_TYPES.items()],
-        F.col("installment_num").try_cast("int").alias("mob"),
+    text = {name for name, dtype in bronze.dtypes if dtype == "string"}
+
+    def typed(name: str, dtype: str) -> Column:
+        if dtype == "int" and name in text:
+            return cleaning.to_integer(F.col(name))
+        return F.col(name).try_cast(dtype)
+
+    columns = bronze.select(
+        *[typed(c, t).alias(c) for c, t in LOAN_TYPES.items()],
+        typed("installment_num", "int").alias("mob"),
     )
     missed = loans.installments_missed(F.col("overdue_amt"), F.col("due_amt"))
-    filled = typed.withColumn("installments_missed", missed).na.fill(0)
+    filled = columns.withColumn("installments_missed", missed).na.fill(0)
     dated = filled.withColumn(
         "first_missed_date", loans.first_missed_date(F.col(MONTH), F.col("installments_missed"))
     )

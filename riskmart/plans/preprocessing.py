@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.operators.quantiles import exact_medians, long_features
+from riskmart.operators.quantiles import exact_medians, long_features, moments
 
 
 @dataclass(frozen=True)
@@ -40,25 +41,28 @@ class Preprocessing:
         )
 
 
-def fit(train: DataFrame, features: Sequence[str]) -> Preprocessing:
+def fit(train: DataFrame, features: Sequence[str], weight: str | None = None) -> Preprocessing:
     """Fit on the training rows; features without any value are left out.
 
     Only the parameters, a few numbers per feature, come to the driver.
     """
+    keep = [weight] if weight else []
     medians = {
         row["feature"]: row["median"]
-        for row in exact_medians(long_features(train, features), ["feature"], "value").collect()
+        for row in exact_medians(
+            long_features(train, features, keep), ["feature"], "value", weight
+        ).collect()
     }
     kept = [name for name in features if name in medians]
     filled = [medians[name] for name in kept]
-    half = Preprocessing(kept, filled, [], [])
-    moments = half.impute(train).agg(
-        *[F.avg(name).alias(f"mean_{i}") for i, name in enumerate(kept)],
-        *[F.stddev_pop(name).alias(f"dev_{i}") for i, name in enumerate(kept)],
-    ).first()
+    imputed = Preprocessing(kept, filled, [], []).impute(train)
+    spread = {
+        row["feature"]: row
+        for row in moments(long_features(imputed, kept, keep), ["feature"], "value", weight).collect()
+    }
     return Preprocessing(
         kept,
         filled,
-        [moments[f"mean_{i}"] for i in range(len(kept))],
-        [moments[f"dev_{i}"] for i in range(len(kept))],
+        [spread[name]["mean"] for name in kept],
+        [math.sqrt(max(spread[name]["squares"], 0.0) / spread[name]["n"]) for name in kept],
     )

@@ -12,6 +12,7 @@ from riskmart.operators.quantiles import (
     PERCENTILES_1_99,
     exact_percentiles,
     long_features,
+    moments,
 )
 from riskmart.schemas import CUSTOMER, FEATURE_COLUMNS, MOB, MONTH
 
@@ -91,22 +92,22 @@ def class_weights(dataset: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
-def feature_baseline(dataset: DataFrame, features: Sequence[str]) -> DataFrame:
+def feature_baseline(
+    dataset: DataFrame, features: Sequence[str], weight: str | None = None
+) -> DataFrame:
     """``feature, mean, std, percentiles``: sample deviation and the deciles p0 to p100."""
-    values = long_features(dataset, features)
-    moments = values.groupBy("feature").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")
+    values = long_features(dataset, features, [weight] if weight else [])
+    spread = moments(values, ["feature"], "value", weight).select(
+        "feature", "mean", F.sqrt(F.try_divide(F.col("squares"), F.col("n") - 1)).alias("std")
     )
-    deciles = exact_percentiles(values, ["feature"], "value", DECILES).select("feature", "percentiles")
-    return moments.join(deciles, "feature", "left")
+    deciles = exact_percentiles(values, ["feature"], "value", DECILES, weight=weight)
+    return spread.join(deciles.select("feature", "percentiles"), "feature", "left")
 
 
-def score_distribution(scores: DataFrame, score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """``mean, std, percentiles``: population deviation and p1 to p99 of the scores."""
-    moments = scores.groupBy(*by).agg(
-        F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"), F.count(score).alias("n")
+def score_distribution(scores: DataFrame, score: str = "score", weight: str | None = None) -> DataFrame:
+    """One row ``n, mean, std, percentiles``: population deviation and p1 to p99 of the scores."""
+    spread = moments(scores, [], score, weight).select(
+        "n", "mean", F.sqrt(F.try_divide(F.col("squares"), F.col("n"))).alias("std")
     )
-    percentiles = exact_percentiles(scores, list(by), score, PERCENTILES_1_99).select(*by, "percentiles")
-    if by:
-        return moments.join(percentiles, list(by), "left")
-    return moments.withColumn("percentiles", percentiles.scalar())
+    percentiles = exact_percentiles(scores, [], score, PERCENTILES_1_99, weight=weight)
+    return spread.withColumn("percentiles", percentiles.select("percentiles").scalar())

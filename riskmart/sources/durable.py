@@ -1,0 +1,26 @@
+"""Durable intermediate results that survive the loss of executors."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the shared folder of ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    context = spark.sparkContext
+    if context.getCheckpointDir():
+        return
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        configured = tempfile.mkdtemp(prefix="riskmart-checkpoint-")
+    context.setCheckpointDir(configured)
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Compute once, write to the checkpoint folder and continue from there."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
