@@ -7,9 +7,12 @@ engine. Only inputs are shared this way; every operator is written separately.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskmart.session import tune
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -18,7 +21,11 @@ def query(name: str, sql: str | None = None):
     """Register a query, with the SQL that checks it where there is one."""
 
     def register(function):
-        QUERIES[name] = function
+        @wraps(function)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return function(tune(spark), folder)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return function

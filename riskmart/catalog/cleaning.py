@@ -128,7 +128,7 @@ def sentinel_to_null(spark, folder):
     f"""SELECT c_custkey, {_int("regexp_replace(c_name, '[^0-9]', '', 'g')")} AS name_number FROM customer""",
 )
 def strip_and_cast(spark, folder):
-    digits = cleaning.strip_chars(F.col("c_name"), "[^0-9]")
+    digits = cleaning.strip_matches(F.col("c_name"), "[^0-9]")
     return table(spark, folder, "customer").select("c_custkey", cleaning.to_integer(digits).alias("name_number"))
 
 

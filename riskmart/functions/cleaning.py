@@ -6,16 +6,16 @@ ANSI setting is.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.schemas import NA_TOKENS, PAYMENT_BEHAVIOUR_CODES
 
-# A plain decimal number; keeps exponents out of the integer columns.
-PLAIN_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
+# A plain decimal number: its sign and whole digits. Exponents do not match.
+PLAIN_NUMBER = r"^\s*(?<sign>[+-]?)(?=\.?\d)(?<whole>\d*)(\.\d*)?\s*$"
 
 
 def na_to_null(column: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
@@ -34,14 +34,23 @@ def sentinel_to_null(column: Column, *sentinels: str) -> Column:
     return F.when(~column.isin(list(sentinels)), column)
 
 
-def strip_chars(column: Column, pattern: str = "_") -> Column:
-    """Remove every match of ``pattern``."""
+def strip_text(column: Column, text: str = "_") -> Column:
+    """Remove every occurrence of ``text``."""
+    return F.replace(column, F.lit(text))
+
+
+def strip_matches(column: Column, pattern: str) -> Column:
+    """Remove every match of a regular expression."""
     return F.regexp_replace(column, pattern, "")
 
 
 def to_integer(column: Column) -> Column:
-    """Text to int, cutting decimals off; anything but a plain number is null."""
-    return F.when(column.rlike(PLAIN_NUMBER), column.try_cast("double")).try_cast("int")
+    """Text to int, cutting decimals off; anything but a plain number is null.
+
+    Whole numbers take the plain cast; only other text is rewritten to its whole digits.
+    """
+    whole = F.regexp_replace(column, PLAIN_NUMBER, "${sign}0${whole}")
+    return F.coalesce(column.try_cast("int"), whole.try_cast("int"))
 
 
 def to_truncated(column: Column) -> Column:
@@ -95,27 +104,36 @@ class NumberRule:
     column: str
     dtype: str
     strip: str | None = None
+    strip_pattern: str | None = None
     low: float | None = None
     high: float | None = None
     above: float | None = None
 
-    def expression(self) -> Column:
+    def number(self) -> Column:
+        """The typed value, not yet checked."""
         text = F.col(self.column)
         if self.strip:
-            text = strip_chars(text, self.strip)
+            text = strip_text(text, self.strip)
+        if self.strip_pattern:
+            text = strip_matches(text, self.strip_pattern)
         if self.dtype == "int":
-            number = to_integer(text)
-        elif self.dtype == "truncated":
-            number = to_truncated(text)
-        else:
-            number = to_real(text, self.dtype)
-        if (self.low, self.high, self.above) != (None, None, None):
-            number = within(number, self.low, self.high, self.above)
-        return number.alias(self.column)
+            return to_integer(text)
+        if self.dtype == "truncated":
+            return to_truncated(text)
+        return text.try_cast(self.dtype)
+
+    def guarded(self) -> Column:
+        """The value of the typed column, null when it is NaN or out of range."""
+        column = F.col(self.column)
+        if self.dtype == "float":
+            column = F.nanvl(column, F.lit(None).cast("float"))
+        if (self.low, self.high, self.above) == (None, None, None):
+            return column
+        return within(column, self.low, self.high, self.above)
 
 
 # Ranges and stray characters of the numeric columns.
-AGE_RULE = NumberRule("Age", "int", strip="[^0-9]", low=18, high=100)
+AGE_RULE = NumberRule("Age", "int", strip_pattern="[^0-9]", low=18, high=100)
 FINANCIAL_RULES = [
     NumberRule("Annual_Income", "float", strip="_", above=0),
     NumberRule("Monthly_Inhand_Salary", "float"),
@@ -140,18 +158,28 @@ CREDIT_MIX_UNKNOWN = "_"
 PAYMENT_OF_MIN_AMOUNT_UNKNOWN = "NM"
 
 
-def attribute_expressions() -> dict[str, Column]:
-    """Cleaned attribute columns by name."""
-    return {
-        "Age": AGE_RULE.expression(),
-        "Occupation": sentinel_to_null(F.col("Occupation"), OCCUPATION_UNKNOWN).alias("Occupation"),
-    }
+ATTRIBUTE_RULES = [AGE_RULE]
 
 
-def financial_expressions() -> dict[str, Column]:
-    """Cleaned financial columns by name."""
-    cleaned = {rule.column: rule.expression() for rule in FINANCIAL_RULES}
-    cleaned |= {
+def clean_numbers(df: DataFrame, rules: Sequence[NumberRule]) -> DataFrame:
+    """Apply number rules in two steps, so that each value is parsed once and then checked."""
+    by_name = {rule.column: rule for rule in rules}
+    parsed = df.select(
+        *[by_name[c].number().alias(c) if c in by_name else F.col(c) for c in df.columns]
+    )
+    return parsed.select(
+        *[by_name[c].guarded().alias(c) if c in by_name else F.col(c) for c in df.columns]
+    )
+
+
+def attribute_categories() -> dict[str, Column]:
+    """Cleaned category columns of the attributes."""
+    return {"Occupation": sentinel_to_null(F.col("Occupation"), OCCUPATION_UNKNOWN)}
+
+
+def financial_categories() -> dict[str, Column]:
+    """Cleaned category, list and duration columns of the financial records."""
+    return {
         "num_loan_types": list_size(F.col("Type_of_Loan")),
         "credit_history_months": duration_months(F.col("Credit_History_Age")),
         "Credit_Mix": sentinel_to_null(F.col("Credit_Mix"), CREDIT_MIX_UNKNOWN),
@@ -160,4 +188,3 @@ def financial_expressions() -> dict[str, Column]:
         ),
         "Payment_Behaviour": valid_or_null(F.col("Payment_Behaviour"), PAYMENT_BEHAVIOUR_CODES),
     }
-    return {name: expression.alias(name) for name, expression in cleaned.items()}

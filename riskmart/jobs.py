@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskmart.plans import datamart, governance, monitoring, quality, training, training_data
 from riskmart.schemas import CUSTOMER, MONTH
+from riskmart.session import tune
 from riskmart.sources import readers, writers
 
 REGISTRY_SCHEMA = "model_version string, role string, valid_from timestamp, reason string"
@@ -87,6 +88,8 @@ def build_datamart(
 ) -> None:
     """Raw extracts to label store and feature store; months already built are skipped."""
 
+    tune(spark)
+
     def same(df: DataFrame) -> DataFrame:
         return df
 

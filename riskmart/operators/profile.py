@@ -11,21 +11,17 @@ NULL_WARN = 0.30
 NULL_FAIL = 0.80
 
 
-def is_missing(df: DataFrame, column: str) -> Column:
-    """Null, or NaN in a floating column."""
-    missing = F.col(column).isNull()
+def null_rate_sql(df: DataFrame, column: str) -> str:
+    """Share of null values, and of NaN in a floating column, as a SQL aggregate."""
+    missing = f"`{column}` IS NULL"
     if df.schema[column].dataType.typeName() in ("float", "double"):
-        missing = missing | F.isnan(column)
-    return missing
-
-
-def null_rate(df: DataFrame, column: str) -> Column:
-    return F.avg(F.when(is_missing(df, column), 1.0).otherwise(0.0))
+        missing += f" OR isnan(`{column}`)"
+    return f"avg(CASE WHEN {missing} THEN 1.0D ELSE 0.0D END)"
 
 
 def null_rates(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """``by, column_name, null_rate``: one aggregate over all columns, unpivoted afterwards."""
-    wide = df.groupBy(*by).agg(*[null_rate(df, c).alias(c) for c in columns])
+    wide = df.groupBy(*by).agg(*[F.expr(null_rate_sql(df, c)).alias(c) for c in columns])
     return wide.unpivot(list(by), list(columns), "column_name", "null_rate")
 
 
@@ -50,14 +46,14 @@ def duplicate_rate(df: DataFrame, key: Sequence[str], by: Sequence[str] = ()) ->
     return copies.groupBy(*by).agg(rate.alias("duplicate_rate"))
 
 
-def any_negative(column: str) -> Column:
-    """True when a value is below 0; nulls are ignored."""
-    return F.coalesce(F.bool_or(F.col(column) < 0), F.lit(False))
+def any_negative_sql(column: str) -> str:
+    """True when a value is below 0, as a SQL aggregate; nulls are ignored."""
+    return f"coalesce(bool_or(`{column}` < 0), false)"
 
 
 def negative_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """``by, column_name, has_negative``."""
-    wide = df.groupBy(*by).agg(*[any_negative(c).alias(c) for c in columns])
+    wide = df.groupBy(*by).agg(*[F.expr(any_negative_sql(c)).alias(c) for c in columns])
     return wide.unpivot(list(by), list(columns), "column_name", "has_negative")
 
 

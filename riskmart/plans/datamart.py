@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,24 +76,33 @@ def silver_clickstream(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame
 
 def silver_attributes(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Clean attributes without names and social security numbers."""
-    cleaned = cleaning.attribute_expressions()
-    return bronze.select(
-        F.col(CUSTOMER).cast("string").alias(CUSTOMER),
-        *[cleaned[c] for c in ATTRIBUTE_COLUMNS],
-        F.col(MONTH).try_cast("date").alias(MONTH),
-        *keep,
+    return silver_records(
+        bronze, ATTRIBUTE_COLUMNS, cleaning.ATTRIBUTE_RULES, cleaning.attribute_categories(), keep
     )
 
 
 def silver_financials(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Clean financial records."""
-    cleaned = cleaning.financial_expressions()
-    return bronze.select(
+    return silver_records(
+        bronze, FINANCIAL_COLUMNS, cleaning.FINANCIAL_RULES, cleaning.financial_categories(), keep
+    )
+
+
+def silver_records(
+    bronze: DataFrame,
+    columns: Sequence[str],
+    rules: Sequence[cleaning.NumberRule],
+    categories: Mapping[str, Column],
+    keep: Sequence[str],
+) -> DataFrame:
+    """Dated customer records with the given columns, cleaned."""
+    cleaned = bronze.select(
         F.col(CUSTOMER).cast("string").alias(CUSTOMER),
-        *[cleaned[c] for c in FINANCIAL_COLUMNS],
+        *[(categories[c] if c in categories else F.col(c)).alias(c) for c in columns],
         F.col(MONTH).try_cast("date").alias(MONTH),
         *keep,
     )
+    return cleaning.clean_numbers(cleaned, rules)
 
 
 def feature_store(

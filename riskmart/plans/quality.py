@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from riskmart.operators.profile import (
     NULL_WARN,
-    any_negative,
+    any_negative_sql,
     duplicate_rate,
     missing_columns,
-    null_rate,
+    null_rate_sql,
 )
 from riskmart.schemas import CUSTOMER, MONTH, REQUIRED_FEATURE_COLUMNS
 
@@ -25,97 +25,69 @@ class QualityGateError(ValueError):
     """A critical finding stops the run."""
 
 
-def finding(check: str, column: str | None, value: Column, severity: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"),
-        F.lit(column).cast("string").alias("column_name"),
-        value.cast("double").alias("value"),
-        severity.alias("severity"),
+def finding(check: str, column: str | None, value: str) -> str:
+    """SQL of one finding of a month; a null value means it does not apply."""
+    name = f"'{column}'" if column else "CAST(NULL AS STRING)"
+    return f"named_struct('check', '{check}', 'column_name', {name}, 'value', CAST({value} AS DOUBLE))"
+
+
+def severity(check: Column, value: Column) -> Column:
+    """critical / warn / ok of a finding."""
+    critical = (check == "required_column") | (check == "empty_partition")
+    warn = (
+        ((check == "feature_partition") & (value == 0))
+        | ((check == "row_count") & (value < MIN_ROWS))
+        | ((check == "null_rate") & (value > NULL_WARN))
+        | ((check == "duplicate_key") & (value > DUPLICATE_WARN))
+        | ((check == "null_key") & (value > 0))
+        | ((check == "negative_values") & (value > 0))
+        | ((check == "default_rate") & ((value == 0) | (value > MAX_DEFAULT_RATE)))
+        | (check == "empty_label_partition")
     )
+    return F.when(critical, "critical").when(warn, "warn").otherwise("ok")
 
 
-def when(condition: Column, severity: str) -> Column:
-    """``severity`` when the condition holds, else ok."""
-    return F.when(condition, severity).otherwise("ok")
+def unfold(per_month: DataFrame, findings: Sequence[str]) -> DataFrame:
+    """One row per finding and month with its severity; those that do not apply are dropped."""
+    listed = F.expr(f"explode(array({', '.join(findings)}))")
+    rows = per_month.select(MONTH, listed.alias("_f")).select(MONTH, "_f.*")
+    return rows.where(F.col("value").isNotNull()).withColumn(
+        "severity", severity(F.col("check"), F.col("value"))
+    )
 
 
 def feature_findings(
     features: DataFrame, months: DataFrame, required: Sequence[str] = REQUIRED_FEATURE_COLUMNS
 ) -> DataFrame:
     """Row count, required columns, null rates, duplicate and null keys, negative clickstream."""
-    absent = missing_columns(features, required)
     columns = [c for c in features.columns if c != MONTH]
     channels = [c for c in columns if c.startswith("fe_")]
     profile = features.groupBy(MONTH).agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[null_rate(features, c).alias(f"null_{c}") for c in columns],
-        *[any_negative(c).alias(f"negative_{c}") for c in channels],
+        *[F.expr(null_rate_sql(features, c)).alias(f"null_{c}") for c in columns],
+        *[F.expr(any_negative_sql(c)).alias(f"negative_{c}") for c in channels],
     )
-    if CUSTOMER in features.columns:
-        profile = profile.join(duplicate_rate(features, [CUSTOMER], [MONTH]), MONTH, "left")
-    joined = months.select(MONTH).distinct().join(profile, MONTH, "left")
-
-    built = F.col("_rows").isNotNull()
-    rows = F.coalesce(F.col("_rows"), F.lit(0))
     findings = [
-        finding("feature_partition", None, rows, when(~built, "warn")),
-        F.when(built, finding("row_count", None, rows, when(rows < MIN_ROWS, "warn"))),
-        *[
-            F.when(built, finding("required_column", c, F.lit(0), F.lit("critical")))
-            for c in absent
-        ],
-        *[
-            F.when(
-                built,
-                finding("null_rate", c, F.col(f"null_{c}"), when(F.col(f"null_{c}") > NULL_WARN, "warn")),
-            )
-            for c in columns
-        ],
+        finding("feature_partition", None, "coalesce(_rows, 0)"),
+        finding("row_count", None, "_rows"),
         *[
-            F.when(
-                built,
-                finding(
-                    "negative_values",
-                    c,
-                    F.col(f"negative_{c}").cast("int"),
-                    when(F.col(f"negative_{c}"), "warn"),
-                ),
-            )
-            for c in channels
+            finding("required_column", c, "CASE WHEN _rows IS NOT NULL THEN 0 END")
+            for c in missing_columns(features, required)
         ],
+        *[finding("null_rate", c, f"`null_{c}`") for c in columns],
+        *[finding("negative_values", c, f"CAST(`negative_{c}` AS INT)") for c in channels],
     ]
     if CUSTOMER in features.columns:
-        duplicates = F.col("duplicate_rate")
-        findings.append(
-            F.when(
-                built,
-                finding("duplicate_key", CUSTOMER, duplicates, when(duplicates > DUPLICATE_WARN, "warn")),
-            )
-        )
-        null_keys = F.col(f"null_{CUSTOMER}")
-        findings.append(
-            F.when(built, finding("null_key", CUSTOMER, null_keys, when(null_keys > 0, "warn")))
-        )
-    return unfold(joined, findings)
+        profile = profile.join(duplicate_rate(features, [CUSTOMER], [MONTH]), MONTH, "left")
+        findings.append(finding("duplicate_key", CUSTOMER, "duplicate_rate"))
+        findings.append(finding("null_key", CUSTOMER, f"`null_{CUSTOMER}`"))
+    return unfold(months.select(MONTH).distinct().join(profile, MONTH, "left"), findings)
 
 
 def label_findings(labels: DataFrame) -> DataFrame:
     """Default rate sanity of the months that have labels."""
-    rates = labels.groupBy(MONTH).agg(
-        F.count(F.lit(1)).alias("_rows"), F.avg("label").alias("_rate")
-    )
-    rate = F.col("_rate")
-    odd = (rate == 0) | (rate > MAX_DEFAULT_RATE)
-    return unfold(rates, [finding("default_rate", "label", rate, when(odd, "warn"))])
-
-
-def unfold(per_month: DataFrame, findings: Sequence[Column]) -> DataFrame:
-    """One row per finding and month; findings that do not apply are null and dropped."""
-    return (
-        per_month.select(MONTH, F.explode(F.array(*findings)).alias("_f"))
-        .where(F.col("_f").isNotNull())
-        .select(MONTH, "_f.check", "_f.column_name", "_f.value", "_f.severity")
-    )
+    rates = labels.groupBy(MONTH).agg(F.avg("label").alias("_rate"))
+    return unfold(rates, [finding("default_rate", "label", "_rate")])
 
 
 def quality_report(
@@ -134,10 +106,11 @@ def quality_report(
     return feature_findings(features, wanted, required).unionByName(label_findings(in_scope))
 
 
-def empty_partition_findings(built_months: DataFrame, features: DataFrame) -> DataFrame:
-    """Months whose feature partition was written but holds no row: critical."""
-    empty = built_months.select(MONTH).distinct().join(features.select(MONTH).distinct(), MONTH, "left_anti")
-    return unfold(empty, [finding("row_count", None, F.lit(0), F.lit("critical"))])
+def empty_partitions(built: DataFrame, table: DataFrame, check: str = "empty_partition") -> DataFrame:
+    """Months that were written but hold no row: critical for features, a warning for
+    labels (``check="empty_label_partition"``)."""
+    empty = built.select(MONTH).distinct().join(table.select(MONTH).distinct(), MONTH, "left_anti")
+    return unfold(empty, [finding(check, None, "0")])
 
 
 def require_passed(report: DataFrame) -> None:
