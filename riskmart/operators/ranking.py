@@ -72,14 +72,6 @@ def ranking_metrics(
     )
 
 
-def label_counts(labels: DataFrame, keys: Sequence[str], label: str = "label") -> DataFrame:
-    """Positive and negative label rows per key, so that duplicates need no row pairs."""
-    return labels.groupBy(*keys).agg(
-        F.count(F.when(F.col(label) == 1, 1)).alias("n_pos"),
-        F.count(F.when(F.col(label) == 0, 1)).alias("n_neg"),
-    )
-
-
 def join_predictions(
     predictions: DataFrame,
     labels: DataFrame,
@@ -90,9 +82,16 @@ def join_predictions(
     """Inner join of predictions to labels with weights instead of repeated rows.
 
     Duplicates on either side multiply in a row join. Here the labels are combined per key
-    first: each prediction comes out once and stands for ``n_pos`` + ``n_neg`` joined rows.
-    The right side has unique keys, so a hot key is only hot on the left, where adaptive
-    execution splits it.
+    and label value first: each prediction comes out once per label value and stands for
+    ``n_pos`` + ``n_neg`` joined rows. A key is then only hot on the left. Both inputs of the
+    join are plain shuffles (the labels are grouped by one column more than the keys), which
+    is what lets adaptive execution split a hot key.
     """
-    counts = label_counts(labels, keys, label)
-    return predictions.select(*keys, *scores).join(counts, list(keys))
+    counts = labels.groupBy(*keys, F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    joined = predictions.select(*keys, *scores).join(counts, list(keys))
+    return joined.select(
+        *keys,
+        *scores,
+        F.when(F.col("_label") == 1, F.col("_n")).otherwise(0).alias("n_pos"),
+        F.when(F.col("_label") == 0, F.col("_n")).otherwise(0).alias("n_neg"),
+    )
