@@ -8,16 +8,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Values are told apart down to this size; below it they share the bucket of 0.
+SMALLEST = 1e-12
+
+
 def order_bucket(value: Column, resolution: int) -> Column:
-    """Integer that never decreases as ``value`` grows, ``resolution`` per doubling of 1+|x|.
+    """Integer that never decreases as ``value`` grows: signed logarithmic buckets.
 
-    Fine near 0 and logarithmic for large amounts, so scores and money both spread
-    over many buckets. Being monotone, it splits an ordering into ranges exactly. Never
-    null: a nullable join key would get an extra filter on one side only, and two uses of
-    the same counts could then not share their shuffle.
+    Bucket widths are relative, about ``1 / resolution`` of the value from 1e-12 up, so tiny
+    rates, scores and money all spread over many buckets whatever their scale. Being
+    monotone, it splits an ordering into ranges exactly. Never null: a nullable join key
+    would get an extra filter on one side only, and two uses of the same counts could then
+    not share their shuffle.
     """
     value = value.cast("double")
-    bucket = F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(float(resolution)))
+    magnitude = F.least(F.abs(value) / F.lit(SMALLEST), F.lit(1e300))
+    bucket = F.signum(value) * F.floor(F.log1p(magnitude) * F.lit(float(resolution)))
     return F.coalesce(bucket.cast("bigint"), F.lit(0))
 
 
@@ -47,7 +53,8 @@ def running_sums(
     """Add ``below_x`` and ``total_x`` for each summed column.
 
     ``df`` has one row per (by, value). The ordering is cut into value buckets: a window
-    runs inside each bucket, and a second one over the bucket totals gives the offsets.
+    runs inside each bucket, and a second one over the bucket totals gives the offsets. A
+    large group is spread over its buckets, and equal values are one row already.
     """
     bucketed = df.withColumn("_bucket", order_bucket(F.col(value), resolution))
     inside = (

@@ -85,7 +85,7 @@ def test_joined_metrics_equal_a_row_join(spark):
 
 
 def test_order_bucket_is_monotone(spark):
-    values = sorted([0.0, -0.0, 1e-12, 0.1, 0.1000001, 3.0, 5e7, 1e300, -1e-9, -2.5, -1e9] + [i / 7 for i in range(99)])
+    values = sorted([float("-inf"), float("inf"), 1e308, 3e-7, 3.0000001e-7, 0.0, -0.0, 1e-12, 0.1, 0.1000001, 3.0, 5e7, 1e300, -1e-9, -2.5, -1e9] + [i / 7 for i in range(99)])
     df = spark.createDataFrame([(v,) for v in values], "x double")
     buckets = [r[0] for r in df.select(order_bucket(F.col("x"), 4096)).collect()]
     assert buckets == sorted(buckets)
