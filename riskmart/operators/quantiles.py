@@ -58,10 +58,19 @@ def exact_percentiles(
         return F.filter(ranks(n), lambda r: (r >= start) & (r < start + size))
 
     counts = bucketed.groupBy(*groups, "_bucket").agg(F.sum("_weight").alias("n"))
-    wanted = ranks_within(F.col("total_n"), F.col("before_n"), F.col("bucket_n"))
+    start = F.col("before_n")
+    end = start + F.col("bucket_n")
+
+    def in_bucket(rank: Column) -> Column:
+        return (rank >= start) & (rank < end)
+
+    last = F.col("total_n") - 1
+    holds_a_rank = F.exists(
+        spark_probabilities, lambda p: in_bucket(F.floor(p * last)) | in_bucket(F.ceil(p * last))
+    )
     located = (
         bucket_offsets(counts, groups, ["n"])
-        .where(F.size(wanted) > 0)
+        .where(holds_a_rank)
         .select(*groups, "_bucket", F.col("before_n").alias("_start"), F.col("total_n").alias("_n"))
     )
 
