@@ -9,7 +9,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.operators.quantiles import DECILES, exact_percentiles, long_features
+from riskmart.operators.quantiles import DECILES, exact_percentiles
 
 SHARE_FLOOR = 1e-6
 ROLLING_COHORTS = 3
