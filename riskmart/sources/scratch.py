@@ -9,11 +9,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _folders: dict[str, str] = {}
+_open: list[list[DataFrame]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,18 +33,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _folders[application]
 
 
-def keep(df: DataFrame, name: str = "table") -> DataFrame:
-    """Compute ``df`` once, write it as Parquet and continue from there."""
+@contextmanager
+def temporary():
+    """Drop what is kept in this block when it ends, but for tables kept as ``lasting``."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        drop(*_open.pop())
+
+
+def keep(df: DataFrame, name: str = "table", lasting: bool = False) -> DataFrame:
+    """Compute ``df`` once, write it as Parquet and continue from there.
+
+    A lasting table belongs to the block around the innermost ``temporary`` one.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     kept._scratch_path = path
+    scopes = _open[:-1] if lasting else _open
+    if scopes:
+        scopes[-1].append(kept)
     return kept
 
 
 def drop(*tables: DataFrame) -> None:
-    """Remove tables made by ``keep`` that no later result reads."""
+    """Remove tables made by ``keep`` that no later result reads; again does nothing."""
     for table in tables:
         _remove(table.sparkSession, table._scratch_path)
 
