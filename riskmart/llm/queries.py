@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskmart.llm import bpe
+from riskmart.llm import bpe, exact_dup, license_scan, near_dup, secret_scan, token_count
+from riskmart.llm.words import ROW
 from riskmart.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,8 +27,78 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"), ["doc_id"])
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     results = ("n_tokens", "ids_sha256", "decoded_sha256")
     return bpe.encode(docs, BYTE_BPE, public_tokenizers.PATTERN, results=results).drop("text")
+
+
+@query
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return token_count.count_tokens(docs, ["doc_id"], BYTE_BPE, public_tokenizers.PATTERN)
+
+
+@query
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    # A source is an owner; its texts in one language are a repository.
+    docs = docs.withColumn("repository", F.concat_ws("/", "source", "lang"))
+    return secret_scan.scan(docs, "doc_id", repository="repository", owner="source")
+
+
+@query
+def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dup.exact_groups(table(spark, folder, "documents"))
+
+
+ORACLE["op10_exact_dedup"] = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_groups(table(spark, folder, "documents")).drop(ROW)
+
+
+ORACLE["op9_near_dedup"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM words, LATERAL (SELECT unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i)
+  WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d JOIN least l USING (doc_id) LEFT JOIN sizes s USING (doc_id)
+"""
