@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, exact_dup, license_scan, near_dup, secret_scan, token_count
+from riskmart.llm import bpe, decontaminate, exact_dup, license_scan, near_dup, secret_scan, token_count
 from riskmart.llm.words import ROW
 from riskmart.session import tune
 
@@ -102,3 +102,32 @@ WITH RECURSIVE words AS (
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
 FROM documents d JOIN least l USING (doc_id) LEFT JOIN sizes s USING (doc_id)
 """
+
+
+@query
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.find_items(docs, items, ["doc_id"])
+
+
+ORACLE["op6_decontaminate"] = """
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), doc_shingles AS (
+  SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s, min(i) - 1 AS start
+  FROM doc_words, LATERAL (SELECT unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i)
+  WHERE len(w) > 0 GROUP BY doc_id, s
+), item_shingles AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM item_words, LATERAL (SELECT unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i)
+  WHERE len(w) > 0
+), sizes AS (
+  SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id
+)
+SELECT d.doc_id, i.item_id, n_shingles, count(*) AS matched, min(start) AS first_word
+FROM doc_shingles d JOIN item_shingles i USING (s) JOIN sizes USING (item_id)
+GROUP BY d.doc_id, i.item_id, n_shingles
+HAVING 100 * count(*) >= 75 * n_shingles
+"""
