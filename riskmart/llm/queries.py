@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, decontaminate, exact_dup, license_scan, near_dup, secret_scan, token_count
+from riskmart.llm import bpe, decontaminate, exact_dup, license_scan, near_dup, secret_scan, token_count, toxicity
 from riskmart.llm.words import ROW
 from riskmart.session import tune
 
@@ -131,3 +131,8 @@ FROM doc_shingles d JOIN item_shingles i USING (s) JOIN sizes USING (item_id)
 GROUP BY d.doc_id, i.item_id, n_shingles
 HAVING 100 * count(*) >= 75 * n_shingles
 """
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
