@@ -41,7 +41,8 @@ def equal_texts(rows: DataFrame, key: str, unique: bool, text: str) -> DataFrame
         last = F.max("__key" if unique else F.struct("__key", (-F.col(ROW)).alias("back"))).alias("last")
         groups = members.groupBy(*by).agg(F.count("*").alias("n"), F.min(ROW).alias("__next"), last)
         groups = keep(groups.where("n > 1"), "groups")
-        found = members.join(groups, by)
+        # Texts are shuffled at every size: groups are too many to be sent wherever it matters.
+        found = members.join(groups.hint("merge"), by)
         ended = F.length("__digit") < width
         found = found.select(
             ROW, "__key", F.col("__next").alias("__group"), "n", "last", ended.alias("ended"),
