@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, decontaminate, exact_dup, license_scan, near_dup, secret_scan, token_count, toxicity
+from riskmart.llm import bpe, chat, decontaminate, exact_dup, license_scan, near_dup, secret_scan, token_count, toxicity
 from riskmart.llm.words import ROW
 from riskmart.session import tune
 
@@ -136,3 +136,29 @@ HAVING 100 * count(*) >= 75 * n_shingles
 @query
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_chats(table(spark, folder, "conversations"))
+
+
+ORACLE["op4_chat_format"] = """
+WITH placed AS (
+  SELECT conv_id, row_number() OVER w AS place, turn, role, text,
+         string_agg(role || chr(1) || text || chr(2), '') OVER w AS so_far,
+         count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM conversations
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), ends AS (
+  SELECT so_far, n_turns, min(conv_id) AS conv_id, count(*) AS n_copies
+  FROM placed WHERE place = n_turns GROUP BY so_far, n_turns
+), whole AS (
+  SELECT * FROM ends WHERE so_far NOT IN (SELECT so_far FROM placed WHERE place < n_turns)
+)
+SELECT conv_id, whole.n_turns, n_copies,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
+                  ORDER BY turn, role, text) AS rendered
+FROM whole JOIN placed USING (conv_id)
+GROUP BY conv_id, whole.n_turns, n_copies
+"""
