@@ -25,6 +25,7 @@ import hashlib
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -33,6 +34,8 @@ from pyspark.sql import types as T
 LEAF_BYTES = 16
 SHORT_BYTES = 48
 MEMO_ENTRIES = 600_000
+MEMO_CHARACTERS = 64
+_NO_RANK = (1 << 31) - 1
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -48,6 +51,15 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.compatible_memo: dict[tuple[int, int], bool] = {}
+        pairs = {
+            ranks[token[:i]] << 32 | ranks[token[i:]]: rank
+            for token, rank in ranks.items()
+            for i in range(1, len(token))
+            if token[:i] in ranks and token[i:] in ranks
+        }
+        self._pairs = np.array(sorted(pairs), np.int64)
+        self._pair_ranks = np.array([pairs[p] for p in self._pairs.tolist()], np.int64)
+        self._of_byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
 
     # --- leaves ---------------------------------------------------------------------
 
@@ -91,6 +103,52 @@ class Codec:
             i = after[i]
         return out
 
+    def _rank_of_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(self._pairs):
+            return np.full(len(left), _NO_RANK)
+        wanted = left << 32 | right
+        place = np.minimum(np.searchsorted(self._pairs, wanted), len(self._pairs) - 1)
+        return np.where(self._pairs[place] == wanted, self._pair_ranks[place], _NO_RANK)
+
+    def merge_many(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many short words at once: each round merges the next pair of every word."""
+        out: list[list[int]] = [[] for _ in words]
+        sizes = np.array([len(w) for w in words], np.int64)
+        number = np.nonzero(sizes)[0]
+        sizes = sizes[number]
+        tokens = self._of_byte[np.frombuffer(b"".join(words), np.uint8)]
+        ranks = self._rank_of_pairs(tokens, np.append(tokens[1:], -1)) if len(tokens) else tokens
+        ranks[np.cumsum(sizes) - 1] = _NO_RANK  # the last token of a word has no right neighbour
+        while len(number):
+            starts = np.cumsum(sizes) - sizes
+            first = np.minimum.reduceat(ranks << 32 | np.arange(len(ranks)), starts)
+            merges = first >> 32 != _NO_RANK
+            if not merges.all():  # words without a further merge are done
+                stays = np.repeat(merges, sizes)
+                done, end = tokens[~stays].tolist(), np.cumsum(sizes[~merges])
+                for i, start, stop in zip(number[~merges].tolist(), [0, *end.tolist()], end.tolist()):
+                    out[i] = done[start:stop]
+                moved = np.cumsum(stays) - 1
+                number, sizes, tokens, ranks = number[merges], sizes[merges], tokens[stays], ranks[stays]
+                at = moved[(first & 0xFFFFFFFF)[merges]]
+            else:
+                at = first & 0xFFFFFFFF
+            if not len(number):
+                break
+            tokens[at] = ranks[at]
+            ranks[at] = ranks[at + 1]
+            keep = np.ones(len(tokens), bool)
+            keep[at + 1] = False
+            at = at - np.arange(len(at))  # one token has gone from each word before
+            tokens, ranks, sizes = tokens[keep], ranks[keep], sizes - 1
+            ends = np.cumsum(sizes) - 1
+            inner = at < ends
+            ranks[at[inner]] = self._rank_of_pairs(tokens[at[inner]], tokens[at[inner] + 1])
+            ranks[at[~inner]] = _NO_RANK
+            left = at[at > ends - sizes + 1]
+            ranks[left - 1] = self._rank_of_pairs(tokens[left - 1], tokens[left])
+        return out
+
     # --- the tree -------------------------------------------------------------------
 
     def compatible(self, left: int, right: int) -> bool:
@@ -147,19 +205,49 @@ class Codec:
 
 
 class WordMemo(dict):
-    """A form of each word's ids, made when first asked for; emptied when it holds too many."""
+    """A form of each word's ids, made when first asked for; emptied when it holds too many.
+
+    ``learn`` makes the forms of all new words of some texts at once, short ones in bulk.
+    """
 
     def __init__(self, codec: Codec, form):
         self.codec, self.form = codec, form
 
-    def __missing__(self, word: str):
-        made = self.form(self.codec.encode_piece(word.encode()))
-        if len(word) <= 64:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
+    def _made(self, word: str, ids: list[int]):
+        made = self.form(ids)
+        if len(word) <= MEMO_CHARACTERS:
             self[word] = made
         return made
 
+    def __missing__(self, word: str):
+        return self._made(word, self.codec.encode_piece(word.encode()))
+
+    def learn(self, texts: list[list[str]]) -> None:
+        if len(self) >= MEMO_ENTRIES:
+            self.clear()
+        new = [w for w in set().union(*texts) if w not in self]
+        short, data = [], []
+        for word in new:
+            piece = word.encode()
+            if len(piece) <= LEAF_BYTES and piece not in self.codec.ranks:
+                short.append(word)
+                data.append(piece)
+            else:
+                self[word]
+        for word, ids in zip(short, self.codec.merge_many(data), strict=True):
+            self._made(word, ids)
+
+
+TEXTS_AT_ONCE = 256
+
+
+def by_words(values, find, memo: WordMemo) -> Iterator[list[str]]:
+    """The words of each text (null: none), with the memo ready for them."""
+    for start in range(0, len(values), TEXTS_AT_ONCE):
+        texts = [find(v.as_py() or "") for v in values[start : start + TEXTS_AT_ONCE]]
+        memo.learn(texts)
+        yield from texts
+
 
 def _decimal(ids: list[int]) -> bytes:
     return b",".join([b"%d" % i for i in ids])
@@ -218,8 +306,8 @@ def encode(
         find = codec.pattern.findall
         for batch in batches:
             made: dict[str, list] = {name: [] for name in results}
-            for value in batch.column("__text"):
-                joined = b",".join(map(decimal.__getitem__, find(value.as_py() or "")))
+            for words in by_words(batch.column("__text"), find, decimal):
+                joined = b",".join(map(decimal.__getitem__, words))
                 ids = joined.split(b",") if joined else []
                 if "n_tokens" in made:
                     made["n_tokens"].append(len(ids))
