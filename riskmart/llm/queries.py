@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, chat, decontaminate, exact_dup, license_scan, near_dup, secret_scan, token_count, toxicity
+from riskmart.llm import bpe, chat, decontaminate, exact_dup, license_scan, near_dup, packing, secret_scan, token_count, toxicity
 from riskmart.llm.words import ROW
 from riskmart.session import tune
 
@@ -162,3 +162,8 @@ SELECT conv_id, whole.n_turns, n_copies,
 FROM whole JOIN placed USING (conv_id)
 GROUP BY conv_id, whole.n_turns, n_copies
 """
+
+
+@query
+def op8_pack_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
