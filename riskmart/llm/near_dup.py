@@ -206,5 +206,5 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", p
     Where keys repeat or are null, it is the first row of the component.
     """
     rows, _ = with_row_id(docs, key)
-    gone = near_groups(rows.select(ROW, text), ROW, text, percent).where("NOT kept").select(ROW)
+    gone = near_groups(rows.select(F.col(ROW).alias("__id"), text), "__id", text, percent).where("NOT kept").select(ROW)
     return rows.join(keep(gone, "gone"), ROW, "left_anti").select(*docs.columns)
