@@ -14,22 +14,35 @@ MONTH = "snapshot_date"
 
 
 def metrics_sql(source: str, by: str, score: str, min_rows: int, weighted: bool) -> str:
-    """Named views that end in ``source_metrics``: cumulative counts over sorted scores."""
-    pos = "sum(n_pos)" if weighted else "sum(CASE WHEN label = 1 THEN 1 ELSE 0 END)"
-    neg = "sum(n_neg)" if weighted else "sum(CASE WHEN label = 0 THEN 1 ELSE 0 END)"
-    return f"""SELECT {by}, CAST(p + n AS BIGINT) AS n_scored,
-      CASE WHEN p + n >= {min_rows} THEN p / (p + n) END AS default_rate,
-      CASE WHEN p + n >= {min_rows} AND p > 0 AND n > 0 THEN won / (p * n) END AS auc,
-      CASE WHEN p + n >= {min_rows} AND p > 0 AND n > 0 THEN 2 * won / (p * n) - 1 END AS gini,
-      CASE WHEN p + n >= {min_rows} AND p > 0 AND n > 0 THEN ks END AS ks
-    FROM (SELECT {by}, max(tp) AS p, max(tn) AS n, sum(pos * (cn - neg + 0.5 * neg)) AS won,
-        max(abs(CASE WHEN tp > 0 AND tn > 0 THEN cp / tp - cn / tn END)) AS ks
-      FROM (SELECT *, sum(pos) OVER (PARTITION BY {by} ORDER BY s) AS cp,
-          sum(neg) OVER (PARTITION BY {by} ORDER BY s) AS cn,
-          sum(pos) OVER (PARTITION BY {by}) AS tp, sum(neg) OVER (PARTITION BY {by}) AS tn
-        FROM (SELECT {by}, {score} AS s, CAST({pos} AS DOUBLE) AS pos, CAST({neg} AS DOUBLE) AS neg
-          FROM {source} WHERE {score} IS NOT NULL GROUP BY {by}, {score}))
-      GROUP BY {by})"""
+    """Default rate and guards over all labelled rows of a group, ranks over those with a score."""
+    pos = "n_pos" if weighted else "CASE WHEN label = 1 THEN 1 ELSE 0 END"
+    neg = "n_neg" if weighted else "CASE WHEN label = 0 THEN 1 ELSE 0 END"
+    known = " AND ".join(f"{c.strip()} IS NOT NULL" for c in by.split(","))
+    return f"""WITH labelled AS (
+      SELECT {by}, {score} AS s, CAST({pos} AS DOUBLE) AS pos, CAST({neg} AS DOUBLE) AS neg
+      FROM {source} WHERE {known}
+    ), whole AS (
+      SELECT {by}, sum(pos) AS all_pos, sum(neg) AS all_neg,
+        coalesce(sum(pos) FILTER (s IS NOT NULL), 0) AS p, coalesce(sum(neg) FILTER (s IS NOT NULL), 0) AS n
+      FROM labelled GROUP BY {by}
+    ), steps AS (
+      SELECT {by}, s, sum(pos) AS pos, sum(neg) AS neg FROM labelled WHERE s IS NOT NULL GROUP BY {by}, s
+    ), sums AS (
+      SELECT *, sum(pos) OVER (PARTITION BY {by} ORDER BY s) AS cp, sum(neg) OVER (PARTITION BY {by} ORDER BY s) AS cn
+      FROM steps
+    ), ranked AS (
+      SELECT {by}, sum(pos * (cn - 0.5 * neg)) AS won, max(abs(cp / nullif(p, 0) - cn / nullif(n, 0))) AS ks
+      FROM sums JOIN whole USING ({by}) GROUP BY {by}
+    ), guarded AS (
+      SELECT *, all_pos + all_neg >= {min_rows} AS enough, all_pos > 0 AND all_neg > 0 AS both_classes
+      FROM whole LEFT JOIN ranked USING ({by})
+    )
+    SELECT {by}, CAST(p + n AS BIGINT) AS n_scored,
+      CASE WHEN enough THEN all_pos / (all_pos + all_neg) END AS default_rate,
+      CASE WHEN enough AND both_classes THEN won / nullif(p * n, 0) END AS auc,
+      CASE WHEN enough AND both_classes THEN 2 * won / nullif(p * n, 0) - 1 END AS gini,
+      CASE WHEN enough AND both_classes THEN ks END AS ks
+    FROM guarded"""
 
 
 ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in ("default_rate", "auc", "gini", "ks"))

@@ -15,7 +15,8 @@ CTE["cohort_stats"] = """SELECT snapshot_date, count(*) AS n_predictions, avg(sc
   stddev_pop(score) AS std_score FROM predictions GROUP BY snapshot_date"""
 CTE["mon"] = f"""SELECT s.snapshot_date, s.n_predictions, s.mean_score, s.std_score, p.psi AS psi_score,
   {flag_sql("p.psi")} AS psi_flag, m.auc, m.gini, m.ks, m.default_rate,
-  CASE WHEN m.auc IS NOT NULL THEN c.auc END AS challenger_auc, coalesce(c.auc > m.auc, false) AS challenger_wins
+  CASE WHEN m.auc IS NOT NULL AND c.n_scored >= 10 THEN c.auc END AS challenger_auc,
+  coalesce(c.n_scored >= 10 AND c.auc > m.auc, false) AS challenger_wins
   FROM cohort_stats s JOIN score_psi_rolling p ON p.snapshot_date = s.snapshot_date
   LEFT JOIN joined_metrics m ON m.snapshot_date = s.snapshot_date
   LEFT JOIN challenger_joined c ON c.snapshot_date = s.snapshot_date"""

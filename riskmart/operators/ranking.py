@@ -13,13 +13,21 @@ from riskmart.operators.running import running_sums
 def count_by_score(
     scored: DataFrame, by: Sequence[str], score: str, positives: Column, negatives: Column
 ) -> DataFrame:
-    """One row per (by, score) with ``n_pos`` and ``n_neg``; null scores are left out."""
-    usable = scored.where(F.col(score).isNotNull() & ~F.isnan(score))
+    """One row per (by, score): ``n_pos`` and ``n_neg``, and ``u_pos`` and ``u_neg`` where there is no score."""
+    usable = scored
     for name in by:
         usable = usable.where(F.col(name).isNotNull())
-    return usable.groupBy(*by, F.col(score).alias("_score")).agg(
-        F.sum(positives.cast("bigint")).alias("n_pos"),
-        F.sum(negatives.cast("bigint")).alias("n_neg"),
+    value = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
+    counts = usable.groupBy(*by, value.alias("_score")).agg(
+        F.sum(positives.cast("bigint")).alias("pos"), F.sum(negatives.cast("bigint")).alias("neg")
+    )
+    ranked = F.col("_score").isNotNull()
+    zero = F.lit(0).cast("bigint")
+    return counts.select(
+        *by,
+        "_score",
+        *[F.when(ranked, F.col(c)).otherwise(zero).alias(f"n_{c}") for c in ("pos", "neg")],
+        *[F.when(ranked, zero).otherwise(F.col(c)).alias(f"u_{c}") for c in ("pos", "neg")],
     )
 
 
@@ -35,8 +43,9 @@ def ranking_metrics(
     """``n_scored, default_rate, auc, gini, ks`` per group.
 
     ``positives`` and ``negatives`` replace the 0/1 ``label`` when a row stands for several
-    labelled rows. With fewer than ``min_rows`` rows all metrics are null; with one class
-    only the default rate is given.
+    labelled rows. The default rate and the guards are taken over all labelled rows, those
+    without a score too: with fewer than ``min_rows`` all metrics are null, with one class only
+    the default rate is given. AUC, Gini and KS rank the rows that have a score.
     """
     pos = positives if positives is not None else F.when(F.col(label) == 1, 1).otherwise(0)
     neg = negatives if negatives is not None else F.when(F.col(label) == 0, 1).otherwise(0)
@@ -55,17 +64,19 @@ def ranking_metrics(
     summary = ranked.groupBy(*by).agg(
         F.sum("n_pos").alias("_pos"),
         F.sum("n_neg").alias("_neg"),
+        (F.sum("n_pos") + F.sum("u_pos")).alias("_all_pos"),
+        (F.sum("n_neg") + F.sum("u_neg")).alias("_all_neg"),
         F.sum(pairs_won).alias("_won"),
         F.max(F.abs(share_pos - share_neg)).alias("_ks"),
     )
-    n = F.col("_pos") + F.col("_neg")
+    n = F.col("_all_pos") + F.col("_all_neg")
     enough = n >= min_rows
-    rankable = enough & (F.col("_pos") > 0) & (F.col("_neg") > 0)
+    rankable = enough & (F.col("_all_pos") > 0) & (F.col("_all_neg") > 0)
     auc = F.try_divide(F.col("_won"), F.col("_pos").cast("double") * F.col("_neg").cast("double"))
     return summary.select(
         *by,
-        n.alias("n_scored"),
-        F.when(enough, F.try_divide(F.col("_pos").cast("double"), n.cast("double"))).alias("default_rate"),
+        (F.col("_pos") + F.col("_neg")).alias("n_scored"),
+        F.when(enough, F.try_divide(F.col("_all_pos").cast("double"), n.cast("double"))).alias("default_rate"),
         F.when(rankable, auc).alias("auc"),
         F.when(rankable, F.lit(2.0) * auc - F.lit(1.0)).alias("gini"),
         F.when(rankable, F.col("_ks")).alias("ks"),

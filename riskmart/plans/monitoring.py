@@ -28,6 +28,8 @@ from riskmart.schemas import CUSTOMER, MONTH
 AUC_FLOOR = 0.60
 GINI_FLOOR = 0.20
 KS_FLOOR = 0.10
+# Fixed value: rows with a challenger score needed for a comparison.
+MIN_COMPARED = 10
 
 
 def by_model(scored: DataFrame) -> DataFrame:
@@ -58,7 +60,9 @@ def cohort_performance(predictions: DataFrame, labels: DataFrame) -> DataFrame:
 
     wide = metrics.groupBy(MONTH).agg(
         *[of("champion", c).alias(c) for c in ("auc", "gini", "ks", "default_rate")],
-        of("challenger", "auc").alias("_challenger_auc"),
+        F.max(F.when((F.col("model") == "challenger") & (F.col("n_scored") >= MIN_COMPARED), F.col("auc"))).alias(
+            "_challenger_auc"
+        ),
     )
     return wide.select(
         MONTH,

@@ -66,6 +66,16 @@ def test_metric_guards(spark):
     assert (out[3]["auc"], out[3]["gini"], out[3]["ks"]) == (0.5, 0.0, 0.0)
 
 
+def test_guards_count_rows_without_a_score(spark):
+    scores = [0.1, 0.4, 0.6, 0.9, None, None, float("nan"), None, None, None]
+    rows = [(1, s, y) for s, y in zip(scores, [0, 1, 0, 1, 1, 1, 1, 0, 1, 1], strict=True)]
+    rows += [(2, s, y) for s, y in zip(scores, [1, 1, 1, 1, 0, 0, 0, 0, 0, 0], strict=True)]
+    frame = spark.createDataFrame(rows, "c int, score double, label int")
+    out = {r["c"]: r for r in ranking_metrics(frame, ["c"]).collect()}
+    assert (out[1]["n_scored"], out[1]["default_rate"], out[1]["auc"], out[1]["ks"]) == (4, 0.7, 0.75, 0.5)
+    assert (out[2]["n_scored"], out[2]["default_rate"], out[2]["auc"]) == (4, 0.4, None)
+
+
 def test_joined_metrics_equal_a_row_join(spark):
     rng = random.Random(3)
     predictions = spark.createDataFrame(
