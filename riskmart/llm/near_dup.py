@@ -128,7 +128,9 @@ def prefix_pairs(texts: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that share one of the rarest shingles of both.
 
     ``texts`` has ``b``, ``c`` and ``shingles``. The order of shingles is by their number in these
-    texts, then by hash; the sizes of two sets must allow the similarity.
+    texts, then by hash. From the first shingle that two sets share, by that order, they can have no more in
+    common than the shorter of what remains; with their sizes this decides most pairs at once.
+    Where all rows of a shingle are of one component, or too large for the smallest, there is no pair.
     """
     n = F.size("shingles")
     each = texts.select("b", "c", n.alias("n"), F.explode("shingles").alias("shingle"))
@@ -137,14 +139,25 @@ def prefix_pairs(texts: DataFrame, percent: int) -> DataFrame:
     shared = each.join(counts, "shingle").groupBy("b", "c", "n").agg(
         F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("shared")
     )
+    alone = F.col("n") - F.size("shared")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1
-    left = F.greatest(prefix - (F.col("n") - F.size("shared")), F.lit(0)).cast("int")
-    rare = shared.select("b", "c", "n", F.explode(F.slice("shared", 1, left)).alias("s"))
-    rare = keep(rare.select("b", "c", "n", F.col("s.shingle").alias("shingle")), "rare")
+    rare = shared.select(
+        "b", "c", "n", alone.alias("alone"),
+        F.posexplode(F.slice("shared", 1, F.greatest(prefix - alone, F.lit(0)).cast("int"))).alias("i", "s"),
+    )
+    rare = rare.select("b", "c", "n", F.col("s.shingle").alias("shingle"), (F.col("n") - F.col("alone") - F.col("i")).alias("rest"))
+    rare = keep(rare, "rare")
+    groups = rare.groupBy("shingle").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("n").alias("least"))
+    groups = keep(groups.where("c1 <> c2").select("shingle", "least"), "rare_groups")
+    able = (100 + percent) * F.col("rest") >= percent * (F.col("n") + F.col("least"))
+    rare = keep(rare.join(groups, "shingle").where(able).drop("least"), "able")
+
     x, y = rare.alias("x"), rare.alias("y")
     near = (F.col("x.b") < F.col("y.b")) & (F.col("x.c") != F.col("y.c"))
     sizes = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
-    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & near & sizes)
+    most = F.least(F.col("x.rest"), F.col("y.rest"))
+    enough = (100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n"))
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & near & sizes & enough)
     return pairs.select(F.col("x.b").alias("a"), F.col("y.b").alias("b")).distinct()
 
 
