@@ -108,8 +108,7 @@ query("breach_alerts", sql_with(ALERTS, "SELECT * FROM alerts"))(alerts)
 )
 def latest_alert(spark, folder):
     latest = monitoring.latest_alert(alerts(spark, folder))
-    parsed = F.from_json("alerts", "array<struct<type:string,feature:string,value:double,flag:string>>")
-    names = F.transform(parsed, lambda a: F.concat(a["type"], F.lit(":"), a["feature"]))
+    names = F.transform("alerts", lambda a: F.concat(a["type"], F.lit(":"), a["feature"]))
     return latest.select(MONTH, "n_alerts", F.array_join(names, ",").alias("alerts"))
 
 

@@ -14,6 +14,7 @@ from riskmart.operators.profile import (
     top_null_rates,
 )
 from riskmart.plans.datamart import distinct_months
+from riskmart.plans.quality import empty_partitions
 from riskmart.plans.quality import quality_report as build_report
 from riskmart.schemas import (
     ATTRIBUTE_COLUMNS,
@@ -108,7 +109,8 @@ def _report_sql() -> str:
         """SELECT snapshot_date, 'duplicate_key', 'Customer_ID', 1 - count(DISTINCT Customer_ID) / count(*),
         CASE WHEN 1 - count(DISTINCT Customer_ID) / count(*) > 0.05 THEN 'warn' ELSE 'ok' END
         FROM feature_store GROUP BY ALL""",
-        """SELECT snapshot_date, 'null_key', 'Customer_ID', 0.0, 'ok' FROM built""",
+        """SELECT snapshot_date, 'null_key', 'Customer_ID', avg(CASE WHEN Customer_ID IS NULL THEN 1.0 ELSE 0.0 END),
+        CASE WHEN bool_or(Customer_ID IS NULL) THEN 'warn' ELSE 'ok' END FROM feature_store GROUP BY ALL""",
         """SELECT snapshot_date, 'default_rate', 'label', avg(CAST(label AS DOUBLE)),
         CASE WHEN avg(label) = 0 OR avg(label) > 0.8 THEN 'warn' ELSE 'ok' END FROM label_store GROUP BY ALL""",
     ]
@@ -147,3 +149,22 @@ def quality_report(spark, folder):
         feature_store(spark, folder), labels, distinct_months(labels), REQUIRED_FEATURE_COLUMNS
     )
     return report.withColumn("value", F.round("value", 6))
+
+
+@query(
+    "quality_critical_rows",
+    sql_with(
+        [*STORE, *LABELS, "wanted", "built"],
+        """SELECT snapshot_date, 'required_column' AS "check", 'Age' AS column_name, 0.0 AS value, 'critical' AS severity
+        FROM built UNION ALL
+        SELECT snapshot_date, 'empty_partition', NULL, 0.0, 'critical' FROM wanted
+        WHERE snapshot_date NOT IN (SELECT snapshot_date FROM built)""",
+    ),
+)
+def quality_critical_rows(spark, folder):
+    """A store without a required column, and label months for which no features were written."""
+    labels, features = label_store(spark, folder), feature_store(spark, folder)
+    months = distinct_months(labels)
+    report = build_report(features.drop("Age"), labels, months, REQUIRED_FEATURE_COLUMNS)
+    report = report.unionByName(empty_partitions(months, features))
+    return report.where("severity = 'critical'")

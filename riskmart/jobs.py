@@ -1,29 +1,54 @@
-"""The monthly pipeline as jobs over all requested months.
+"""The monthly pipeline as jobs over all months that are due.
 
-Each job reads tables, writes tables and can be run again: monthly partitions are replaced
-as a whole, logs only take rows that are new.
+A month is built, scored and measured once. Jobs work on what is missing, read only the
+partitions of those months, and can be run again; finished months change only on an explicit
+``rebuild``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+import datetime as dt
+import json
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.operators.stability import score_profile
 from riskmart.plans import datamart, governance, monitoring, quality, training, training_data
-from riskmart.schemas import CUSTOMER, MONTH
+from riskmart.schemas import (
+    CUSTOMER,
+    MOB,
+    MONTH,
+    RAW_ATTRIBUTE_COLUMNS,
+    RAW_CLICKSTREAM_COLUMNS,
+    RAW_FINANCIAL_COLUMNS,
+    loan_schema,
+    text_schema,
+)
 from riskmart.session import tune
 from riskmart.sources import readers, writers
+from riskmart.sources.scratch import keep, temporary
 
-REGISTRY_SCHEMA = "model_version string, role string, valid_from timestamp, reason string"
+REGISTRY_SCHEMA = "model_version string, role string, valid_from timestamp, reason string, sequence bigint"
 COMPARISON_SCHEMA = (
     "model string, split string, n_scored bigint, auc double, gini double, ks double, "
-    "is_champion boolean, model_version string"
+    "is_champion boolean, train_date timestamp, model_version string"
+)
+METADATA_SCHEMA = (
+    "model string, parameters string, excluded_features array<string>, features array<string>, "
+    "calibration string, calibration_rows bigint, train_end date, test_end date, train_date timestamp, "
+    "scored_through date, model_version string"
 )
-MONITORING_SCHEMA = "snapshot_date date, psi_score double, auc double, challenger_auc double"
-CSI_SCHEMA = "snapshot_date date, feature string, csi double"
+MONITORING_SCHEMA = f"{MONTH} date, psi_score double, auc double, challenger_auc double"
+CSI_SCHEMA = f"feature string, csi double, model_version string, {MONTH} date"
+PROFILE_SCHEMA = (
+    "n_predictions bigint, n_scores bigint, mean_score double, std_score double, bins array<bigint>, "
+    f"model_version string, challenger_model_version string, {MONTH} date"
+)
+PERFORMANCE_SCHEMA = f"auc double, gini double, ks double, default_rate double, challenger_auc double, {MONTH} date"
+FINISHED_SCHEMA = f"table string, {MONTH} date"
 PREDICTION_SCHEMA = (
     f"{CUSTOMER} string, score double, predicted_label int, model_version string, "
     "challenger_score double, challenger_predicted_label int, challenger_model_version string, "
@@ -33,12 +58,13 @@ PREDICTION_SCHEMA = (
 
 @dataclass(frozen=True)
 class RawPaths:
-    """CSV extracts."""
+    """CSV extracts; ``multiline`` if values may hold line breaks (such a file is read by one task)."""
 
     loans: str
     clickstream: str
     attributes: str
     financials: str
+    multiline: bool = False
 
 
 @dataclass(frozen=True)
@@ -54,83 +80,147 @@ class Mart:
         return self.path(f"models/{version}")
 
 
+Months = Sequence[dt.date] | None
+
+
 def typed_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, F.col(MONTH).try_cast("date"))
 
 
-def only_months(df: DataFrame, months: DataFrame) -> DataFrame:
-    """Rows of the given months. The month list is as short as the calendar: broadcast."""
-    return df.join(F.broadcast(months.select(MONTH)), MONTH, "left_semi")
+def shifted(month: dt.date, months: int) -> dt.date:
+    """The same day some months on; days that a month lacks become its last, as in ``add_months``."""
+    place = month.year * 12 + month.month - 1 + months
+    for day in range(month.day, month.day - 4, -1):
+        try:
+            return dt.date(place // 12, place % 12 + 1, day)
+        except ValueError:
+            continue
+    raise ValueError(month)
+
+
+def finished_months(spark: SparkSession, mart: Mart, table: str) -> set[dt.date]:
+    """Months of a table that are done, also those that gave no row."""
+    log = readers.read_table(spark, mart.path("finished"), FINISHED_SCHEMA)
+    return {r[0] for r in log.where(F.col("table") == table).select(MONTH).distinct().collect()}
+
+
+def mark_finished(spark: SparkSession, mart: Mart, table: str, months: Sequence[dt.date]) -> None:
+    if months:
+        log = spark.createDataFrame([(table, m) for m in months], FINISHED_SCHEMA).coalesce(1)
+        writers.append_rows(log, mart.path("finished"))
+
+
+def land_months(
+    spark: SparkSession, mart: Mart, table: str, extract: DataFrame, months: Months, rebuild: bool
+) -> None:
+    """Write the months of a raw extract that are not landed yet; the extract is read once."""
+    landed = set() if rebuild else set(readers.month_partitions(spark, mart.path(table)))
+    rows = extract.where(F.col(MONTH).isNotNull())
+    if months is not None:
+        wanted = sorted(set(months) - landed)
+        if not wanted and landed:
+            return
+        rows = readers.in_months(rows, wanted)
+    elif landed:
+        rows = rows.where(~F.col(MONTH).isin(sorted(landed)))
+    writers.write_months(rows, mart.path(table))
+
+
+def land_month_files(spark: SparkSession, mart: Mart, table: str, folder: str, prefix: str, months: Months = None) -> None:
+    """Land Parquet files that carry their month in the name (``<prefix>YYYY_MM_DD.parquet``)."""
+    land_months(spark, mart, table, readers.read_month_files(spark, folder, prefix), months, rebuild=False)
 
 
 def build_months(
     spark: SparkSession,
-    source: DataFrame,
-    path: str,
+    mart: Mart,
+    table: str,
+    source: str,
     plan: Callable[[DataFrame], DataFrame],
-    months: DataFrame | None,
+    months: Months,
     rebuild: bool,
+) -> None:
+    """Apply ``plan`` to the partitions of ``source`` that ``table`` has not been built from."""
+    have = set(readers.month_partitions(spark, mart.path(source)))
+    wanted = have if months is None else have & set(months)
+    todo = sorted(wanted if rebuild else wanted - finished_months(spark, mart, table))
+    if not todo:
+        return
+    rows = readers.in_months(spark.read.parquet(mart.path(source)), todo)
+    writers.write_months(plan(rows), mart.path(table))
+    mark_finished(spark, mart, table, todo)
+
+
+def land_history(
+    spark: SparkSession, mart: Mart, name: str, extract: DataFrame, clean: Callable[[DataFrame], DataFrame], rebuild: bool
 ) -> DataFrame:
-    """Apply ``plan`` to the months not yet built and return the table as written."""
-    wanted = datamart.distinct_months(source if months is None else only_months(source, months))
-    todo = wanted if rebuild else datamart.missing_months(wanted, readers.existing_months(spark, path))
-    result = plan(only_months(source, todo))
-    writers.write_months(result, path)
-    return spark.read.schema(result.schema).parquet(path)
+    """Land the dated records of an extract that are new, and clean only those."""
+    bronze, silver = mart.path(f"bronze_{name}"), mart.path(f"silver_{name}")
+    if rebuild or not readers.path_exists(spark, silver):
+        writers.write_static(extract, bronze)
+        writers.write_static(clean(spark.read.parquet(bronze)), silver)
+    else:
+        known = spark.read.parquet(bronze).select(F.col(CUSTOMER).alias("c"), F.col(MONTH).alias("m"))
+        same = F.col(CUSTOMER).eqNullSafe(F.col("c")) & F.col(MONTH).eqNullSafe(F.col("m"))
+        with temporary():
+            new = keep(extract.join(known, same, "left_anti"), f"new_{name}")
+            if not new.isEmpty():
+                writers.append_rows(clean(new), silver)
+                writers.append_rows(new, bronze)
+    return spark.read.parquet(silver)
 
 
 def build_datamart(
-    spark: SparkSession,
-    raw: RawPaths,
-    mart: Mart,
-    months: DataFrame | None = None,
-    rebuild: bool = False,
+    spark: SparkSession, raw: RawPaths, mart: Mart, months: Months = None, rebuild: bool = False
 ) -> None:
     """Raw extracts to label store and feature store; months already built are skipped."""
-
     tune(spark)
 
-    def same(df: DataFrame) -> DataFrame:
-        return df
-
-    loans = typed_month(readers.read_text_csv(spark, raw.loans))
-    bronze = build_months(spark, loans, mart.path("bronze_loans"), same, months, rebuild)
-    silver = build_months(
-        spark, bronze, mart.path("silver_loans"), datamart.silver_loans, months, rebuild
-    )
-    build_months(spark, silver, mart.path("label_store"), datamart.label_store, months, rebuild)
-
-    clicks = typed_month(datamart.normalise_text(readers.read_text_csv(spark, raw.clickstream)))
-    bronze = build_months(spark, clicks, mart.path("bronze_clickstream"), same, months, rebuild)
-    visitors = build_months(
-        spark, bronze, mart.path("silver_clickstream"), datamart.silver_clickstream, months, rebuild
+    def extract(path: str, columns: list[str]) -> DataFrame:
+        text = readers.read_text_csv(spark, path, text_schema(columns), raw.multiline)
+        return datamart.normalise_text(text)
+
+    def build(table: str, source: str, plan: Callable[[DataFrame], DataFrame]) -> None:
+        build_months(spark, mart, table, source, plan, months, rebuild)
+
+    loans = readers.read_text_csv(spark, raw.loans, loan_schema(), raw.multiline)
+    land_months(spark, mart, "bronze_loans", typed_month(loans), months, rebuild)
+    build("silver_loans", "bronze_loans", datamart.silver_loans)
+    build("label_store", "silver_loans", datamart.label_store)
+
+    clicks = typed_month(extract(raw.clickstream, RAW_CLICKSTREAM_COLUMNS))
+    land_months(spark, mart, "bronze_clickstream", clicks, months, rebuild)
+    build("silver_clickstream", "bronze_clickstream", datamart.silver_clickstream)
+
+    attributes = extract(raw.attributes, RAW_ATTRIBUTE_COLUMNS)
+    attributes = land_history(spark, mart, "attributes", attributes, datamart.silver_attributes, rebuild)
+    financials = extract(raw.financials, RAW_FINANCIAL_COLUMNS)
+    financials = land_history(spark, mart, "financials", financials, datamart.silver_financials, rebuild)
+    build(
+        "feature_store",
+        "silver_clickstream",
+        lambda clickstream: datamart.feature_store(clickstream, attributes, financials),
     )
 
-    histories = {}
-    for name, clean in (
-        ("attributes", datamart.silver_attributes),
-        ("financials", datamart.silver_financials),
-    ):
-        extract = datamart.normalise_text(readers.read_text_csv(spark, getattr(raw, name)))
-        writers.write_static(extract, mart.path(f"bronze_{name}"), if_absent=not rebuild)
-        writers.write_static(
-            clean(spark.read.parquet(mart.path(f"bronze_{name}"))), mart.path(f"silver_{name}")
-        )
-        histories[name] = spark.read.parquet(mart.path(f"silver_{name}"))
-
-    def store(clickstream: DataFrame) -> DataFrame:
-        return datamart.feature_store(clickstream, histories["attributes"], histories["financials"])
-
-    build_months(spark, visitors, mart.path("feature_store"), store, months, rebuild)
 
-
-def check_quality(spark: SparkSession, mart: Mart, months: DataFrame | None = None) -> DataFrame:
-    """Write the quality report and stop on critical findings."""
-    features = spark.read.parquet(mart.path("feature_store"))
-    labels = spark.read.parquet(mart.path("label_store"))
-    wanted = months or datamart.distinct_months(features)
-    writers.write_months(quality.quality_report(features, labels, wanted), mart.path("quality_report"))
-    report = spark.read.parquet(mart.path("quality_report")).join(wanted.select(MONTH), MONTH, "left_semi")
+def check_quality(spark: SparkSession, mart: Mart, months: Months = None) -> DataFrame:
+    """Write the quality report and stop on critical findings.
+
+    By default of all months that have clickstream or labels: a month without features is
+    reported, and so is one that was built but holds no row.
+    """
+    clicks = readers.month_partitions(spark, mart.path("silver_clickstream"))
+    built = {t: finished_months(spark, mart, t) for t in ("feature_store", "label_store")}
+    if months is None:
+        months = sorted({*clicks, *built["label_store"]})
+    dates = spark.createDataFrame([(m,) for m in months], f"{MONTH} date")
+    stores = {t: readers.in_months(spark.read.parquet(mart.path(t)), months) for t in built}
+    report = quality.quality_report(stores["feature_store"], stores["label_store"], dates)
+    for table, check in (("feature_store", "empty_partition"), ("label_store", "empty_label_partition")):
+        done = spark.createDataFrame([(m,) for m in sorted(built[table] & set(months))], f"{MONTH} date")
+        report = report.unionByName(quality.empty_partitions(done, stores[table], check))
+    writers.write_months(report, mart.path("quality_report"))
+    report = readers.in_months(spark.read.parquet(mart.path("quality_report")), months)
     quality.require_passed(report)
     return report
 
@@ -145,12 +235,19 @@ def version_of(spark: SparkSession, mart: Mart, role: str) -> str | None:
     return row["model_version"] if row else None
 
 
+def of_version(spark: SparkSession, mart: Mart, table: str, version: str | None, schema: str | None = None) -> DataFrame:
+    """Rows of one model version; only its partition is read."""
+    rows = readers.read_table(spark, mart.path(table), schema)
+    if writers.VERSION_KEY in rows.columns:
+        return rows.where(F.col(writers.VERSION_KEY) == f"version {version}").drop(writers.VERSION_KEY)
+    return rows.where(F.col("model_version") == F.lit(version))
+
+
 def decide_retrain(spark: SparkSession, mart: Mart) -> DataFrame:
     """One row: train a challenger or not, and why."""
     champion = version_of(spark, mart, "champion")
     challenger = version_of(spark, mart, "challenger")
-    comparison = readers.read_table(spark, mart.path("model_comparison"), COMPARISON_SCHEMA)
-    chosen = comparison.where(F.col("is_champion") & (F.col("model_version") == F.lit(champion)))
+    chosen = of_version(spark, mart, "model_comparison", champion, COMPARISON_SCHEMA).where("is_champion")
     baseline = governance.selection_scores(chosen).agg(F.max("selection_auc")).scalar()
     table = readers.read_table(spark, mart.path("monitoring"), MONITORING_SCHEMA)
     return governance.retrain_decision(
@@ -160,8 +257,8 @@ def decide_retrain(spark: SparkSession, mart: Mart) -> DataFrame:
 
 def drifted_features(spark: SparkSession, mart: Mart) -> list[str]:
     """Names of the features to leave out of training; at most one row per feature."""
-    csi = readers.read_table(spark, mart.path("csi"), CSI_SCHEMA)
-    return [r["feature"] for r in governance.drifted_features(csi).select("feature").collect()]
+    csi = of_version(spark, mart, "csi", version_of(spark, mart, "champion"), CSI_SCHEMA)
+    return sorted(r["feature"] for r in governance.drifted_features(csi).select("feature").collect())
 
 
 def train(
@@ -171,23 +268,48 @@ def train(
     at: Column | None = None,
     options: training.TrainingOptions = training.TrainingOptions(),
 ) -> training.TrainingResult | None:
-    """Train a challenger and register it; the first model becomes champion at once."""
+    """Train a challenger and register it; the first model becomes champion at once.
+
+    Training a version again replaces its model and all tables that describe it.
+    """
     at = F.current_timestamp() if at is None else at.cast("timestamp")
     store = datamart.with_engineered(spark.read.parquet(mart.path("feature_store")))
     dataset = training_data.labelled_dataset(store, spark.read.parquet(mart.path("label_store")))
-    features = training_data.available_features(dataset.columns, drifted_features(spark, mart))
-    result = training.train_challenger(dataset, features, version, options)
-    if result is None:
-        return None
-    result.model.save(spark, mart.model(version))
-    for name, table, keys in (
-        ("model_comparison", result.comparison, ["model_version", "model", "split"]),
-        ("feature_importance", result.importances, ["model_version", "feature"]),
-        ("feature_baseline", result.baseline, ["model_version", "feature"]),
-        ("train_scores", result.train_scores, ["model_version"]),
-        ("training_splits", result.splits, ["model_version", "split"]),
-    ):
-        writers.append_new(table.withColumn("model_version", F.lit(version)), mart.path(name), keys)
+    excluded = drifted_features(spark, mart)
+    with temporary():
+        features = training_data.available_features(dataset.columns, excluded)
+        result = training.train_challenger(dataset, features, version, options)
+        if result is None:
+            return None
+        result.model.save(spark, mart.model(version))
+        scored = readers.month_partitions(spark, mart.path("predictions"))
+        metadata = spark.createDataFrame(
+            [
+                (
+                    result.model.name,
+                    json.dumps({"boosted_trees": result.parameters, "options": asdict(options)}),
+                    excluded,
+                    list(result.model.preprocessing.features),
+                    result.model.calibrator.method,
+                    result.calibration_rows,
+                    dt.date.fromisoformat(options.train_end),
+                    dt.date.fromisoformat(options.test_end),
+                    None,
+                    max(scored, default=None),
+                    version,
+                )
+            ],
+            METADATA_SCHEMA,
+        ).withColumn("train_date", at)
+        for name, table in (
+            ("model_metadata", metadata),
+            ("model_comparison", result.comparison.withColumn("train_date", at)),
+            ("feature_importance", result.importances),
+            ("feature_baseline", result.baseline),
+            ("train_scores", result.train_scores),
+            ("training_splits", result.splits),
+        ):
+            writers.write_version(table, mart.path(name), version)
 
     log = registry(spark, mart)
     bootstrap = governance.version_in_role(log, "champion").isEmpty()
@@ -203,49 +325,100 @@ def promote(spark: SparkSession, mart: Mart, at: Column, reason: str) -> None:
     writers.append_rows(changes, mart.path("registry"))
 
 
-def score(spark: SparkSession, mart: Mart, months: DataFrame | None = None) -> None:
-    """Predictions of the scoring months, by the champion and a challenger in shadow."""
+def score(spark: SparkSession, mart: Mart, months: Months = None, rebuild: bool = False) -> list[dt.date]:
+    """Predict the scoring months that are due, by the champion and a challenger in shadow.
+
+    A scoring month is due when its features exist and it has no predictions; others are only
+    written again on ``rebuild``. Returns the months written.
+    """
     champion = version_of(spark, mart, "champion")
     if champion is None:
-        return
+        return []
     challenger = version_of(spark, mart, "challenger")
-    store = spark.read.parquet(mart.path("feature_store"))
-    rows = datamart.with_engineered(training_data.scoring_features(store))
-    if months is not None:
-        rows = only_months(rows, months)
+    possible = {shifted(m, MOB) for m in readers.month_partitions(spark, mart.path("feature_store"))}
+    wanted = possible if months is None else possible & set(months)
+    done = set() if rebuild else set(readers.month_partitions(spark, mart.path("predictions")))
+    todo = sorted(wanted - done)
+    if not todo:
+        return []
+    # The months are filtered before the shift, so only their feature partitions are read.
+    sources = [m for m in readers.month_partitions(spark, mart.path("feature_store")) if shifted(m, MOB) in todo]
+    store = readers.in_months(spark.read.parquet(mart.path("feature_store")), sources)
     predictions = training.score_month_rows(
-        rows,
+        datamart.with_engineered(training_data.scoring_features(store)),
         training.load_scoring_model(spark, mart.model(champion)),
         training.load_scoring_model(spark, mart.model(challenger)) if challenger else None,
     )
     writers.write_months(predictions, mart.path("predictions"))
+    return todo
+
+
+def measure(spark: SparkSession, mart: Mart, rebuild: bool = False) -> None:
+    """Store what monitoring needs of each new month: bin counts, ranking metrics and CSI.
 
+    A month's predictions, labels and features are read once. CSI belongs to the champion whose
+    training bins it uses; a new champion gets its own.
+    """
+    champion = version_of(spark, mart, "champion")
+    scored = readers.month_partitions(spark, mart.path("predictions"))
+
+    def due(table: str, months: Sequence[dt.date]) -> list[dt.date]:
+        return sorted(set(months) - (set() if rebuild else finished_months(spark, mart, table)))
 
-def monitor(spark: SparkSession, mart: Mart, at: Column | None = None) -> None:
-    """Monitoring table, CSI, alerts, and promotion when the challenger has won."""
+    todo = due("score_profile", scored)
+    if todo:
+        rows = readers.in_months(spark.read.parquet(mart.path("predictions")), todo)
+        versions = rows.groupBy(MONTH).agg(
+            F.max("model_version").alias("model_version"),
+            F.max("challenger_model_version").alias("challenger_model_version"),
+        )
+        writers.write_months(score_profile(rows).join(versions, MONTH), mart.path("score_profile"))
+        mark_finished(spark, mart, "score_profile", todo)
+
+    labelled = set(readers.month_partitions(spark, mart.path("label_store")))
+    todo = due("cohort_performance", sorted(labelled.intersection(scored)))
+    if todo:
+        rows = readers.in_months(spark.read.parquet(mart.path("predictions")), todo)
+        labels = readers.in_months(spark.read.parquet(mart.path("label_store")), todo)
+        writers.write_months(monitoring.cohort_performance(rows, labels), mart.path("cohort_performance"))
+        mark_finished(spark, mart, "cohort_performance", todo)
+
+    store_months = set(readers.month_partitions(spark, mart.path("feature_store")))
+    todo = due(f"csi of {champion}", sorted(store_months.intersection(scored)))
+    if todo:
+        store = readers.in_months(spark.read.parquet(mart.path("feature_store")), todo)
+        baseline = of_version(spark, mart, "feature_baseline", champion)
+        edges = baseline.select("feature", F.col("percentiles").alias("edges"))
+        tracked = tracked_features(spark, mart, champion, store.columns)
+        if tracked:
+            writers.write_version_months(monitoring.csi_table(store, edges, tracked), mart.path("csi"), champion)
+        mark_finished(spark, mart, f"csi of {champion}", todo)
+
+
+def tracked_features(spark: SparkSession, mart: Mart, champion: str, columns: Sequence[str]) -> list[str]:
+    """Baseline features of the champion that the feature store has; at most one row per feature."""
+    baseline = of_version(spark, mart, "feature_baseline", champion)
+    return [r["feature"] for r in baseline.select("feature").orderBy("feature").collect() if r["feature"] in columns]
+
+
+def monitor(spark: SparkSession, mart: Mart, at: Column | None = None, rebuild: bool = False) -> None:
+    """Monitoring table, CSI, alerts, and promotion when the challenger has won.
+
+    New months are measured once; the table is then put together from one small row per month.
+    """
     at = F.current_timestamp() if at is None else at.cast("timestamp")
     champion = version_of(spark, mart, "champion")
-    predictions = readers.read_table(spark, mart.path("predictions"), PREDICTION_SCHEMA)
-    if champion is None:
+    if champion is None or not readers.path_exists(spark, mart.path("predictions")):
         return
-    labels = spark.read.parquet(mart.path("label_store"))
-    store = spark.read.parquet(mart.path("feature_store"))
-
-    of_champion = F.col("model_version") == champion
-    baseline = spark.read.parquet(mart.path("feature_baseline")).where(of_champion)
-    edges = baseline.select("feature", F.col("percentiles").alias("edges"))
-    tracked = [r["feature"] for r in baseline.select("feature").collect() if r["feature"] in store.columns]
-    train_scores = spark.read.parquet(mart.path("train_scores")).where(of_champion)
-    sample = train_scores.select(F.explode("percentiles").alias("score"))
+    measure(spark, mart, rebuild)
 
-    scored_months = datamart.distinct_months(predictions)
-    csi = None
-    if tracked:
-        writers.write_months(
-            monitoring.csi_table(only_months(store, scored_months), edges, tracked), mart.path("csi")
-        )
-        csi = readers.read_table(spark, mart.path("csi"), CSI_SCHEMA)
-    table = monitoring.monitoring_table(predictions, labels, sample, csi, tracked)
+    train_scores = of_version(spark, mart, "train_scores", champion)
+    sample = train_scores.select(F.explode("percentiles").alias("score"))
+    tracked = tracked_features(spark, mart, champion, spark.read.parquet(mart.path("feature_store")).columns)
+    csi = of_version(spark, mart, "csi", champion, CSI_SCHEMA).select(MONTH, "feature", "csi") if tracked else None
+    profile = readers.read_table(spark, mart.path("score_profile"), PROFILE_SCHEMA)
+    performance = readers.read_table(spark, mart.path("cohort_performance"), PERFORMANCE_SCHEMA)
+    table = monitoring.assemble(profile, performance, sample, csi, tracked)
     writers.write_static(table, mart.path("monitoring"))
     table = spark.read.parquet(mart.path("monitoring"))
 
@@ -254,12 +427,15 @@ def monitor(spark: SparkSession, mart: Mart, at: Column | None = None) -> None:
     raised = spark.read.parquet(mart.path("alerts"))
     writers.write_json_document(monitoring.latest_alert(raised), mart.path("latest_alert"))
 
-    if version_of(spark, mart, "challenger") is None:
+    challenger = version_of(spark, mart, "challenger")
+    if challenger is None:
         return
-    decision = governance.promotion_decision(table)
+    metadata = of_version(spark, mart, "model_metadata", challenger, METADATA_SCHEMA)
+    after = metadata.agg(F.max("scored_through")).scalar()
+    decision = governance.promotion_decision(monitoring.in_shadow(table, profile, challenger, after))
     if decision.first()["promote"]:
+        log = keep(decision.withColumn("promoted_at", at), "promotion")
         promote(spark, mart, at, "won_consecutive_months")
-        log = decision.withColumn("promoted_at", at)
         writers.append_new(log, mart.path("promotion_log"), ["cohorts"])
 
 
@@ -268,16 +444,17 @@ def run(
     raw: RawPaths,
     mart: Mart,
     version: str,
-    months: DataFrame | None = None,
+    months: Months = None,
     at: Column | None = None,
     options: training.TrainingOptions = training.TrainingOptions(),
+    rebuild: bool = False,
 ) -> str:
-    """Build, check, train when needed, score and monitor. Returns the retrain reason."""
-    build_datamart(spark, raw, mart, months)
+    """Build, check, train when needed, score and monitor what is due. Returns the retrain reason."""
+    build_datamart(spark, raw, mart, months, rebuild)
     check_quality(spark, mart, months)
     decision = decide_retrain(spark, mart).first()
     if decision["decision"] == governance.TRAIN:
         train(spark, mart, version, at, options)
-    score(spark, mart, months)
-    monitor(spark, mart, at)
+    score(spark, mart, months, rebuild)
+    monitor(spark, mart, at, rebuild)
     return decision["reason"]

@@ -43,11 +43,6 @@ def select_model(metrics: DataFrame, model_order: Sequence[str]) -> DataFrame:
     return metrics.withColumn("is_champion", F.col("model") == best)
 
 
-def top_features(importances: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` most important features."""
-    return importances.orderBy(F.desc("importance"), "feature").limit(n)
-
-
 def drifted_features(csi: DataFrame, threshold: float = RETRAIN_FROM) -> DataFrame:
     """Features whose highest CSI of all months is above the threshold."""
     return csi.groupBy("feature").agg(F.max("csi").alias("max_csi")).where(F.col("max_csi") > threshold)
@@ -111,8 +106,12 @@ def retrain_decision(
 # --- registry: an append-only log of (model_version, role, valid_from, reason) ---------
 
 
-def current_roles(log: DataFrame, order: Sequence[str] = ("valid_from",)) -> DataFrame:
-    """Latest role of each model version."""
+def current_roles(log: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """Latest role of each model version: by ``sequence`` where the log has it, so times may tie."""
+    if order is None:
+        order = ["sequence"] if "sequence" in log.columns else ["valid_from"]
+    if "valid_from" not in order:
+        order = [*order, "valid_from"]
     latest = F.max(F.struct(*order, "role", "reason")).alias("_last")
     return log.groupBy("model_version").agg(latest).select(
         "model_version", "_last.role", "_last.valid_from", "_last.reason"
@@ -121,12 +120,22 @@ def current_roles(log: DataFrame, order: Sequence[str] = ("valid_from",)) -> Dat
 
 def version_in_role(log: DataFrame, role: str) -> DataFrame:
     """``model_version`` now in a role, none or one row."""
-    holders = current_roles(log).where(F.col("role") == role)
-    return holders.agg(F.max_by("model_version", "valid_from").alias("model_version")).where(
+    order = "sequence" if "sequence" in log.columns else "valid_from"
+    latest = F.max(F.struct(order, "role")).alias("_last")
+    holders = log.groupBy("model_version").agg(latest).where(F.col("_last.role") == role)
+    return holders.agg(F.max_by("model_version", f"_last.{order}").alias("model_version")).where(
         F.col("model_version").isNotNull()
     )
 
 
+def in_sequence(changes: DataFrame, log: DataFrame, first: str) -> DataFrame:
+    """Number new log rows after those of ``log``; rows of the role ``first`` come before the others."""
+    if "sequence" not in log.columns:
+        return changes
+    last = F.coalesce(log.agg(F.max("sequence")).scalar(), F.lit(0))
+    return changes.withColumn("sequence", last + F.when(F.col("role") == first, 1).otherwise(2))
+
+
 def registration(
     log: DataFrame, model_version: str, at: Column, reason: str = "trained"
 ) -> DataFrame:
@@ -147,7 +156,8 @@ def registration(
         at.alias("valid_from"),
         F.lit("replaced").alias("reason"),
     )
-    return challenger.unionByName(replaced.where(F.col("model_version") != model_version))
+    rows = challenger.unionByName(replaced.where(F.col("model_version") != model_version))
+    return in_sequence(rows, log, "archived")
 
 
 def promotion(log: DataFrame, at: Column, reason: str = "won_consecutive_months") -> DataFrame:
@@ -157,9 +167,10 @@ def promotion(log: DataFrame, at: Column, reason: str = "won_consecutive_months"
     """
     roles = current_roles(log).where(F.col("role").isin("challenger", "champion"))
     has_challenger = roles.agg(F.max(F.col("role") == "challenger")).scalar()
-    return roles.where(has_challenger).select(
+    rows = roles.where(has_challenger).select(
         "model_version",
         F.when(F.col("role") == "challenger", "champion").otherwise("archived").alias("role"),
         at.alias("valid_from"),
         F.lit(reason).alias("reason"),
     )
+    return in_sequence(rows, log, "archived")

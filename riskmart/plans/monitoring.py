@@ -118,8 +118,21 @@ def monitoring_table(
     csi_features: Sequence[str] = (),
 ) -> DataFrame:
     """One row per scored month: stability, performance, challenger comparison and CSI."""
-    stability = score_stability(score_profile(predictions), training_scores)
-    table = stability.join(cohort_performance(predictions, labels), MONTH, "left").withColumn(
+    return assemble(
+        score_profile(predictions), cohort_performance(predictions, labels), training_scores, csi, csi_features
+    )
+
+
+def assemble(
+    profile: DataFrame,
+    performance: DataFrame,
+    training_scores: DataFrame | None = None,
+    csi: DataFrame | None = None,
+    csi_features: Sequence[str] = (),
+) -> DataFrame:
+    """The monitoring table from what is stored of each month: bin counts, metrics and CSI."""
+    stability = score_stability(profile, training_scores)
+    table = stability.join(performance, MONTH, "left").withColumn(
         "challenger_wins", challenger_wins(F.col("auc"), F.col("challenger_auc"))
     )
     if csi is not None and csi_features:
@@ -127,20 +140,27 @@ def monitoring_table(
     return table
 
 
+def in_shadow(monitoring: DataFrame, versions: DataFrame, challenger: str, after: Column) -> DataFrame:
+    """The monitoring table with the challenger's AUC only where it says something of this challenger.
+
+    ``versions`` has the ``challenger_model_version`` that scored each month; only later months
+    than ``after``, the last one scored before the challenger was registered, count.
+    """
+    own = (F.col("challenger_model_version") == challenger) & (after.isNull() | (F.col(MONTH) > after))
+    return monitoring.join(versions.select(MONTH, "challenger_model_version"), MONTH, "left").withColumn(
+        "challenger_auc", F.when(own, F.col("challenger_auc"))
+    )
+
+
 def challenger_wins(champion_auc: Column, challenger_auc: Column) -> Column:
     """Strictly better; false when either is unknown."""
     return F.coalesce(challenger_auc > champion_auc, F.lit(False))
 
 
-def csi_long(monitoring: DataFrame) -> DataFrame:
-    """The ``csi_*`` columns of a monitoring table as rows."""
-    columns = [c for c in monitoring.columns if c.startswith("csi_")]
-    renamed = monitoring.select(MONTH, *[F.col(c).alias(c.removeprefix("csi_")) for c in columns])
-    return renamed.unpivot([MONTH], [c.removeprefix("csi_") for c in columns], "feature", "csi")
-
-
-def breach_alerts(monitoring: DataFrame, csi: DataFrame | None = None) -> DataFrame:
-    """Alerts for values strictly above the retrain threshold, with their log line."""
+def breach_alerts(
+    monitoring: DataFrame, csi: DataFrame | None = None, threshold: float = RETRAIN_FROM
+) -> DataFrame:
+    """Alerts for values strictly above the threshold, with their log line."""
 
     def alert(kind: str, feature: Column, value: Column) -> list[Column]:
         return [
@@ -151,12 +171,12 @@ def breach_alerts(monitoring: DataFrame, csi: DataFrame | None = None) -> DataFr
             F.lit("retrain").alias("flag"),
         ]
 
-    alerts = monitoring.where(present(F.col("psi_score")) & (F.col("psi_score") > RETRAIN_FROM)).select(
+    alerts = monitoring.where(present(F.col("psi_score")) & (F.col("psi_score") > threshold)).select(
         *alert("PSI_BREACH", F.lit("score"), F.col("psi_score"))
     )
     if csi is not None:
         alerts = alerts.unionByName(
-            csi.where(F.col("csi") > RETRAIN_FROM).select(
+            csi.where(F.col("csi") > threshold).select(
                 *alert("CSI_BREACH", F.col("feature"), F.col("csi"))
             )
         )
@@ -167,13 +187,14 @@ def breach_alerts(monitoring: DataFrame, csi: DataFrame | None = None) -> DataFr
 
 
 def latest_alert(alerts: DataFrame) -> DataFrame:
-    """The last month that raised alerts: how many, and all of them as JSON."""
+    """The last month that raised alerts: when, how many, and all of them as nested rows."""
     last = alerts.agg(F.max(MONTH)).scalar()
     entries = F.sort_array(F.collect_list(F.struct("type", "feature", "value", "flag")))
+    when = [F.max("raised_at").alias("timestamp")] if "raised_at" in alerts.columns else []
     return (
         alerts.where(F.col(MONTH) == last)
         .groupBy(MONTH)
-        .agg(F.count(F.lit(1)).alias("n_alerts"), F.to_json(entries).alias("alerts"))
+        .agg(*when, F.count(F.lit(1)).alias("n_alerts"), entries.alias("alerts"))
     )
 
 

@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.schemas import MONTH
 
 
-def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header, every column as text; quotes inside a value are doubled."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
-
+def read_text_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False
+) -> DataFrame:
+    """CSV with a header, every column as text; quotes inside a value are doubled.
 
-def read_inferred_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header and inferred types; needs an extra pass over the file."""
-    return spark.read.option("header", True).option("escape", '"').option("inferSchema", True).csv(path)
+    With a ``schema`` the header is checked against its names. ``multiline`` allows line breaks
+    inside values; such a file is read by one task, so it is off by default.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    if schema is not None:
+        reader = reader.schema(schema).option("enforceSchema", False)
+    return reader.csv(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -28,16 +36,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame | None:
-    """A Parquet table; when it is absent an empty frame of ``schema``, or None without one."""
+    """A Parquet table; when it is absent or has no files an empty frame of ``schema``, or None without one."""
     if path_exists(spark, path):
-        return spark.read.parquet(path)
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
     return None if schema is None else spark.createDataFrame([], schema)
 
 
-def existing_months(spark: SparkSession, path: str) -> DataFrame:
-    """Months a partitioned table already holds; only the partition column is read."""
+def month_partitions(spark: SparkSession, path: str) -> list[dt.date]:
+    """Months a partitioned table holds, as short a list as the calendar; no data column is read."""
     table = read_table(spark, path, f"{MONTH} date")
-    return table.select(F.col(MONTH).cast("date").alias(MONTH)).distinct()
+    months = table.select(F.col(MONTH).cast("date").alias(MONTH)).where(f"{MONTH} IS NOT NULL").distinct()
+    return sorted(r[0] for r in months.collect())
+
+
+def in_months(df: DataFrame, months: Sequence[dt.date]) -> DataFrame:
+    """Rows of the listed months, as literals, so that only their partitions are read."""
+    return df.where(F.col(MONTH).isin(list(months)) if months else F.lit(False))
 
 
 def read_month_files(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
@@ -49,13 +67,3 @@ def read_month_files(spark: SparkSession, folder: str, prefix: str) -> DataFrame
     tag = F.regexp_extract(F.col("_metadata.file_path"), rf"{prefix}(\d{{4}}_\d{{2}}_\d{{2}})\.parquet", 1)
     dated = files.withColumn(MONTH, F.try_to_date(tag, "yyyy_MM_dd"))
     return dated.where(F.col(MONTH).isNotNull())
-
-
-def month_file_tag(month: Column) -> Column:
-    """The ``YYYY_MM_DD`` tag of a date column."""
-    return F.date_format(month, "yyyy_MM_dd")
-
-
-def latest_month(df: DataFrame, month: str = MONTH) -> DataFrame:
-    """Rows of the latest month of a table."""
-    return df.where(F.col(month) == df.agg(F.max(month)).scalar())

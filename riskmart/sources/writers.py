@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from riskmart.schemas import MONTH
 from riskmart.sources.readers import path_exists
 
+# Partition column of tables by model version; its text is never taken for a number.
+VERSION_KEY = "version_key"
+
 
 def write_months(df: DataFrame, path: str, month: str = MONTH) -> None:
     """Write monthly partitions, replacing only the months that are in ``df``.
@@ -25,6 +29,29 @@ def write_months(df: DataFrame, path: str, month: str = MONTH) -> None:
     )
 
 
+def write_version(df: DataFrame, path: str, version: str) -> None:
+    """Write all rows of one model version, replacing those of an earlier training of that version."""
+    rows = df.withColumns({"model_version": F.lit(version), VERSION_KEY: F.concat(F.lit("version "), F.lit(version))})
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(VERSION_KEY)
+        .parquet(path)
+    )
+
+
+def write_version_months(df: DataFrame, path: str, version: str, month: str = MONTH) -> None:
+    """Write months of one model version, replacing only those."""
+    rows = df.withColumns({"model_version": F.lit(version), VERSION_KEY: F.concat(F.lit("version "), F.lit(version))})
+    (
+        rows.hint("rebalance", month)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(VERSION_KEY, month)
+        .parquet(path)
+    )
+
+
 def write_static(df: DataFrame, path: str, if_absent: bool = False) -> bool:
     """Write a whole table; with ``if_absent`` an existing one is kept. Says if it wrote."""
     if if_absent and path_exists(df.sparkSession, path):

@@ -1,7 +1,12 @@
 """The whole pipeline on small extracts in the raw schemas."""
 
+import dataclasses
 import datetime as dt
+import json
 import random
+import re
+import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +14,7 @@ from pyspark.sql import functions as F
 from riskmart import jobs
 from riskmart.plans.training import TrainingOptions
 from riskmart.schemas import RAW_ATTRIBUTE_COLUMNS, RAW_CLICKSTREAM_COLUMNS, RAW_FINANCIAL_COLUMNS
+from riskmart.sources import readers, writers
 
 CUSTOMERS = 60
 MONTHS = [dt.date(2023 + m // 12, m % 12 + 1, 1) for m in range(18)]
@@ -104,12 +110,17 @@ def test_datamart(spark, mart):
 def test_first_model_is_promoted(spark, mart):
     assert jobs.version_of(spark, mart, "champion") == "v1"
     assert jobs.version_of(spark, mart, "challenger") is None
-    comparison = table(spark, mart, "model_comparison")
+    comparison = jobs.of_version(spark, mart, "model_comparison", "v1")
     assert comparison.count() == 9
     assert comparison.where("is_champion").select("model").distinct().count() == 1
     best = comparison.where("is_champion and split = 'oot'").first()
-    assert best["auc"] > 0.7
-    assert table(spark, mart, "train_scores").first()["percentiles"] is not None
+    assert best["auc"] > 0.7 and best["train_date"] is not None
+    assert jobs.of_version(spark, mart, "train_scores", "v1").first()["percentiles"] is not None
+    metadata = jobs.of_version(spark, mart, "model_metadata", "v1").first()
+    parameters = json.loads(metadata["parameters"])
+    assert set(parameters["boosted_trees"]) == {"maxIter", "maxDepth"} and parameters["options"]["search_draws"] == 1
+    assert metadata["calibration"] == "sigmoid" and metadata["calibration_rows"] > 0
+    assert metadata["scored_through"] is None and metadata["excluded_features"] == []
 
 
 def test_predictions(spark, mart):
@@ -133,9 +144,26 @@ def snapshot(df):
     return sorted(map(str, df.select(*sorted(df.columns)).collect()))
 
 
+def test_alert_document_is_nested(spark, mart):
+    document = spark.read.json(mart.path("latest_alert"))
+    if document.count():
+        assert document.schema["alerts"].dataType.elementType.names == ["feature", "flag", "type", "value"]
+        assert "timestamp" in document.columns
+
+
+def test_gate_sees_absent_months(spark, mart):
+    report = table(spark, mart, "quality_report")
+    months = {r[0] for r in report.select("snapshot_date").distinct().collect()}
+    assert months == set(MONTHS)
+    empty = {r["snapshot_date"] for r in report.where("check = 'empty_label_partition'").collect()}
+    assert empty == set(MONTHS[5:6])  # loans of five months on book only
+
+
 def test_rerun_changes_nothing(spark, raw, mart):
-    before = {n: snapshot(table(spark, mart, n)) for n in ("label_store", "feature_store", "alerts", "registry")}
+    names = ("label_store", "feature_store", "alerts", "registry", "predictions", "monitoring", "silver_financials")
+    before = {n: snapshot(table(spark, mart, n)) for n in names}
     jobs.build_datamart(spark, raw, mart)
+    assert jobs.score(spark, mart) == []
     jobs.monitor(spark, mart, F.lit("2024-08-01"))
     assert before == {n: snapshot(table(spark, mart, n)) for n in before}
 
@@ -143,21 +171,130 @@ def test_rerun_changes_nothing(spark, raw, mart):
 def test_months_one_by_one_equal_all_at_once(spark, raw, mart, tmp_path):
     other = jobs.Mart(str(tmp_path / "stepwise"))
     for months in (MONTHS[:7], MONTHS[7:8], MONTHS[8:]):
-        wanted = spark.createDataFrame([(m,) for m in months], "snapshot_date date")
-        jobs.build_datamart(spark, raw, other, wanted)
+        jobs.build_datamart(spark, raw, other, months)
     for name in ("silver_loans", "label_store", "feature_store"):
         assert snapshot(table(spark, other, name)) == snapshot(table(spark, mart, name)), name
 
 
-def test_challenger_in_shadow_and_promotion(spark, mart):
-    jobs.train(spark, mart, "v2", F.lit("2024-09-01"), OPTIONS)
-    assert jobs.version_of(spark, mart, "challenger") == "v2"
-    assert jobs.decide_retrain(spark, mart).first()["reason"] == "challenger_in_shadow"
-    jobs.score(spark, mart)
-    predictions = table(spark, mart, "predictions")
-    assert predictions.where("challenger_score is null").count() == 0
-    jobs.promote(spark, mart, F.lit("2024-10-01").cast("timestamp"), "test")
-    assert jobs.version_of(spark, mart, "champion") == "v2"
-    assert jobs.version_of(spark, mart, "challenger") is None
-    roles = {r["model_version"]: r["role"] for r in jobs.governance.current_roles(jobs.registry(spark, mart)).collect()}
-    assert roles == {"v1": "archived", "v2": "champion"}
+def test_months_without_output_are_not_tried_again(spark, raw, mart):
+    assert set(MONTHS[5:6]) <= jobs.finished_months(spark, mart, "label_store")
+    assert MONTHS[5] not in readers.month_partitions(spark, mart.path("label_store"))
+    log = spark.read.parquet(mart.path("finished")).count()
+    jobs.build_datamart(spark, raw, mart)
+    assert spark.read.parquet(mart.path("finished")).count() == log
+
+
+def test_only_the_due_partitions_are_read(spark, mart, monkeypatch):
+    plans = []
+    monkeypatch.setattr(writers, "write_months", lambda df, path: plans.append(df._jdf.queryExecution().toString()))
+    monkeypatch.setattr(jobs, "mark_finished", lambda *a: None)
+    jobs.build_months(spark, mart, "silver_loans", "bronze_loans", jobs.datamart.silver_loans, [MONTHS[8]], True)
+    jobs.score(spark, mart, [add_months(MONTHS[2], 6)], rebuild=True)
+    monkeypatch.setattr(readers, "month_partitions", lambda s, p: [MONTHS[8]])
+    jobs.measure(spark, mart, rebuild=True)
+    assert len(plans) == 4
+    for plan, month in zip(plans, (MONTHS[8], MONTHS[2], MONTHS[8], MONTHS[8])):
+        filters = re.findall(r"PartitionFilters: \[[^\]]*\]", plan)
+        assert filters and all(f"= {month}" in f or f"IN ({month})" in f for f in filters), filters
+
+
+def test_new_records_of_a_history_are_added(spark, raw, mart, tmp_path):
+    lines = Path(raw.attributes).read_text().splitlines()
+    longer = tmp_path / "attributes.csv"
+    longer.write_text("\n".join([*lines, 'C3,"Name, 3",44_,000-00-0000,Doctor,2024-06-15']) + "\n")
+    other = jobs.Mart(str(tmp_path / "history"))
+    jobs.build_datamart(spark, raw, other, MONTHS[:2])
+    before = table(spark, other, "silver_attributes").count()
+    jobs.build_datamart(spark, dataclasses.replace(raw, attributes=str(longer)), other, MONTHS[:3])
+    after = table(spark, other, "silver_attributes")
+    assert after.count() == before + 1
+    assert after.where("snapshot_date = '2024-06-15'").first()["Age"] == 44
+
+
+def test_shadow_period_month_by_month(spark, mart, tmp_path):
+    """A challenger is scored on new months only, and needs two new labelled cohorts to be promoted."""
+    other = jobs.Mart(str(tmp_path / "shadow"))
+    copy_tables(spark, mart, other)
+    scored = MONTHS[6:10]
+    jobs.score(spark, other, scored)
+    jobs.monitor(spark, other, F.lit("2023-11-01"))
+    old = snapshot(table(spark, other, "predictions"))
+    jobs.train(spark, other, "v2", F.lit("2023-11-01"), OPTIONS)
+    assert jobs.version_of(spark, other, "challenger") == "v2"
+    assert jobs.decide_retrain(spark, other).first()["reason"] == "challenger_in_shadow"
+    assert jobs.of_version(spark, other, "model_metadata", "v2").first()["scored_through"] == MONTHS[9]
+
+    jobs.monitor(spark, other, F.lit("2023-11-02"))
+    assert jobs.version_of(spark, other, "challenger") == "v2"
+    win_always(other, spark)
+    for n, month in enumerate(MONTHS[10:12]):
+        assert jobs.score(spark, other, MONTHS[: 11 + n]) == [month]
+        new = table(spark, other, "predictions")
+        assert snapshot(new.where(F.col("snapshot_date") <= MONTHS[9])) == old
+        assert new.where(F.col("snapshot_date") == month).where("challenger_score is null").count() == 0
+        jobs.monitor(spark, other, F.lit(f"2023-12-0{n + 1}"))
+        assert n or jobs.version_of(spark, other, "champion") == "v1"
+        # What the measured months say is made a win of the challenger's, and monitoring goes on from there.
+        win_always(other, spark)
+        jobs.monitor(spark, other, F.lit(f"2023-12-1{n + 1}"))
+        assert jobs.version_of(spark, other, "champion") == ("v1" if n == 0 else "v2")
+    assert table(spark, other, "promotion_log").first()["cohorts"] == MONTHS[10:12]
+
+
+def copy_tables(spark, mart, other):
+    for name in ("feature_store", "label_store", "registry", "finished", "feature_baseline", "train_scores", "model_comparison", "model_metadata"):
+        rows = spark.read.parquet(mart.path(name))
+        if name == "finished":
+            rows = rows.where("table in ('label_store', 'feature_store')")
+        keys = [c for c in ("snapshot_date", "version_key") if c in rows.columns and name != "finished"]
+        rows.write.partitionBy(*keys).parquet(other.path(name)) if keys else rows.write.parquet(other.path(name))
+    shutil.copytree(mart.model("v1"), other.model("v1"))
+
+
+def win_always(mart, spark):
+    """Stored metrics in which the challenger wins every month, those before its time too."""
+    rows = spark.read.schema(jobs.PERFORMANCE_SCHEMA).parquet(mart.path("cohort_performance"))
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    writers.write_months(rows.withColumns({"auc": F.lit(0.6), "challenger_auc": F.lit(0.9)}), mart.path("cohort_performance"))
+
+
+def test_measuring_month_by_month_equals_all_at_once(spark, mart, tmp_path):
+    other = jobs.Mart(str(tmp_path / "measured"))
+    copy_tables(spark, mart, other)
+    for months in (MONTHS[6:8], MONTHS[8:9], None):
+        jobs.score(spark, other, months)
+        jobs.monitor(spark, other, F.lit("2024-07-01"))
+    for name in ("predictions", "monitoring", "score_profile", "cohort_performance", "csi"):
+        assert snapshot(rounded(table(spark, other, name))) == snapshot(rounded(table(spark, mart, name))), name
+
+
+def rounded(df):
+    return df.select(*[F.round(c, 9).alias(c) if t == "double" else c for c, t in df.dtypes])
+
+
+def test_training_a_version_again_replaces_it(spark, mart, tmp_path):
+    other = jobs.Mart(str(tmp_path / "again"))
+    copy_tables(spark, mart, other)
+    for _ in range(2):
+        jobs.train(spark, other, "v9", F.lit("2024-09-01"), OPTIONS)
+    assert jobs.of_version(spark, other, "model_comparison", "v9").count() == 9
+    assert jobs.of_version(spark, other, "model_metadata", "v9").count() == 1
+    assert jobs.of_version(spark, other, "model_comparison", "v1").count() == 9
+    jobs.promote(spark, other, F.lit("2024-09-01").cast("timestamp"), "test")  # at the time of registration
+    roles = {r["model_version"]: r["role"] for r in jobs.governance.current_roles(jobs.registry(spark, other)).collect()}
+    assert roles == {"v1": "archived", "v9": "champion"}
+
+
+def test_month_files_are_landed(spark, mart, tmp_path):
+    other = jobs.Mart(str(tmp_path / "landed"))
+    for month in MONTHS[:2]:
+        spark.createDataFrame([("a", 1)], "k string, x int").write.parquet(f"{tmp_path}/in/clicks_{month:%Y_%m_%d}.parquet")
+    jobs.land_month_files(spark, other, "bronze_clickstream", f"{tmp_path}/in", "clicks_")
+    assert readers.month_partitions(spark, other.path("bronze_clickstream")) == MONTHS[:2]
+
+
+def test_values_with_line_breaks(spark, tmp_path):
+    path = write_csv(tmp_path / "x.csv", ["a", "b"], [["one\ntwo", "3"], ["four", "5"]])
+    schema = jobs.text_schema(["a", "b"])
+    rows = readers.read_text_csv(spark, path, schema, multiline=True).collect()
+    assert [tuple(r) for r in rows] == [("one\ntwo", "3"), ("four", "5")]

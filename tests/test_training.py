@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskmart.operators.isotonic import pooled_blocks
 from riskmart.plans import preprocessing, training, training_data
 
 
@@ -59,6 +60,47 @@ def test_isotonic_is_monotone_and_keeps_the_mean(spark):
     assert np.mean(values) == pytest.approx(np.mean([r["label"] for r in out]), abs=1e-9)
 
 
+def test_pooling_in_ranges_changes_no_fit(spark):
+    from pyspark.ml.regression import IsotonicRegression
+
+    rng = random.Random(4)
+    rows = [(rng.random(), float(rng.random() < 0.3 + 0.4 * (i % 7 == 0)), float(rng.randint(1, 4))) for i in range(800)]
+    rows += [(2 + i / 10, float(i % 2), 1.0) for i in range(9)]
+    df = spark.createDataFrame(rows, "raw double, target double, w double").repartition(5)
+    blocks = pooled_blocks(df, "raw", "target", "w")
+    assert blocks.count() < 200
+    fits = [
+        IsotonicRegression(featuresCol="raw", labelCol="target", weightCol="w").fit(x).transform(df).orderBy("raw").collect()
+        for x in (df, blocks)
+    ]
+    for a, b in zip(*fits, strict=True):
+        assert a["prediction"] == pytest.approx(b["prediction"], abs=1e-9)
+
+
+def test_calibration_method_is_an_option(spark):
+    rows = [(i / 100, i % 3 == 0, 1) for i in range(100)]
+    df = spark.createDataFrame([(r, int(y), w) for r, y, w in rows], "raw double, label int, weight long")
+    options = training.TrainingOptions(isotonic_above=50)
+    assert training.fit_calibrator(df, 100, options).method == "isotonic"
+    assert training.fit_calibrator(df, 50, options).method == "sigmoid"
+    assert training.fit_calibrator(df, 100, training.TrainingOptions(calibration="sigmoid", isotonic_above=50)).method == "sigmoid"
+
+
+def test_absent_split_has_rows_without_metrics(spark):
+    metrics = spark.createDataFrame(
+        [(m, "train", 9, 0.7, 0.4, 0.3) for m in training.MODEL_ORDER], "model string, split string, n_scored long, auc double, gini double, ks double"
+    )
+    rows = training.with_all_splits(metrics).collect()
+    assert len(rows) == 9 and sum(r["auc"] is None for r in rows) == 6
+
+
+def test_fit_rows_bound_only_the_fit(spark):
+    df = spark.range(10_000)
+    options = training.TrainingOptions(fit_rows=1000)
+    assert 800 < training.fitted_on(df, 10_000, options).count() < 1200
+    assert training.fitted_on(df, 900, options).count() == 10_000
+
+
 def test_split_names(spark):
     days = ["2023-12-01", "2024-01-01", "2024-03-01", "2024-04-01"]
     df = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], "d date")
