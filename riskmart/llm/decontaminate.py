@@ -30,15 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.llm.license_scan import fold
-from riskmart.llm.words import ROW, map_texts, shingle_hashes, with_row_id, word_hashes
+from riskmart.llm.words import ROW, alphanumeric, map_texts, shingle_hashes, with_row_id
 from riskmart.sources.scratch import keep
 
 MINIMA = 64
 PERCENT = 75
 GROUP_SHINGLES = 1_000_000
 _CHUNK = 4096
-_MASK_BITS = 20
 _HIGHEST = np.uint32(0xFFFFFFFF)
 
 _random = np.random.default_rng(6)
@@ -49,7 +47,7 @@ _SALT = _random.integers(0, 2**32, MINIMA, dtype=np.uint32)[:, None]
 
 def text_shingles(text: str) -> np.ndarray:
     """The shingles of a text in order."""
-    return shingle_hashes(word_hashes(fold(text.lower())))
+    return shingle_hashes(alphanumeric(text.lower().encode()))
 
 
 def block_minima(shingles: np.ndarray, width: int) -> np.ndarray:
@@ -86,16 +84,17 @@ class SizeClass:
 
     def __init__(self, sketches: list[np.ndarray], numbers: list[int]):
         signs = np.stack(sketches, axis=1)
-        self.bits = np.zeros(1 << _MASK_BITS, bool)
+        # About one slot in 32 is taken, so few others pass, and a small table stays in the cache.
+        self.mask = np.uint32((1 << (signs.size.bit_length() + 5)) - 1)
+        self.bits = np.zeros(int(self.mask) + 1, bool)
         self.bits[self._slot(signs)] = True
         marked = (np.arange(MINIMA, dtype=np.uint64)[:, None] << np.uint64(32)) | signs
         order = np.argsort(marked, axis=None)
         self.values = marked.reshape(-1)[order]
         self.items = np.tile(np.array(numbers), MINIMA)[order]
 
-    @staticmethod
-    def _slot(signs: np.ndarray) -> np.ndarray:
-        return (signs ^ _SALT) & np.uint32((1 << _MASK_BITS) - 1)
+    def _slot(self, signs: np.ndarray) -> np.ndarray:
+        return (signs ^ _SALT) & self.mask
 
     def candidates(self, signs: np.ndarray) -> set[int]:
         function, place = np.nonzero(self.bits[self._slot(signs)])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.components import components
-from riskmart.llm.words import ROW, map_texts, shingle_hashes, with_row_id, word_hashes
+from riskmart.llm.words import ROW, between_spaces, map_texts, shingle_hashes, with_row_id
 from riskmart.sources.scratch import keep, temporary
 
 BANDS = 48
@@ -48,7 +48,7 @@ _ORDER_MASKS = [0, *(int(x) for x in _random.integers(0, 2**62, ORDERS - 1))]
 
 def shingle_set(text: str) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit hashes."""
-    return np.unique(shingle_hashes(word_hashes(text.encode().lower().split())))
+    return np.unique(shingle_hashes(between_spaces(text.encode())))
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:

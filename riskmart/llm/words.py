@@ -6,13 +6,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SHINGLE_WORDS = 5
-MEMO_ENTRIES = 500_000
 
 # Odd multipliers of the positions of a shingle; any odd numbers with mixed bits would do.
 _FACTORS = np.array(
@@ -22,23 +20,79 @@ _FACTORS = np.array(
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
-class HashMemo(dict):
-    """64-bit hashes of words as asked for; emptied when it holds too many."""
+_BASE = 0x9FB21C651E98DF25
+_CHUNK_BYTES = 1 << 15
+_POWERS = np.array([_BASE], np.uint64).repeat(_CHUNK_BYTES)
+_POWERS[0] = 1
+_POWERS = np.cumprod(_POWERS, dtype=np.uint64)
+_INVERSES = np.array([pow(_BASE, -1, 1 << 64)], np.uint64).repeat(_CHUNK_BYTES)
+_INVERSES[0] = 1
+_INVERSES = np.cumprod(_INVERSES, dtype=np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[word] = value
-        return value
 
+class WordHasher:
+    """64-bit hashes of the words of UTF-8 texts, computed for all words of a text at once.
 
-_memo = HashMemo()
-
+    A word's hash is a polynomial in its bytes with a random value for each of the 256, so the sums
+    over prefixes of a text give those of its words. ``separators`` are the bytes between words;
+    capitals A-Z count as small letters.
+    """
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_memo.__getitem__, words), np.uint64, len(words))
+    def __init__(self, separators: Iterable[int]):
+        self.value = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
+        self.value[65:91] = self.value[97:123]
+        self.apart = np.zeros(256, bool)
+        self.apart[list(separators)] = True
+        self.value[self.apart] = 0
+
+    def __call__(self, data: bytes) -> np.ndarray:
+        raw = np.frombuffer(data, np.uint8)
+        parts, start = [], 0
+        while start < len(raw):
+            end = min(start + _CHUNK_BYTES, len(raw))
+            if end < len(raw):  # a chunk ends between words
+                gaps = np.flatnonzero(self.apart[raw[start:end]])
+                if len(gaps):
+                    end = start + int(gaps[-1]) + 1
+                else:
+                    gaps = np.flatnonzero(self.apart[raw[start:]])
+                    end = start + int(gaps[0]) if len(gaps) else len(raw)
+                    parts.append(np.array([self._long(data[start:end])], np.uint64))
+                    start = end
+                    continue
+            parts.append(self._short(raw[start:end]))
+            start = end
+        return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
+    def _short(self, raw: np.ndarray) -> np.ndarray:
+        inside = np.zeros(len(raw) + 2, np.int8)
+        np.logical_not(self.apart[raw], out=inside[1:-1].view(bool))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(self.value[raw] * _POWERS[: len(raw)], out=sums[1:])
+        return self._mixed((sums[ends] - sums[starts]) * _INVERSES[starts])
+
+    def _long(self, word: bytes) -> int:
+        """The same polynomial for one very long word, chunk by chunk."""
+        total, scale = 0, 1
+        whole = pow(_BASE, _CHUNK_BYTES, 1 << 64)
+        for at in range(0, len(word), _CHUNK_BYTES):
+            raw = np.frombuffer(word[at : at + _CHUNK_BYTES], np.uint8)
+            total += scale * int((self.value[raw] * _POWERS[: len(raw)]).sum(dtype=np.uint64))
+            scale = scale * whole % (1 << 64)
+        return int(self._mixed(np.array([total % (1 << 64)], np.uint64))[0])
+
+    @staticmethod
+    def _mixed(value: np.ndarray) -> np.ndarray:
+        value = value ^ (value >> np.uint64(32))
+        value *= _MIX
+        return value ^ (value >> np.uint64(31))
+
+
+#: Words between white space, and words of letters and digits.
+between_spaces = WordHasher([32, *range(9, 14)])
+alphanumeric = WordHasher(c for c in range(128) if not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122))
 
 
 def sequence_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
