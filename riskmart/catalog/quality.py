@@ -155,9 +155,9 @@ def quality_report(spark, folder):
     "quality_critical_rows",
     sql_with(
         [*STORE, *LABELS, "wanted", "built"],
-        """SELECT snapshot_date, 'required_column' AS "check", 'Age' AS column_name, 0.0 AS value, 'critical' AS severity
+        """SELECT snapshot_date, 'required_column' AS "check", 'Age' AS column_name, CAST(0 AS DOUBLE) AS value, 'critical' AS severity
         FROM built UNION ALL
-        SELECT snapshot_date, 'empty_partition', NULL, 0.0, 'critical' FROM wanted
+        SELECT snapshot_date, 'empty_partition', NULL, CAST(0 AS DOUBLE), 'critical' FROM wanted
         WHERE snapshot_date NOT IN (SELECT snapshot_date FROM built)""",
     ),
 )
