@@ -156,7 +156,8 @@ def evaluate(order: list[str]) -> tuple[set[str], int]:
 
 def _after_tag(text: str, start_word: int) -> str:
     """The rest of the line behind the three words of a tag."""
-    for number, match in enumerate(WORD.finditer(text)):
+    small = text.encode().lower().decode()  # as long as the text: only A-Z change
+    for number, match in enumerate(WORD.finditer(small)):
         if number == start_word + 2:
             return re.split(r"[\r\n;\"'*#<>]", text[match.end() :].lstrip(" :=\t"), maxsplit=1)[0]
     return ""
