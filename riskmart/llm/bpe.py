@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -31,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-LEAF_BYTES = 16
+LEAF_BYTES = 32
 SHORT_BYTES = 48
 MEMO_ENTRIES = 600_000
 MEMO_CHARACTERS = 64
@@ -43,6 +44,27 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line)}
 
 
+# What the classes of a pattern hold of ASCII.
+ASCII_CLASSES = {r"\p{L}": "A-Za-z", r"\p{N}": "0-9", r"\s": r" \t\n\x0b\x0c\r"}
+
+
+def in_ascii(pattern: str) -> str:
+    """A pattern that matches ASCII texts as the given one does, in terms the standard module has."""
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        name = next((c for c in (*ASCII_CLASSES, r"\S") if pattern.startswith(c, at)), None)
+        if name == r"\S":
+            out.append(f"[^{ASCII_CLASSES[chr(92) + 's']}]")
+        elif name:
+            out.append(ASCII_CLASSES[name] if inside else f"[{ASCII_CLASSES[name]}]")
+        else:
+            name = pattern[at : at + 2] if pattern[at] == chr(92) else pattern[at]
+            inside = name == "[" or inside and name != "]"
+            out.append(name)
+        at += len(name)
+    return "".join(out)
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; memos are bounded and hold no text beyond a word."""
 
@@ -50,6 +72,7 @@ class Codec:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
+        self.ascii_pattern = re.compile(in_ascii(pattern))
         self.compatible_memo: dict[tuple[int, int], bool] = {}
         pairs = {
             ranks[token[:i]] << 32 | ranks[token[i:]]: rank
@@ -60,6 +83,14 @@ class Codec:
         self._pairs = np.array(sorted(pairs), np.int64)
         self._pair_ranks = np.array([pairs[p] for p in self._pairs.tolist()], np.int64)
         self._of_byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+        self._of_bytes = np.full(1 << 16, _NO_RANK, np.int64)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self._of_bytes[token[0] << 8 | token[1]] = rank
+
+    def words(self, text: str) -> list[str]:
+        """The matches of the pattern."""
+        return (self.ascii_pattern if text.isascii() else self.pattern).findall(text)
 
     # --- leaves ---------------------------------------------------------------------
 
@@ -116,8 +147,9 @@ class Codec:
         sizes = np.array([len(w) for w in words], np.int64)
         number = np.nonzero(sizes)[0]
         sizes = sizes[number]
-        tokens = self._of_byte[np.frombuffer(b"".join(words), np.uint8)]
-        ranks = self._rank_of_pairs(tokens, np.append(tokens[1:], -1)) if len(tokens) else tokens
+        data = np.frombuffer(b"".join(words), np.uint8)
+        tokens, ranks = self._of_byte[data], np.full(len(data), _NO_RANK)
+        ranks[:-1] = self._of_bytes[data[:-1].astype(np.uint16) << 8 | data[1:]]
         ranks[np.cumsum(sizes) - 1] = _NO_RANK  # the last token of a word has no right neighbour
         while len(number):
             starts = np.cumsum(sizes) - sizes
@@ -194,7 +226,7 @@ class Codec:
         return self.encode_tree(piece) if whole is None else [whole]
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for piece in self.pattern.findall(text or "") for i in self.encode_piece(piece.encode())]
+        return [i for piece in self.words(text or "") for i in self.encode_piece(piece.encode())]
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of token ids, concatenated up a tree."""
@@ -205,66 +237,83 @@ class Codec:
 
 
 class WordMemo(dict):
-    """A form of each word's ids, made when first asked for; emptied when it holds too many.
+    """The ids of words in one form, made when first asked for; emptied when it holds too many.
 
-    ``learn`` makes the forms of all new words of some texts at once, short ones in bulk.
+    ``form`` has the bytes of each id and ``between`` stands between two. ``learn`` makes
+    the forms of all new words of some texts at once, short ones in bulk.
     """
 
-    def __init__(self, codec: Codec, form):
-        self.codec, self.form = codec, form
+    def __init__(self, codec: Codec, form: list[bytes], between: bytes):
+        self.codec, self.form, self.between = codec, form, between
 
-    def _made(self, word: str, ids: list[int]):
-        made = self.form(ids)
+    def _made(self, word: str, ids: list[int]) -> bytes:
+        form = self.form
+        made = self.between.join([form[i] for i in ids])
         if len(word) <= MEMO_CHARACTERS:
             self[word] = made
         return made
 
-    def __missing__(self, word: str):
+    def __missing__(self, word: str) -> bytes:
         return self._made(word, self.codec.encode_piece(word.encode()))
 
     def learn(self, texts: list[list[str]]) -> None:
         if len(self) >= MEMO_ENTRIES:
             self.clear()
-        new = [w for w in set().union(*texts) if w not in self]
-        short, data = [], []
+        new = set().union(*texts).difference(self.keys())
+        ranks, short, data = self.codec.ranks, [], []
         for word in new:
             piece = word.encode()
-            if len(piece) <= LEAF_BYTES and piece not in self.codec.ranks:
+            if len(piece) <= LEAF_BYTES and piece not in ranks:
                 short.append(word)
                 data.append(piece)
-            else:
+            elif len(word) <= MEMO_CHARACTERS:
                 self[word]
         for word, ids in zip(short, self.codec.merge_many(data), strict=True):
             self._made(word, ids)
 
 
-TEXTS_AT_ONCE = 256
+CHARACTERS_AT_ONCE = 2_000_000
 
 
 def by_words(values, find, memo: WordMemo) -> Iterator[list[str]]:
     """The words of each text (null: none), with the memo ready for them."""
-    for start in range(0, len(values), TEXTS_AT_ONCE):
-        texts = [find(v.as_py() or "") for v in values[start : start + TEXTS_AT_ONCE]]
-        memo.learn(texts)
-        yield from texts
-
-
-def _decimal(ids: list[int]) -> bytes:
-    return b",".join([b"%d" % i for i in ids])
-
-
-_codecs: dict[tuple[str, str], tuple[Codec, WordMemo, dict[bytes, bytes]]] = {}
-
-
-def worker_codec(content: bytes, pattern: str) -> tuple[Codec, WordMemo, dict[bytes, bytes]]:
-    """Codec, decimal forms of words, and bytes by decimal id; one set in a Python worker."""
+    texts: list[list[str]] = []
+    characters = 0
+    for value in values:
+        text = value.as_py() or ""
+        texts.append(find(text))
+        characters += len(text)
+        if characters >= CHARACTERS_AT_ONCE:
+            memo.learn(texts)
+            yield from texts
+            texts, characters = [], 0
+    memo.learn(texts)
+    yield from texts
+
+
+_codecs: dict[tuple[str, str], Codec] = {}
+_memos: dict[tuple[str, str, str], WordMemo] = {}
+
+
+def worker_codec(content: bytes, pattern: str) -> Codec:
+    """The codec of a vocabulary; one in a Python worker."""
     key = (hashlib.sha256(content).hexdigest(), pattern)
     if key not in _codecs:
-        codec = Codec(read_ranks(content), pattern)
-        _codecs[key] = codec, WordMemo(codec, _decimal), {b"%d" % i: t for i, t in codec.bytes_of.items()}
+        _codecs[key] = Codec(read_ranks(content), pattern)
     return _codecs[key]
 
 
+def worker_memo(content: bytes, pattern: str, kind: str) -> WordMemo:
+    """A memo that the tasks of a Python worker share: ``decimal``, or a number type of numpy."""
+    key = (hashlib.sha256(content).hexdigest(), pattern, kind)
+    if key not in _memos:
+        codec = worker_codec(content, pattern)
+        ids = range(max(codec.bytes_of, default=0) + 1)
+        form = [b"%d" % i for i in ids] if kind == "decimal" else [np.array(i, kind).tobytes() for i in ids]
+        _memos[key] = WordMemo(codec, form, b"," if kind == "decimal" else b"")
+    return _memos[key]
+
+
 def concatenate(parts: list[bytes]) -> bytes:
     """Join decoded parts up a tree."""
     if len(parts) <= 4096:
@@ -302,8 +351,9 @@ def encode(
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, decimal, token = worker_codec(vocabulary.value, pattern)
-        find = codec.pattern.findall
+        codec, decimal = worker_codec(vocabulary.value, pattern), worker_memo(vocabulary.value, pattern, "decimal")
+        token = {b"%d" % i: t for i, t in codec.bytes_of.items()}
+        find = codec.words
         for batch in batches:
             made: dict[str, list] = {name: [] for name in results}
             for words in by_words(batch.column("__text"), find, decimal):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskmart.llm.bpe import WordMemo, by_words, worker_codec
+from riskmart.llm.bpe import by_words, worker_codec, worker_memo
 
 ROW_TOKENS = 2048
 BLOCK_TOKENS = 4_000_000
@@ -110,7 +110,7 @@ def pack(
     """
     with open(rank_file, "rb") as file:
         content = file.read()
-    codec, _, _ = worker_codec(content, pattern)
+    codec = worker_codec(content, pattern)
     pad = max(codec.bytes_of) + 1 if pad_id is None else pad_id
     kind = "<u2" if max(pad, max(codec.bytes_of), row_tokens) < 1 << 16 else "<u4"
     vocabulary = docs.sparkSession.sparkContext.broadcast(content)
@@ -142,11 +142,10 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, _, _ = worker_codec(vocabulary.value, pattern)
-        memo = WordMemo(own, lambda ids: np.array(ids, kind).tobytes())
+        own, memo = worker_codec(vocabulary.value, pattern), worker_memo(vocabulary.value, pattern, kind)
         waiting, tokens = [], 0
         for batch in batches:
-            words_of = by_words(batch.column("__text"), own.pattern.findall, memo)
+            words_of = by_words(batch.column("__text"), own.words, memo)
             for owner, words in zip(batch.column("__key").to_pylist(), words_of, strict=True):
                 ids = b"".join(map(memo.__getitem__, words))
                 for piece, start in enumerate(range(0, len(ids), row_tokens * width)):

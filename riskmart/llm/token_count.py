@@ -11,12 +11,13 @@ unknown token; rows are counted each for itself.
 
 from __future__ import annotations
 
+import re
 from collections import deque
 
 import regex
 from pyspark.sql import DataFrame
 
-from riskmart.llm.bpe import read_ranks
+from riskmart.llm.bpe import in_ascii, read_ranks
 from riskmart.llm.words import map_texts
 
 MEMO_ENTRIES = 600_000
@@ -98,10 +99,10 @@ def _counter(content: bytes, pattern: str):
     if content not in _memos:
         _memos[content] = CountMemo(LongestMatch(read_ranks(content)))
     memo = _memos[content]
-    find = regex.compile(pattern).findall
+    every, plain = regex.compile(pattern), re.compile(in_ascii(pattern))
 
     def work(text: str) -> tuple:
-        counts = list(map(memo.__getitem__, find(text)))
+        counts = list(map(memo.__getitem__, (plain if text.isascii() else every).findall(text)))
         unknown = counts.count(0)
         return len(counts), sum(counts) + unknown, unknown, max(1 if unknown else 0, *counts, 0)
 
