@@ -7,6 +7,8 @@ texts pass as empty; repeated rows count as copies of one another; an empty tabl
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,12 +44,17 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, BYTE_BPE, public_tokenizers.PATTERN, results=results)
 
 
+def tuned(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, run with the session settings its plans are made for."""
+    return lambda spark, docs, sf_dir: stage(tune(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("toxicity", reject_toxic),
-    ("exact_dedup", drop_exact_copies),
-    ("near_dedup", drop_near_copies),
-    ("decontamination", drop_benchmark_passages),
-    ("byte_bpe", tokenize),
+    ("toxicity", tuned(reject_toxic)),
+    ("exact_dedup", tuned(drop_exact_copies)),
+    ("near_dedup", tuned(drop_near_copies)),
+    ("decontamination", tuned(drop_benchmark_passages)),
+    ("byte_bpe", tuned(tokenize)),
 ]
 
 # Toxicity scores and token ids cannot be stated in SQL; tests compare each stage with brute force.

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 LEAF_BYTES = 32
 SHORT_BYTES = 48
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 150_000
 MEMO_CHARACTERS = 64
 _NO_RANK = (1 << 31) - 1
 
@@ -243,8 +243,8 @@ class WordMemo(dict):
     the forms of all new words of some texts at once, short ones in bulk.
     """
 
-    def __init__(self, codec: Codec, form: list[bytes], between: bytes):
-        self.codec, self.form, self.between = codec, form, between
+    def __init__(self, codec: Codec, form: list[bytes], between: bytes, entries: int):
+        self.codec, self.form, self.between, self.entries = codec, form, between, entries
 
     def _made(self, word: str, ids: list[int]) -> bytes:
         form = self.form
@@ -257,7 +257,7 @@ class WordMemo(dict):
         return self._made(word, self.codec.encode_piece(word.encode()))
 
     def learn(self, texts: list[list[str]]) -> None:
-        if len(self) >= MEMO_ENTRIES:
+        if len(self) >= self.entries:
             self.clear()
         new = set().union(*texts).difference(self.keys())
         ranks, short, data = self.codec.ranks, [], []
@@ -303,14 +303,14 @@ def worker_codec(content: bytes, pattern: str) -> Codec:
     return _codecs[key]
 
 
-def worker_memo(content: bytes, pattern: str, kind: str) -> WordMemo:
+def worker_memo(content: bytes, pattern: str, kind: str, entries: int = MEMO_ENTRIES) -> WordMemo:
     """A memo that the tasks of a Python worker share: ``decimal``, or a number type of numpy."""
     key = (hashlib.sha256(content).hexdigest(), pattern, kind)
     if key not in _memos:
         codec = worker_codec(content, pattern)
         ids = range(max(codec.bytes_of, default=0) + 1)
         form = [b"%d" % i for i in ids] if kind == "decimal" else [np.array(i, kind).tobytes() for i in ids]
-        _memos[key] = WordMemo(codec, form, b"," if kind == "decimal" else b"")
+        _memos[key] = WordMemo(codec, form, b"," if kind == "decimal" else b"", entries)
     return _memos[key]
 
 

@@ -29,6 +29,7 @@ from riskmart.llm.bpe import by_words, worker_codec, worker_memo
 
 ROW_TOKENS = 2048
 BLOCK_TOKENS = 4_000_000
+MEMO_ENTRIES = 600_000  # about 100 MB in a worker
 
 
 class RoomTree:
@@ -142,7 +143,7 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, memo = worker_codec(vocabulary.value, pattern), worker_memo(vocabulary.value, pattern, kind)
+        own, memo = worker_codec(vocabulary.value, pattern), worker_memo(vocabulary.value, pattern, kind, MEMO_ENTRIES)
         waiting, tokens = [], 0
         for batch in batches:
             words_of = by_words(batch.column("__text"), own.words, memo)
