@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": str(JIT_METHOD_LIMIT),
+    # Batches for Python workers: rows may hold whole texts.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
