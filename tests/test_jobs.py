@@ -242,7 +242,7 @@ def test_shadow_period_month_by_month(spark, mart, tmp_path):
 
 
 def copy_tables(spark, mart, other):
-    for name in ("feature_store", "label_store", "registry", "finished", "feature_baseline", "train_scores", "model_comparison", "model_metadata"):
+    for name in ("feature_store", "label_store", "registry", "finished", "feature_baseline", "train_scores", "model_comparison", "model_metadata", "training_splits"):
         rows = spark.read.parquet(mart.path(name))
         if name == "finished":
             rows = rows.where("table in ('label_store', 'feature_store')")
@@ -275,14 +275,13 @@ def rounded(df):
 def test_training_a_version_again_replaces_it(spark, mart, tmp_path):
     other = jobs.Mart(str(tmp_path / "again"))
     copy_tables(spark, mart, other)
-    for _ in range(2):
-        jobs.train(spark, other, "v9", F.lit("2024-09-01"), OPTIONS)
-    assert jobs.of_version(spark, other, "model_comparison", "v9").count() == 9
-    assert jobs.of_version(spark, other, "model_metadata", "v9").count() == 1
-    assert jobs.of_version(spark, other, "model_comparison", "v1").count() == 9
+    jobs.train(spark, other, "v1", F.lit("2024-09-01"), OPTIONS)
+    for name, rows in (("model_comparison", 9), ("model_metadata", 1), ("train_scores", 1), ("training_splits", 3)):
+        assert jobs.of_version(spark, other, name, "v1").count() == rows
+    assert jobs.of_version(spark, other, "model_metadata", "v1").first()["train_date"].month == 9
     jobs.promote(spark, other, F.lit("2024-09-01").cast("timestamp"), "test")  # at the time of registration
     roles = {r["model_version"]: r["role"] for r in jobs.governance.current_roles(jobs.registry(spark, other)).collect()}
-    assert roles == {"v1": "archived", "v9": "champion"}
+    assert roles == {"v1": "champion"}
 
 
 def test_month_files_are_landed(spark, mart, tmp_path):
