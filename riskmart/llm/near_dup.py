@@ -3,7 +3,7 @@
 1. *Signatures.* Each text's set of five-word shingles is reduced to ``BANDS * ROWS`` minima of
    universal hash functions. Texts with equal sets become one class, stood for by one row.
 2. *Banding.* Classes that agree in a whole band share a bucket. A bucket does not emit its
-   pairs: every member is paired with the bucket's hub, the least in one of four orders that all
+   pairs: every member is paired with the bucket's hub, the least in one of two orders that all
    buckets share, so a bucket of any size costs one pair a member and copies meet the same hubs.
 3. *Verification.* Pairs whose signatures are too unlike are dropped (eight standard errors
    below the limit), the others are decided on the full shingle sets.
@@ -36,7 +36,7 @@ from riskmart.sources.scratch import keep, temporary
 BANDS = 48
 ROWS = 4
 PERCENT = 75
-ORDERS = 4
+ORDERS = 2
 _LIKE_ENOUGH = 0.5  # share of equal minima; 0.75 less eight standard errors of 192 minima
 _BLOCK = 1024
 
