@@ -2,11 +2,12 @@
 
 Texts are read as lower-cased words; a phrase is found where its words stand consecutively. The
 tag ``SPDX-License-Identifier`` (words, whatever punctuation joins them) opens an expression
-that runs to the end of its line: identifiers joined by and, or, with and parentheses.
+of identifiers joined by and, or, with and parentheses: the whole rest of its line or, where
+prose follows, the longest well-formed beginning. Punctuation behind an identifier is no part of it.
 
 Defined results: null and empty texts have no words, no labels and score 0; repeated rows are
-scanned each for itself; an expression that does not parse adds no label but still scores as a
-tag. Columns of ``docs`` that are not asked for are not read, so names cannot clash.
+scanned each for itself; a line that ends within an expression (``MIT OR``) or begins with none adds no
+label but still scores as a tag. Columns of ``docs`` that are not asked for are not read, so names cannot clash.
 """
 
 from __future__ import annotations
@@ -77,6 +78,7 @@ IDENTIFIERS = {
     "zlib": ("zlib", 0),
 }
 UNKNOWN = 3
+_LABELS = {label for label, _ in IDENTIFIERS.values()}
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -129,6 +131,48 @@ def postfix(expression: str) -> list[str] | None:
     return out + waiting[::-1]
 
 
+def stated(line: str) -> list[str] | None:
+    """The expression a line begins with, in postfix order; None if it begins with none or ends within one."""
+    tokens: list[str] = []
+    ends = set()  # where a sentence ends
+    for token in _TOKEN.findall(line):
+        name = token.rstrip("._-")
+        if token in "()" or any(c.isalnum() for c in name):
+            tokens.append(name)
+            if token.endswith("."):
+                ends.add(len(tokens))
+    whole = postfix(" ".join(tokens))
+    if whole:
+        return whole
+    depth, complete, operand_next = 0, 0, True
+    for i, token in enumerate(tokens):
+        following = tokens[i + 1].lower() if i + 1 < len(tokens) else ""
+        if token == "(" and operand_next:
+            depth += 1
+        elif token == ")" and depth and not operand_next:
+            depth -= 1
+        elif token.lower() in PRECEDENCE and not operand_next:
+            # "MIT or any of ..." goes on in prose
+            if not token.isupper() and following and following != "(" and not _is_identifier(following):
+                break
+            operand_next = True
+        elif token not in "()" and token.lower() not in PRECEDENCE and operand_next:
+            operand_next = False
+        else:
+            break
+        if not depth and not operand_next:
+            complete = i + 1
+            if complete in ends:
+                break
+    else:
+        return None
+    return postfix(" ".join(tokens[:complete]))
+
+
+def _is_identifier(name: str) -> bool:
+    return any(c.isdigit() for c in name) or identify(name)[0] in _LABELS
+
+
 def identify(name: str) -> tuple[str, int]:
     """Label and restriction of an identifier."""
     return next((v for k, v in IDENTIFIERS.items() if name == k or name.startswith((f"{k}-", f"{k}+"))), (name, UNKNOWN))
@@ -191,7 +235,7 @@ class Scanner:
                 score = max(score, 0.8)
             else:
                 score = max(score, 0.7)
-                order = postfix(_after_tag(text, at))
+                order = stated(_after_tag(text, at))
                 if order:
                     found, restriction = evaluate(order)
                     labels |= found

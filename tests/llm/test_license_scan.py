@@ -80,3 +80,19 @@ def test_precedence_and_malformed():
     assert ls.postfix("MIT OR GPL-2.0 AND MPL-2.0") == ["mit", "gpl-2.0", "mpl-2.0", "and", "or"]
     for bad in ("", "MIT MIT", "(MIT", "MIT)", "AND MIT", "MIT OR", "()", "MIT (GPL)"):
         assert ls.postfix(bad) is None
+
+
+def test_expression_before_prose_and_punctuation():
+    def found(line):
+        row = ls.Scanner().scan(f"SPDX-License-Identifier: {line}")
+        return row[5], row[6], row[7], row[8]
+
+    assert ls.Scanner().scan("<!-- SPDX-License-Identifier: MIT -->")[5:] == ("mit", 1.0, ["mit"], 0)
+    assert found("MIT.") == ("mit", 1.0, ["mit"], 0)
+    assert found("Apache-2.0 Copyright 2020 X") == ("apache", 1.0, ["apache-2.0"], 0)
+    assert found("(MIT OR GPL-2.0+) AND BSD-3-Clause. See LICENSE") == ("bsd,gpl,mit", 1.0, ["mit gpl-2.0+ or bsd-3-clause and"], 0)
+    for line in ("MIT)", "MIT (see LICENSE)", "MIT, see there", "MIT or any other you like", "MIT MIT", "MIT. Or not at all", "MIT --- x y"):
+        assert found(line) == ("mit", 1.0, ["mit"], 0)
+    assert found("foo or bar") == ("bar,foo", 1.0, ["foo bar or"], 3)
+    for line in ("MIT OR", "(MIT", "AND MIT", "--", "()", "(MIT GPL-2.0)"):
+        assert found(line) == ("", 0.7, [], None)
