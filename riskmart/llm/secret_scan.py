@@ -35,10 +35,15 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs of 24 and more; shorter runs fail
 
-PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}-----END [A-Z ]{0,40}PRIVATE KEY-----")
+# No pattern has an upper bound: each run is read once, and what it is worth is judged afterwards.
+PEM = re.compile(
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    r"(?:[ \t]*[\r\n]+[A-Za-z0-9-]+:(?:(?!-----)[^\r\n])*)*+"  # header lines of an encrypted key
+    r"[A-Za-z0-9+/=\s]{16,}-----END [A-Z ]*PRIVATE KEY-----"
+)
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
-URL = re.compile(r"://[A-Za-z0-9._%-]{1,64}:([^\s/@:\"'<>]{4,128})@")
-MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,128}(?![A-Za-z0-9+/_-])")
+URL = re.compile(r"://[A-Za-z0-9._%-]+:([^\s/@:\"'<>]{4,})@")
+MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])")
 
 KINDS = ["assign", "access", "hex", "pem", "jwt", "url", "mixed"]
 BASE_KINDS = KINDS[:3]
