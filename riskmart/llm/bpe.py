@@ -9,7 +9,8 @@ halves reusable, whatever the vocabulary:
 * *Neighbours decide.* If every two neighbouring tokens encode to themselves, so does the whole
   sequence: the first merge across a border would be the next merge of that pair alone, too.
 
-A text is therefore encoded by halves. Two encodings are joined by re-encoding a window of ``k``
+Pattern matches of up to ``LEAF_BYTES``, which are nearly all of prose, are leaves: looked up or merged
+in bulk. Longer ones are encoded by halves. Two encodings are joined by re-encoding a window of ``k``
 tokens on either side of the border; if the tokens next to the window are compatible with its
 ends, all tokens outside provably stay as they are, else ``k`` doubles. Split points are powers
 of two, so long runs of one byte meet aligned. Decoding concatenates up the same tree.
