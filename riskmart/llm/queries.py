@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, chat, decontaminate, exact_dup, license_scan, near_dup, packing, secret_scan, token_count, toxicity
+from riskmart.llm import bpe, chat, decontaminate, exact_dup, filter_audit, license_scan, near_dup, packing, secret_scan, token_count, toxicity
 from riskmart.llm.words import ROW
 from riskmart.session import tune
 
@@ -167,3 +167,56 @@ GROUP BY conv_id, whole.n_turns, n_copies
 @query
 def op8_pack_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+ORACLE["op12_filter_audit"] = """
+WITH RECURSIVE orders(filter_order) AS (
+  SELECT ''
+  UNION ALL
+  SELECT filter_order || f FROM orders, unnest(['A', 'B', 'C', 'D', 'E']) AS t(f)
+  WHERE NOT contains(filter_order, f)
+), steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS earlier
+  FROM orders, generate_series(1, 5) AS g(step) WHERE length(filter_order) = 5
+), words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents
+), fails AS (
+  SELECT doc_id, part,
+         CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS failing
+  FROM words
+), marks AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), kinds AS (
+  SELECT part, failing, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+  FROM fails LEFT JOIN marks USING (doc_id) GROUP BY ALL
+), outcomes AS (
+  SELECT part, filter_order, step, f, n, good, toxic, failing,
+         contains(failing, f) AS fails_now,
+         length(translate(earlier, failing, '')) < length(earlier) AS gone
+  FROM kinds CROSS JOIN steps
+), counted AS (
+  SELECT part, filter_order, step, f,
+         CAST(coalesce(sum(n) FILTER (NOT gone AND NOT fails_now), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (NOT gone AND fails_now), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (gone AND fails_now), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (failing = f), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(n) FILTER (NOT gone AND fails_now AND good), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(n) FILTER (NOT gone AND fails_now AND toxic), 0) AS BIGINT) AS toxic_lost
+  FROM outcomes GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
