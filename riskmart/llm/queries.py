@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, chat, decontaminate, exact_dup, filter_audit, license_scan, near_dup, packing, secret_scan, token_count, toxicity
+from riskmart.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    exact_dup,
+    filter_audit,
+    license_scan,
+    near_dup,
+    packing,
+    secret_scan,
+    simhash,
+    token_count,
+    toxicity,
+)
 from riskmart.llm.words import ROW
 from riskmart.session import tune
 
@@ -220,3 +233,8 @@ SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant,
        CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
 FROM counted
 """
+
+
+@query
+def op13_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents"))
