@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskmart.llm import (
     bpe,
     chat,
+    chat_repair,
     decontaminate,
     exact_dup,
     filter_audit,
@@ -238,3 +239,117 @@ FROM counted
 @query
 def op13_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(table(spark, folder, "documents"))
+
+
+@query
+def op11_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_repair.repair(table(spark, folder, "conversations"))
+
+
+def _state_sql(options: list[tuple[str, str, int, str]]) -> str:
+    """The least of the ways into a state: (state before, condition, cost, letter and what it writes)."""
+    ways = ", ".join(
+        f"CASE WHEN {condition} AND {state} IS NOT NULL THEN {{'k': lpad(CAST(CAST({state}.k[:9] AS INT) + {cost} AS VARCHAR), 9, '0')"
+        f" || {state}.k[10:] || '{letter}', 't': {state}.t{written}}} END"
+        for state, condition, cost, letter, written in options
+    )
+    return f"list_sort(list_filter([{ways}], lambda x: x IS NOT NULL))[1]"
+
+
+def _insert_sql(before: str, role: str) -> list[tuple]:
+    return [(before, "true", 2, "I", f" || [{role!r} || ':']")]
+
+
+def _row_states_sql() -> str:
+    """States after a row, from the states n, s, u, a before it with inserts already made."""
+    stays = "NOT must_go"
+    keep_row, cost = " || [role || ':' || text]", "CAST(cut AS INT)"
+    reroled = {r: f" || ['{r}:' || text]" for r in ("user", "assistant")}
+
+    def delete(state: str) -> tuple:
+        return (state, "true", 3, "D", "")
+
+    into_u = [delete("u")]
+    for state in "nsa":
+        into_u += [(state, f"{stays} AND initial = 'u'", cost, "K", keep_row), (state, stays, f"2 + {cost}", "R", reroled["user"])]
+    into_a = [delete("a"), ("u", f"{stays} AND initial = 'a'", cost, "K", keep_row), ("u", stays, f"2 + {cost}", "R", reroled["assistant"])]
+    into_s = [delete("s"), ("n", f"{stays} AND initial = 's'", cost, "K", keep_row)]
+    return (
+        f"{_state_sql([delete('n')])} AS n, {_state_sql(into_s)} AS s, {_state_sql(into_u)} AS u, {_state_sql(into_a)} AS a"
+    )
+
+
+def _inserted_sql(source: str, columns: str) -> str:
+    """The states n, s, u, a of ``source`` with up to two inserts."""
+    same = ("true", 0, "")
+    keep_u, keep_a = ("u", *same, ""), ("a", *same, "")
+    once_u = _state_sql([keep_u, *_insert_sql("n", "user"), *_insert_sql("s", "user"), *_insert_sql("a", "user")])
+    once_a = _state_sql([keep_a, *_insert_sql("u", "assistant")])
+    return (
+        f"SELECT {columns}, n, s, u, {once_a} AS a FROM "
+        f"(SELECT {columns}, n, s, {once_u} AS u, a FROM {source})"
+    )
+
+
+_NO_STATE = "CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR[]))"
+
+# Damage by CRC-32 over bytes, faults by windows, then the costs of the four states row by row, each with its
+# least audit and what it writes. Within a gap two inserts are enough.
+ORACLE["op11_chat_repair"] = f"""
+WITH RECURSIVE bytes AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(CAST(b AS BIGINT), CAST(range(8) AS BIGINT[])),
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations
+), acted AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+           CAST(list_transform(string_split(name, ''), lambda c: ord(c)) AS BIGINT[])),
+           lambda c, b: xor(c >> 8, crc[CAST(xor(c & 255, b) AS INT) + 1])), 4294967295) % 20 AS act
+  FROM keyed, bytes
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN act = 4 THEN 'user' ELSE role END AS role,
+         CASE act WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM acted, unnest(CASE WHEN act = 3 THEN [1, 2] ELSE [1] END) AS copies(c)
+  WHERE act <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+         regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS ending
+  FROM damaged
+), faulty AS (
+  SELECT *, left(role, 1) AS initial,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) || left(role, 1) AS pair,
+         ending = '' AS is_blank,
+         ending <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS is_duplicate,
+         right(ending, 1) NOT IN ('.', '!', '?') AS stops
+  FROM placed
+), rows AS (
+  SELECT *, is_blank OR is_duplicate AS must_go, stops AND NOT is_blank AND NOT is_duplicate AS cut FROM faulty
+), totals AS (
+  SELECT conv_id, count(*) AS n_rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (is_blank) AS blank, count(*) FILTER (is_duplicate) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id
+), states AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS place, {{'k': '000000000', 't': CAST([] AS VARCHAR[])}} AS n,
+         {_NO_STATE} AS s, {_NO_STATE} AS u, {_NO_STATE} AS a
+  FROM totals
+  UNION ALL
+  SELECT conv_id, place, {_row_states_sql()} FROM (
+    SELECT o.conv_id, o.n, o.s, o.u, o.a, r.place, r.role, r.text, r.initial, r.must_go, r.cut
+    FROM ({_inserted_sql("states", "conv_id, place")}) o
+    JOIN rows r ON r.conv_id IS NOT DISTINCT FROM o.conv_id AND r.place = o.place + 1)
+), last AS (
+  SELECT conv_id, list_sort(list_filter([n, a], lambda x: x IS NOT NULL))[1] AS best FROM (
+    {_inserted_sql("(SELECT s.* FROM states s JOIN totals t ON s.conv_id IS NOT DISTINCT FROM t.conv_id AND s.place = t.n_rows)", "conv_id")})
+), every AS (
+  SELECT DISTINCT conv_id FROM conversations
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(CAST(best.k[:9] AS INT), 0) AS BIGINT) AS cost, coalesce(best.k[10:], '') AS audit,
+       sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM every e LEFT JOIN totals t ON e.conv_id IS NOT DISTINCT FROM t.conv_id
+LEFT JOIN last l ON e.conv_id IS NOT DISTINCT FROM l.conv_id
+"""
