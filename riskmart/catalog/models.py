@@ -66,7 +66,7 @@ def prepared(spark, folder):
             }
         )
     )
-    frame = frame.select("label", "weight", "split", "balanced_weight", "ratio_weight", "features")
+    frame = frame.select(training.ROW, "label", "weight", "split", "balanced_weight", "ratio_weight", "features")
     frame = keep(frame, "prepared")
     train = training.fitted_on(frame.where("split = 'train'"), rows["train"], OPTIONS)
     return frame, float(n_neg + n_pos), keep(train, "fitted_on")
@@ -131,7 +131,7 @@ def train_boosted_trees(spark, folder):
 def search_hyperparameters(spark, folder):
     """All draws over all folds and ranges."""
     frame, n, train = prepared(spark, folder)
-    rows = train.select("label", "weight", "split", "ratio_weight", "features")
+    rows = train.select(training.ROW, "label", "weight", "split", "ratio_weight", "features")
     best, results = training.search_boosted_trees(rows, OPTIONS)
     drawn = [{k: v for k, v in r.items() if k != "mean_auc"} for r in results]
     top = max(r["mean_auc"] for r in results)
@@ -143,7 +143,7 @@ def search_hyperparameters(spark, folder):
         and all(set(d) == set(training.BOOSTED_TREE_RANGES) for d in drawn),
         all(AUC_FLOOR < r["mean_auc"] <= 1 for r in results),
         next(r["mean_auc"] for r, d in zip(results, drawn) if d == best) == top,
-        rows.count() <= 1.1 * OPTIONS.fit_rows,
+        rows.count() == min(OPTIONS.fit_rows, frame.where("split = 'train'").count()),
     )
     schema = "n_train long, n_draws long, n_different long, in_ranges boolean, finds_signal boolean, best_is_best boolean"
     return spark.createDataFrame([facts], f"{schema}, within_bound boolean")

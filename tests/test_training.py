@@ -95,10 +95,56 @@ def test_absent_split_has_rows_without_metrics(spark):
 
 
 def test_fit_rows_bound_only_the_fit(spark):
-    df = spark.range(10_000)
+    """Assembled rows, most of them equal: exactly the wanted number, both classes in proportion."""
+    rows = [(dt.date(2023, 1, 1), int(i % 10 == 0), float(i % 3)) for i in range(6_000)]
+    df = spark.createDataFrame(rows, "feature_snapshot_date date, label int, x double")
     options = training.TrainingOptions(fit_rows=1000)
-    assert 800 < training.fitted_on(df, 10_000, options).count() < 1200
-    assert training.fitted_on(df, 900, options).count() == 10_000
+    imputed, fitted, counts, _, _ = training.prepare(df, ["x"], options, "feature_snapshot_date")
+    ready = training.assembler(["x"]).transform(fitted.scale(imputed)).where("split = 'train'").drop("x")
+    chosen = training.fitted_on(ready, counts["train"], options)
+    assert {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()} == {0: 900, 1: 100}
+    assert chosen.select(training.ROW).distinct().count() == 1000
+    again = training.fitted_on(ready.repartition(7), counts["train"], options)
+    assert chosen.select(training.ROW).exceptAll(again.select(training.ROW)).isEmpty()
+    assert training.fitted_on(ready, 900, options).count() == 6_000
+
+
+def test_folds_are_even_for_equal_rows(spark):
+    seen = {}
+
+    class Stop(Exception):
+        pass
+
+    def fit(self, frame):
+        seen["sizes"] = sorted(r["count"] for r in frame.groupBy("fold").count().collect())
+        raise Stop
+
+    from unittest.mock import patch
+
+    from pyspark.ml.tuning import CrossValidator
+
+    frame = spark.range(3_000).select(F.col("id").alias(training.ROW), F.lit(1).alias("label"), F.lit(1).alias("weight"))
+    with patch.object(CrossValidator, "fit", fit), pytest.raises(Stop):
+        training.search_boosted_trees(frame, training.TrainingOptions())
+    assert len(seen["sizes"]) == 3 and seen["sizes"][0] > 900
+
+
+def test_bottom_k_is_exact_and_unbiased(spark):
+    from riskmart.operators.sampling import bottom_k, proportional, random_place
+
+    df = spark.range(20_000).select("id", (F.col("id") % 4).cast("int").alias("g"), F.lit("x").alias("extra"))
+    sizes = {0: 700, 1: 1, 2: 10_000}
+    rows = bottom_k(df, "g", "id", sizes, 3)
+    assert rows.columns == df.columns
+    got = {}
+    for r in rows.collect():
+        got.setdefault(r["g"], set()).add(r["id"])
+    assert {g: len(v) for g, v in got.items()} == {0: 700, 1: 1, 2: 5_000}
+    order = [r["id"] for r in df.where("g = 0").orderBy(random_place("id", 3)).select("id").collect()]
+    assert got[0] == set(order[:700])
+    assert bottom_k(df.limit(0), "g", "id", sizes).count() == 0
+    assert proportional({0: 996, 1: 3, 2: 1}, 10) == {0: 8, 1: 1, 2: 1}
+    assert proportional({0: 5, 1: 5}, 10) == {0: 5, 1: 5} and sum(proportional({0: 7, 1: 6, 2: 5}, 11).values()) == 11
 
 
 def test_split_names(spark):
