@@ -1,8 +1,8 @@
 """Exact percentiles with linear interpolation, distributed.
 
 ``percentile`` keeps every distinct value of a group in one buffer. Here a histogram over
-value buckets finds where the wanted ranks lie, and only the rows of those buckets are
-looked at again.
+balanced ranges of the values finds where the wanted ranks lie, and only the rows of those
+ranges are looked at again.
 """
 
 from __future__ import annotations
@@ -12,9 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.operators.running import bucket_offsets, order_bucket
+from riskmart.operators.running import beside, bucket_offsets, with_range
 
 DECILES = [i / 10 for i in range(11)]
+# Ranges a group's values are cut into.
+PERCENTILE_RANGES = 1024
 PERCENTILES_1_99 = [i / 100 for i in range(1, 100)]
 
 
@@ -23,26 +25,27 @@ def exact_percentiles(
     by: Sequence[str],
     value: str,
     probabilities: Sequence[float],
-    resolution: int = 4_096,
+    ranges: int = PERCENTILE_RANGES,
     weight: str | None = None,
+    few_groups: bool = True,
 ) -> DataFrame:
     """``percentiles`` (array in the order of ``probabilities``) and ``n`` per group.
 
     A row with integer ``weight`` w counts as w equal rows.
 
-    ``by`` must be a bounded set of groups, such as features or months: the table of
-    wanted ranks, at most ``2 * len(probabilities)`` rows per group, is broadcast.
+    A group's splitters, and its ranges that hold a wanted rank (at most ``2 * len(probabilities)``),
+    are broadcast; with ``few_groups=False`` they are joined and there may be any number of groups.
     """
     spark_probabilities = F.array(*[F.lit(float(p)) for p in probabilities])
     usable = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     for name in by:
         usable = usable.where(F.col(name).isNotNull())
-    bucketed = usable.select(
+    values = usable.select(
         *by,
         F.col(value).cast("double").alias("_value"),
         (F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")).alias("_weight"),
-        order_bucket(F.col(value), resolution).alias("_bucket"),
     ).where(F.col("_weight") > 0)
+    bucketed = with_range(values, by, "_value", ranges, few_groups)
     groups = list(by)
     if not groups:
         groups = ["_all"]
@@ -81,7 +84,7 @@ def exact_percentiles(
     )
     first_rank = F.col("_start") + F.coalesce(F.sum("_copies").over(inside), F.lit(0))
     picked = (
-        bucketed.join(F.broadcast(located), [*groups, "_bucket"])
+        beside(bucketed, located, [*groups, "_bucket"], few_groups)
         .groupBy(*groups, "_bucket", "_value")
         .agg(
             F.sum("_weight").alias("_copies"),

@@ -8,23 +8,56 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Values are told apart down to this size; below it they share the bucket of 0.
-SMALLEST = 1e-12
+# Ranges a group's values are cut into for running sums.
+RUNNING_RANGES = 256
+# The quantile sketch is as fine as this share of a range.
+SKETCH_DETAIL = 10
 
 
-def order_bucket(value: Column, resolution: int) -> Column:
-    """Integer that never decreases as ``value`` grows: signed logarithmic buckets.
+def splitters(df: DataFrame, by: Sequence[str], value: str, ranges: int) -> DataFrame:
+    """``_splitters`` per ``by``: the values that cut the group's rows into about equal parts.
 
-    Bucket widths are relative, about ``1 / resolution`` of the value from 1e-12 up, so tiny
-    rates, scores and money all spread over many buckets whatever their scale. Being
-    monotone, it splits an ordering into ranges exactly. Never null: a nullable join key
-    would get an extra filter on one side only, and two uses of the same counts could then
-    not share their shuffle.
+    They come from a quantile sketch that tasks merge, so they follow the data: values packed
+    around one number are cut as finely as others.
     """
-    value = value.cast("double")
-    magnitude = F.least(F.abs(value) / F.lit(SMALLEST), F.lit(1e300))
-    bucket = F.signum(value) * F.floor(F.log1p(magnitude) * F.lit(float(resolution)))
-    return F.coalesce(bucket.cast("bigint"), F.lit(0))
+    ranges = max(ranges, 2)
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    sketch = F.percentile_approx(F.col(value).cast("double"), shares, SKETCH_DETAIL * ranges)
+    return df.groupBy(*by).agg(sketch.alias("_splitters"))
+
+
+def range_of(value: Column, cuts: Column, ranges: int) -> Column:
+    """How many of the ascending ``cuts`` are at most ``value``, by binary search.
+
+    Never decreases as ``value`` grows, so equal values share a range and ranges split the
+    ordering exactly, wherever the cuts lie. Never null: a nullable join key would get an extra
+    filter on one side only, and two uses of the same counts could then not share their shuffle.
+    """
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range((max(ranges, 2) - 1).bit_length()))])
+
+    def step(low: Column, size: Column) -> Column:
+        return F.when(F.get(cuts, low + size - 1) <= value.cast("double"), low + size).otherwise(low)
+
+    return F.coalesce(F.aggregate(steps, F.lit(0), step).cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def beside(df: DataFrame, small: DataFrame, keys: Sequence[str], few_groups: bool) -> DataFrame:
+    """``df`` joined to a table with a bounded number of rows per group.
+
+    It is broadcast when the caller knows the groups to be few, as features or months are; otherwise
+    both sides are shuffled, and adaptive execution may split a hot group.
+    """
+    return df.join(F.broadcast(small) if few_groups else small, list(keys))
+
+
+def with_range(df: DataFrame, by: Sequence[str], value: str, ranges: int, few_groups: bool = True) -> DataFrame:
+    """``df`` with ``_bucket``, the balanced range that ``value`` lies in among the rows of ``by``.
+
+    Groups must not be null.
+    """
+    cuts = splitters(df, by, value, ranges)
+    located = beside(df, cuts, by, few_groups) if by else df.withColumn("_splitters", cuts.scalar())
+    return located.select(*df.columns, range_of(F.col(value), F.col("_splitters"), ranges).alias("_bucket"))
 
 
 def bucket_offsets(
@@ -48,15 +81,17 @@ def running_sums(
     by: Sequence[str],
     value: str,
     sums: Sequence[str],
-    resolution: int = 65_536,
+    ranges: int = RUNNING_RANGES,
+    few_groups: bool = True,
 ) -> DataFrame:
     """Add ``below_x`` and ``total_x`` for each summed column.
 
-    ``df`` has one row per (by, value). The ordering is cut into value buckets: a window
-    runs inside each bucket, and a second one over the bucket totals gives the offsets. A
-    large group is spread over its buckets, and equal values are one row already.
+    ``df`` has one row per (by, value). The ordering is cut into balanced ranges: a window
+    runs inside each range, and a second one over their totals gives the offsets. A
+    large group is spread over its ranges, and equal values are one row already. With
+    ``few_groups=False`` there may be any number of groups.
     """
-    bucketed = df.withColumn("_bucket", order_bucket(F.col(value), resolution))
+    bucketed = with_range(df, by, value, ranges, few_groups)
     inside = (
         Window.partitionBy(*by, "_bucket")
         .orderBy(value)

@@ -14,7 +14,7 @@ from riskmart.operators.asof import asof_latest
 from riskmart.operators.profile import duplicate_rate
 from riskmart.operators.quantiles import exact_percentiles, long_features, moments
 from riskmart.operators.ranking import join_predictions, ranking_metrics
-from riskmart.operators.running import order_bucket, running_sums
+from riskmart.operators.running import range_of, running_sums, with_range
 from riskmart.operators.stability import (
     bin_index,
     covariate_shift,
@@ -94,18 +94,20 @@ def test_joined_metrics_equal_a_row_join(spark):
     assert weighted["ks"] == pytest.approx(plain["ks"])
 
 
-def test_order_bucket_is_monotone(spark):
+def test_ranges_are_monotone(spark):
     values = sorted([float("-inf"), float("inf"), 1e308, 3e-7, 3.0000001e-7, 0.0, -0.0, 1e-12, 0.1, 0.1000001, 3.0, 5e7, 1e300, -1e-9, -2.5, -1e9] + [i / 7 for i in range(99)])
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    buckets = [r[0] for r in df.select(order_bucket(F.col("x"), 4096)).collect()]
-    assert buckets == sorted(buckets)
+    cuts = [-2.5, 0.0, 0.1, 0.1, 3.0, 5e7, 1e300]
+    ranges = [r[0] for r in df.select(range_of(F.col("x"), F.array(*map(F.lit, cuts)), 8)).collect()]
+    assert ranges == [sum(c <= v for c in cuts) for v in values]
+    assert spark.range(1).select(range_of(F.lit(None).cast("double"), F.array(F.lit(1.0)), 2)).first()[0] == 0
 
 
 def test_running_sums_with_coarse_buckets(spark):
     values = [0.001 * i for i in range(50)] + [float(i) for i in range(1, 40)]
     df = spark.createDataFrame([("g", v, i % 3) for i, v in enumerate(sorted(set(values)))], "g string, v double, n long")
-    for resolution in (1, 7, 65536):
-        out = running_sums(df, ["g"], "v", ["n"], resolution).orderBy("v").collect()
+    for ranges, few in ((1, True), (7, False), (4096, True)):
+        out = running_sums(df, ["g"], "v", ["n"], ranges, few).orderBy("v").collect()
         total = 0
         for r in out:
             assert r["below_n"] == total
@@ -113,6 +115,30 @@ def test_running_sums_with_coarse_buckets(spark):
         assert {r["total_n"] for r in out} == {total}
 
 
+def test_narrow_values_spread_over_ranges(spark):
+    """1e5 scores within 1e-6 of each other and a few far away: no range holds many of them."""
+    df = spark.range(100_000).select((F.lit(0.5) + F.col("id") * 1e-11).alias("v"), F.lit(1).alias("n"))
+    df = df.union(spark.createDataFrame([(-1e9, 1), (0.0, 1), (1e-300, 1), (1e9, 1)], "v double, n int"))
+    for ranges in (256, 1024):
+        sizes = [r["count"] for r in with_range(df, [], "v", ranges).groupBy("_bucket").count().collect()]
+        assert len(sizes) > 0.9 * ranges and max(sizes) < 3 * 100_000 / ranges
+    got = exact_percentiles(df, [], "v", [0.25, 0.5, 1.0]).first()["percentiles"]
+    values = np.sort(np.concatenate([0.5 + np.arange(100_000) * 1e-11, [-1e9, 0.0, 1e-300, 1e9]]))
+    assert got == pytest.approx(list(np.percentile(values, [25, 50, 100])), rel=1e-15)
+    last = running_sums(df.groupBy("v").agg(F.sum("n").alias("n")), [], "v", ["n"]).orderBy(F.desc("v")).first()
+    assert (last["below_n"], last["total_n"]) == (100_003, 100_004)
+
+
+def test_percentiles_of_many_groups_without_broadcast(spark):
+    df = spark.range(6_000).select((F.col("id") % 2_000).alias("g"), (F.col("id") * 7 % 1_001).cast("double").alias("v"))
+    plan = exact_percentiles(df, ["g"], "v", [0.5], 16, few_groups=False)
+    assert "hint" not in plan._jdf.queryExecution().logical().toString().lower()
+    rows = {r["g"]: r["percentiles"][0] for r in plan.collect()}
+    assert len(rows) == 2_000
+    for g in (0, 7, 1_999):
+        assert rows[g] == np.median([i * 7 % 1_001 for i in range(g, 6_000, 2_000)])
+
+
 @SLOW
 @given(st.lists(st.floats(-1e6, 1e6, width=32), min_size=1, max_size=60), st.sampled_from([1, 16, 4096]))
 def test_percentiles_equal_linear_interpolation(spark, values, resolution):
