@@ -1,8 +1,9 @@
 """The monthly pipeline as jobs over all months that are due.
 
 A month is built, scored and measured once. Jobs work on what is missing, read only the
-partitions of those months, and can be run again; finished months change only on an explicit
-``rebuild``.
+partitions of those months, and can be run again. A raw file is parsed once. A finished month is built
+or measured again only when what it was built from has changed, and scored again only on an
+explicit ``rebuild``.
 """
 
 from __future__ import annotations
@@ -11,9 +12,11 @@ import datetime as dt
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskmart.operators.stability import score_profile
 from riskmart.plans import datamart, governance, monitoring, quality, training, training_data
@@ -28,7 +31,7 @@ from riskmart.schemas import (
     text_schema,
 )
 from riskmart.session import tune
-from riskmart.sources import readers, writers
+from riskmart.sources import filelog, readers, writers
 from riskmart.sources.scratch import keep, temporary
 
 REGISTRY_SCHEMA = "model_version string, role string, valid_from timestamp, reason string, sequence bigint"
@@ -48,7 +51,18 @@ PROFILE_SCHEMA = (
     f"model_version string, challenger_model_version string, {MONTH} date"
 )
 PERFORMANCE_SCHEMA = f"auc double, gini double, ks double, default_rate double, challenger_auc double, {MONTH} date"
-FINISHED_SCHEMA = f"table string, {MONTH} date"
+FINISHED_SCHEMA = f"table string, {MONTH} date, fingerprint string, built_from string, finished_at timestamp"
+FINDINGS_SCHEMA = f"check string, column_name string, value double, severity string, {MONTH} date"
+# Tables whose months others are built from.
+FINGERPRINTED = {
+    "bronze_loans",
+    "bronze_clickstream",
+    "silver_loans",
+    "silver_clickstream",
+    "label_store",
+    "feature_store",
+    "predictions",
+}
 PREDICTION_SCHEMA = (
     f"{CUSTOMER} string, score double, predicted_label int, model_version string, "
     "challenger_score double, challenger_predicted_label int, challenger_model_version string, "
@@ -58,13 +72,16 @@ PREDICTION_SCHEMA = (
 
 @dataclass(frozen=True)
 class RawPaths:
-    """CSV extracts; ``multiline`` if values may hold line breaks (such a file is read by one task)."""
+    """CSV extracts: files, folders or globs; ``multiline`` if values may hold line breaks (such a
+    file is read by one task). ``clickstream_months`` names (folder, prefix) of clickstream Parquet files
+    that carry their month in the name; they are landed beside the extract, or without one (None)."""
 
     loans: str
-    clickstream: str
+    clickstream: str | None
     attributes: str
     financials: str
     multiline: bool = False
+    clickstream_months: tuple[str, str] | None = None
 
 
 @dataclass(frozen=True)
@@ -98,37 +115,121 @@ def shifted(month: dt.date, months: int) -> dt.date:
     raise ValueError(month)
 
 
+def fingerprints(rows: DataFrame) -> dict[dt.date, str]:
+    """For each month the number of its rows and the sum of their hashes, whatever their order."""
+    hashed = F.xxhash64(*sorted(c for c in rows.columns if c != MONTH)).cast("decimal(20,0)")
+    states = rows.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n"), F.sum(hashed).alias("sum"))
+    return {r[MONTH]: f"{r['n']}:{r['sum']}" for r in states.collect()}
+
+
+def finished_log(spark: SparkSession, mart: Mart) -> DataFrame:
+    path = mart.path("finished")
+    if not readers.path_exists(spark, path):
+        return spark.createDataFrame([], FINISHED_SCHEMA)
+    return spark.read.schema(FINISHED_SCHEMA).parquet(path)  # logs of earlier versions lack columns
+
+
+def month_states(spark: SparkSession, mart: Mart, table: str) -> dict[dt.date, tuple[str | None, str | None]]:
+    """For each finished month of a table its fingerprint and that of what it was built from."""
+    latest = F.max(F.struct("finished_at", "fingerprint", "built_from")).alias("s")
+    rows = finished_log(spark, mart).where(F.col("table") == table).groupBy(MONTH).agg(latest)
+    return {r[MONTH]: (r["s"]["fingerprint"], r["s"]["built_from"]) for r in rows.collect()}
+
+
 def finished_months(spark: SparkSession, mart: Mart, table: str) -> set[dt.date]:
     """Months of a table that are done, also those that gave no row."""
-    log = readers.read_table(spark, mart.path("finished"), FINISHED_SCHEMA)
-    return {r[0] for r in log.where(F.col("table") == table).select(MONTH).distinct().collect()}
+    return set(month_states(spark, mart, table))
 
 
-def mark_finished(spark: SparkSession, mart: Mart, table: str, months: Sequence[dt.date]) -> None:
-    if months:
-        log = spark.createDataFrame([(table, m) for m in months], FINISHED_SCHEMA).coalesce(1)
-        writers.append_rows(log, mart.path("finished"))
+def current(spark: SparkSession, mart: Mart, *tables: str) -> dict[dt.date, str]:
+    """The fingerprints of the months of ``tables`` as they are now, joined; months unknown to any have none."""
+    states = [month_states(spark, mart, t) for t in tables]
+    months = set.intersection(*map(set, states))
+    joined = {m: [s[m][0] for s in states] for m in months}
+    return {m: "|".join(parts) for m, parts in joined.items() if all(parts)}
 
 
-def land_months(
-    spark: SparkSession, mart: Mart, table: str, extract: DataFrame, months: Months, rebuild: bool
+def stale_months(
+    spark: SparkSession, mart: Mart, table: str, months: Sequence[dt.date], sources: dict[dt.date, str], rebuild: bool = False
+) -> list[dt.date]:
+    """Those of ``months`` that ``table`` has not been built for, or whose source has changed since."""
+    done = month_states(spark, mart, table)
+    return sorted(
+        m for m in months if rebuild or m not in done or (m in sources and done[m][1] != sources[m])
+    )
+
+
+def mark_finished(
+    spark: SparkSession,
+    mart: Mart,
+    table: str,
+    months: Sequence[dt.date],
+    sources: dict[dt.date, str] | None = None,
 ) -> None:
-    """Write the months of a raw extract that are not landed yet; the extract is read once."""
-    landed = set() if rebuild else set(readers.month_partitions(spark, mart.path(table)))
-    rows = extract.where(F.col(MONTH).isNotNull())
-    if months is not None:
-        wanted = sorted(set(months) - landed)
-        if not wanted and landed:
-            return
-        rows = readers.in_months(rows, wanted)
-    elif landed:
-        rows = rows.where(~F.col(MONTH).isin(sorted(landed)))
-    writers.write_months(rows, mart.path(table))
-
-
-def land_month_files(spark: SparkSession, mart: Mart, table: str, folder: str, prefix: str, months: Months = None) -> None:
+    """Log months as built from ``sources``; with the fingerprint of what was written, if others are built from it."""
+    if not months:
+        return
+    states = {}
+    fingerprinted = table in FINGERPRINTED
+    if fingerprinted and readers.month_partitions(spark, mart.path(table)):
+        states = fingerprints(readers.in_months(spark.read.parquet(mart.path(table)), months))
+    now = dt.datetime.now()
+    rows = [(table, m, states.get(m, "0:0") if fingerprinted else None, (sources or {}).get(m), now) for m in months]
+    writers.append_rows(spark.createDataFrame(rows, FINISHED_SCHEMA).coalesce(1), mart.path("finished"))
+
+
+def fresh_files(spark: SparkSession, mart: Mart, table: str, pattern: str, rebuild: bool) -> list[filelog.RawFile]:
+    files = filelog.listed(spark, pattern)
+    if not files:
+        raise FileNotFoundError(pattern)
+    return files if rebuild else filelog.changed(spark, mart.path("landed_files"), table, files)
+
+
+def land_months(
+    spark: SparkSession,
+    mart: Mart,
+    table: str,
+    pattern: str,
+    parse: Callable[[list[str]], DataFrame],
+    months: Months = None,
+    rebuild: bool = False,
+) -> list[dt.date]:
+    """Parse raw files that are new or have changed, and write the months they hold. Returns these.
+
+    Late rows of a landed month arrive in a new file or a longer one: the month is written again with the
+    rows other files gave it, and what is built from it is due again. A changed file replaces its own
+    rows in the months it holds. A file is parsed once, so all its months are landed; ``months`` limits a ``rebuild``.
+    """
+    files = fresh_files(spark, mart, table, pattern, rebuild)
+    if not files:
+        return []
+    with temporary():
+        rows = parse([f.path for f in files]).where(F.col(MONTH).isNotNull())
+        if rebuild and months is not None:
+            rows = readers.in_months(rows, sorted(months))
+        rows = keep(rows, f"raw_{table}")
+        touched = sorted(r[0] for r in rows.select(MONTH).distinct().collect())
+        before = sorted(set(touched) & set(readers.month_partitions(spark, mart.path(table))))
+        if before:
+            landed = readers.in_months(spark.read.parquet(mart.path(table)), before)
+            if filelog.SOURCE in landed.columns:
+                others = landed.join(rows.select(filelog.SOURCE).distinct(), filelog.SOURCE, "left_anti")
+                rows = rows.unionByName(others, allowMissingColumns=True)
+        writers.write_months(rows, mart.path(table))
+        mark_finished(spark, mart, table, touched)
+        if months is None or not rebuild:
+            filelog.record(spark, mart.path("landed_files"), table, files)
+    return touched
+
+
+def land_month_files(spark: SparkSession, mart: Mart, table: str, folder: str, prefix: str, months: Months = None) -> list[dt.date]:
     """Land Parquet files that carry their month in the name (``<prefix>YYYY_MM_DD.parquet``)."""
-    land_months(spark, mart, table, readers.read_month_files(spark, folder, prefix), months, rebuild=False)
+
+    def parse(paths: list[str]) -> DataFrame:
+        rows = filelog.with_source(readers.read_month_files(spark, folder, prefix, paths))
+        return rows if months is None else readers.in_months(rows, sorted(months))
+
+    return land_months(spark, mart, table, f"{folder.rstrip('/')}/{prefix}*.parquet", parse)
 
 
 def build_months(
@@ -140,33 +241,43 @@ def build_months(
     months: Months,
     rebuild: bool,
 ) -> None:
-    """Apply ``plan`` to the partitions of ``source`` that ``table`` has not been built from."""
+    """Apply ``plan`` to the partitions of ``source`` that ``table`` has not been built from as they are now."""
     have = set(readers.month_partitions(spark, mart.path(source)))
-    wanted = have if months is None else have & set(months)
-    todo = sorted(wanted if rebuild else wanted - finished_months(spark, mart, table))
+    sources = current(spark, mart, source)
+    todo = stale_months(spark, mart, table, have if months is None else have & set(months), sources, rebuild)
     if not todo:
         return
     rows = readers.in_months(spark.read.parquet(mart.path(source)), todo)
     writers.write_months(plan(rows), mart.path(table))
-    mark_finished(spark, mart, table, todo)
+    mark_finished(spark, mart, table, todo, sources)
 
 
 def land_history(
-    spark: SparkSession, mart: Mart, name: str, extract: DataFrame, clean: Callable[[DataFrame], DataFrame], rebuild: bool
+    spark: SparkSession,
+    mart: Mart,
+    name: str,
+    pattern: str,
+    parse: Callable[[list[str]], DataFrame],
+    clean: Callable[[DataFrame], DataFrame],
+    rebuild: bool,
 ) -> DataFrame:
-    """Land the dated records of an extract that are new, and clean only those."""
+    """Parse raw files that are new or have changed, land their dated records that are new, and clean only those."""
     bronze, silver = mart.path(f"bronze_{name}"), mart.path(f"silver_{name}")
-    if rebuild or not readers.path_exists(spark, silver):
-        writers.write_static(extract, bronze)
+    whole = rebuild or not readers.path_exists(spark, silver)
+    files = fresh_files(spark, mart, f"bronze_{name}", pattern, whole)
+    if whole:
+        writers.write_static(parse([f.path for f in files]), bronze)
         writers.write_static(clean(spark.read.parquet(bronze)), silver)
-    else:
+    elif files:
         known = spark.read.parquet(bronze).select(F.col(CUSTOMER).alias("c"), F.col(MONTH).alias("m"))
         same = F.col(CUSTOMER).eqNullSafe(F.col("c")) & F.col(MONTH).eqNullSafe(F.col("m"))
         with temporary():
-            new = keep(extract.join(known, same, "left_anti"), f"new_{name}")
+            new = keep(parse([f.path for f in files]).join(known, same, "left_anti"), f"new_{name}")
             if not new.isEmpty():
                 writers.append_rows(clean(new), silver)
                 writers.append_rows(new, bronze)
+    if files:
+        filelog.record(spark, mart.path("landed_files"), f"bronze_{name}", files)
     return spark.read.parquet(silver)
 
 
@@ -176,26 +287,37 @@ def build_datamart(
     """Raw extracts to label store and feature store; months already built are skipped."""
     tune(spark)
 
-    def extract(path: str, columns: list[str]) -> DataFrame:
-        text = readers.read_text_csv(spark, path, text_schema(columns), raw.multiline)
-        return datamart.normalise_text(text)
+    def text(schema: T.StructType) -> Callable[[list[str]], DataFrame]:
+        return lambda paths: filelog.with_source(readers.read_text_csv(spark, paths, schema, raw.multiline))
+
+    def extract(columns: list[str]) -> Callable[[list[str]], DataFrame]:
+        return lambda paths: datamart.normalise_text(text(text_schema(columns))(paths))
 
     def build(table: str, source: str, plan: Callable[[DataFrame], DataFrame]) -> None:
         build_months(spark, mart, table, source, plan, months, rebuild)
 
-    loans = readers.read_text_csv(spark, raw.loans, loan_schema(), raw.multiline)
-    land_months(spark, mart, "bronze_loans", typed_month(loans), months, rebuild)
+    def loans(paths: list[str]) -> DataFrame:
+        return typed_month(text(loan_schema())(paths))
+
+    land_months(spark, mart, "bronze_loans", raw.loans, loans, months, rebuild)
     build("silver_loans", "bronze_loans", datamart.silver_loans)
     build("label_store", "silver_loans", datamart.label_store)
 
-    clicks = typed_month(extract(raw.clickstream, RAW_CLICKSTREAM_COLUMNS))
-    land_months(spark, mart, "bronze_clickstream", clicks, months, rebuild)
+    def clicks(paths: list[str]) -> DataFrame:
+        return typed_month(extract(RAW_CLICKSTREAM_COLUMNS)(paths))
+
+    if raw.clickstream is not None:
+        land_months(spark, mart, "bronze_clickstream", raw.clickstream, clicks, months, rebuild)
+    if raw.clickstream_months is not None:
+        land_month_files(spark, mart, "bronze_clickstream", *raw.clickstream_months)
     build("silver_clickstream", "bronze_clickstream", datamart.silver_clickstream)
 
-    attributes = extract(raw.attributes, RAW_ATTRIBUTE_COLUMNS)
-    attributes = land_history(spark, mart, "attributes", attributes, datamart.silver_attributes, rebuild)
-    financials = extract(raw.financials, RAW_FINANCIAL_COLUMNS)
-    financials = land_history(spark, mart, "financials", financials, datamart.silver_financials, rebuild)
+    attributes = land_history(
+        spark, mart, "attributes", raw.attributes, extract(RAW_ATTRIBUTE_COLUMNS), datamart.silver_attributes, rebuild
+    )
+    financials = land_history(
+        spark, mart, "financials", raw.financials, extract(RAW_FINANCIAL_COLUMNS), datamart.silver_financials, rebuild
+    )
     build(
         "feature_store",
         "silver_clickstream",
@@ -203,23 +325,44 @@ def build_datamart(
     )
 
 
+def profile_months(
+    spark: SparkSession, mart: Mart, table: str, source: str, plan: Callable[[DataFrame, DataFrame], DataFrame], months: Sequence[dt.date]
+) -> None:
+    """Store the findings of those months of ``source`` that have none yet or have changed since."""
+    have = set(months) & set(readers.month_partitions(spark, mart.path(source)))
+    sources = current(spark, mart, source)
+    todo = stale_months(spark, mart, table, have, sources)
+    if todo:
+        rows = readers.in_months(spark.read.parquet(mart.path(source)), todo)
+        dates = spark.createDataFrame([(m,) for m in todo], f"{MONTH} date")
+        writers.write_months(plan(rows, dates), mart.path(table))
+        mark_finished(spark, mart, table, todo, sources)
+
+
 def check_quality(spark: SparkSession, mart: Mart, months: Months = None) -> DataFrame:
     """Write the quality report and stop on critical findings.
 
     By default of all months that have clickstream or labels: a month without features is
-    reported, and so is one that was built but holds no row.
+    reported, and so is one that was built but holds no row. A month is profiled once, when it is new or
+    has changed; its findings are kept, and the gate reads these few rows.
     """
     clicks = readers.month_partitions(spark, mart.path("silver_clickstream"))
     built = {t: finished_months(spark, mart, t) for t in ("feature_store", "label_store")}
     if months is None:
         months = sorted({*clicks, *built["label_store"]})
-    dates = spark.createDataFrame([(m,) for m in months], f"{MONTH} date")
-    stores = {t: readers.in_months(spark.read.parquet(mart.path(t)), months) for t in built}
-    report = quality.quality_report(stores["feature_store"], stores["label_store"], dates)
+    have = {t: set(readers.month_partitions(spark, mart.path(t))) for t in built}
+    profile_months(spark, mart, "feature_findings", "feature_store", quality.feature_findings, months)
+    profile_months(spark, mart, "label_findings", "label_store", lambda rows, _: quality.label_findings(rows), months)
+
+    def dates(wanted: set[dt.date]) -> DataFrame:
+        return spark.createDataFrame([(m,) for m in sorted(wanted)], f"{MONTH} date")
+
+    stored = [readers.read_table(spark, mart.path(t), FINDINGS_SCHEMA) for t in ("feature_findings", "label_findings")]
+    parts = [readers.in_months(t, [m for m in months if m in have[s]]) for t, s in zip(stored, built)]
+    parts.append(quality.absent_features(dates(set(months) - have["feature_store"])))
     for table, check in (("feature_store", "empty_partition"), ("label_store", "empty_label_partition")):
-        done = spark.createDataFrame([(m,) for m in sorted(built[table] & set(months))], f"{MONTH} date")
-        report = report.unionByName(quality.empty_partitions(done, stores[table], check))
-    writers.write_months(report, mart.path("quality_report"))
+        parts.append(quality.empty_partitions(dates(built[table] & set(months)), dates(have[table]), check))
+    writers.write_months(reduce(DataFrame.unionByName, parts), mart.path("quality_report"))
     report = readers.in_months(spark.read.parquet(mart.path("quality_report")), months)
     quality.require_passed(report)
     return report
@@ -350,22 +493,21 @@ def score(spark: SparkSession, mart: Mart, months: Months = None, rebuild: bool
         training.load_scoring_model(spark, mart.model(challenger)) if challenger else None,
     )
     writers.write_months(predictions, mart.path("predictions"))
+    mark_finished(spark, mart, "predictions", todo)
     return todo
 
 
 def measure(spark: SparkSession, mart: Mart, rebuild: bool = False) -> None:
     """Store what monitoring needs of each new month: bin counts, ranking metrics and CSI.
 
-    A month's predictions, labels and features are read once. CSI belongs to the champion whose
-    training bins it uses; a new champion gets its own.
+    A month's predictions, labels and features are read once, and again when they have changed.
+    CSI belongs to the champion whose training bins it uses; a new champion gets its own.
     """
     champion = version_of(spark, mart, "champion")
     scored = readers.month_partitions(spark, mart.path("predictions"))
 
-    def due(table: str, months: Sequence[dt.date]) -> list[dt.date]:
-        return sorted(set(months) - (set() if rebuild else finished_months(spark, mart, table)))
-
-    todo = due("score_profile", scored)
+    sources = current(spark, mart, "predictions")
+    todo = stale_months(spark, mart, "score_profile", scored, sources, rebuild)
     if todo:
         rows = readers.in_months(spark.read.parquet(mart.path("predictions")), todo)
         versions = rows.groupBy(MONTH).agg(
@@ -373,18 +515,20 @@ def measure(spark: SparkSession, mart: Mart, rebuild: bool = False) -> None:
             F.max("challenger_model_version").alias("challenger_model_version"),
         )
         writers.write_months(score_profile(rows).join(versions, MONTH), mart.path("score_profile"))
-        mark_finished(spark, mart, "score_profile", todo)
+        mark_finished(spark, mart, "score_profile", todo, sources)
 
     labelled = set(readers.month_partitions(spark, mart.path("label_store")))
-    todo = due("cohort_performance", sorted(labelled.intersection(scored)))
+    sources = current(spark, mart, "predictions", "label_store")
+    todo = stale_months(spark, mart, "cohort_performance", labelled.intersection(scored), sources, rebuild)
     if todo:
         rows = readers.in_months(spark.read.parquet(mart.path("predictions")), todo)
         labels = readers.in_months(spark.read.parquet(mart.path("label_store")), todo)
         writers.write_months(monitoring.cohort_performance(rows, labels), mart.path("cohort_performance"))
-        mark_finished(spark, mart, "cohort_performance", todo)
+        mark_finished(spark, mart, "cohort_performance", todo, sources)
 
     store_months = set(readers.month_partitions(spark, mart.path("feature_store")))
-    todo = due(f"csi of {champion}", sorted(store_months.intersection(scored)))
+    sources = current(spark, mart, "feature_store")
+    todo = stale_months(spark, mart, f"csi of {champion}", store_months.intersection(scored), sources, rebuild)
     if todo:
         store = readers.in_months(spark.read.parquet(mart.path("feature_store")), todo)
         baseline = of_version(spark, mart, "feature_baseline", champion)
@@ -392,7 +536,7 @@ def measure(spark: SparkSession, mart: Mart, rebuild: bool = False) -> None:
         tracked = tracked_features(spark, mart, champion, store.columns)
         if tracked:
             writers.write_version_months(monitoring.csi_table(store, edges, tracked), mart.path("csi"), champion)
-        mark_finished(spark, mart, f"csi of {champion}", todo)
+        mark_finished(spark, mart, f"csi of {champion}", todo, sources)
 
 
 def tracked_features(spark: SparkSession, mart: Mart, champion: str, columns: Sequence[str]) -> list[str]:

@@ -106,6 +106,11 @@ def quality_report(
     return feature_findings(features, wanted, required).unionByName(label_findings(in_scope))
 
 
+def absent_features(months: DataFrame) -> DataFrame:
+    """The warning for months that have no features."""
+    return unfold(months, [finding("feature_partition", None, "0")])
+
+
 def empty_partitions(built: DataFrame, table: DataFrame, check: str = "empty_partition") -> DataFrame:
     """Months that were written but hold no row: critical for features, a warning for
     labels (``check="empty_label_partition"``)."""

@@ -1 +1 @@
-"""Readers, writers and durable intermediate results."""
+"""Readers, writers, the log of raw files and scratch tables."""

@@ -14,7 +14,7 @@ from riskmart.schemas import MONTH
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, multiline: bool = False
 ) -> DataFrame:
     """CSV with a header, every column as text; quotes inside a value are doubled.
 
@@ -47,10 +47,20 @@ def read_table(
 
 
 def month_partitions(spark: SparkSession, path: str) -> list[dt.date]:
-    """Months a partitioned table holds, as short a list as the calendar; no data column is read."""
-    table = read_table(spark, path, f"{MONTH} date")
-    months = table.select(F.col(MONTH).cast("date").alias(MONTH)).where(f"{MONTH} IS NOT NULL").distinct()
-    return sorted(r[0] for r in months.collect())
+    """Months a partitioned table holds, from the names of its folders; no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory()]
+    dated = [n.removeprefix(f"{MONTH}=") for n in names if n.startswith(f"{MONTH}=")]
+    return sorted(dt.date.fromisoformat(d) for d in dated if d[:1].isdigit())
+
+
+def latest_month(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a partitioned table's latest month; None when it has none. Other months are not read."""
+    months = month_partitions(spark, path)
+    return in_months(spark.read.parquet(path), months[-1:]) if months else None
 
 
 def in_months(df: DataFrame, months: Sequence[dt.date]) -> DataFrame:
@@ -58,12 +68,12 @@ def in_months(df: DataFrame, months: Sequence[dt.date]) -> DataFrame:
     return df.where(F.col(MONTH).isin(list(months)) if months else F.lit(False))
 
 
-def read_month_files(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
-    """Files named ``<prefix>YYYY_MM_DD.parquet`` as one table with ``snapshot_date``.
+def read_month_files(spark: SparkSession, folder: str, prefix: str, paths: Sequence[str] = ()) -> DataFrame:
+    """Files named ``<prefix>YYYY_MM_DD.parquet`` as one table with ``snapshot_date``; only ``paths``, if given.
 
     Files whose name holds no date are left out.
     """
-    files = spark.read.parquet(f"{folder.rstrip('/')}/{prefix}*.parquet")
+    files = spark.read.parquet(*(paths or [f"{folder.rstrip('/')}/{prefix}*.parquet"]))
     tag = F.regexp_extract(F.col("_metadata.file_path"), rf"{prefix}(\d{{4}}_\d{{2}}_\d{{2}})\.parquet", 1)
     dated = files.withColumn(MONTH, F.try_to_date(tag, "yyyy_MM_dd"))
     return dated.where(F.col(MONTH).isNotNull())

@@ -292,6 +292,106 @@ def test_month_files_are_landed(spark, mart, tmp_path):
     assert readers.month_partitions(spark, other.path("bronze_clickstream")) == MONTHS[:2]
 
 
+def test_a_raw_file_is_parsed_once(spark, mart, tmp_path):
+    """New files only are read; late rows rewrite their month, and what was built from it is due again."""
+    other = jobs.Mart(str(tmp_path / "files"))
+    folder = tmp_path / "extracts"
+    folder.mkdir()
+    header, read = ["k", "snapshot_date"], []
+
+    def parse(paths):
+        read.append(sorted(Path(p).name for p in paths))
+        return jobs.typed_month(jobs.filelog.with_source(readers.read_text_csv(spark, paths, jobs.text_schema(header))))
+
+    def land(**more):
+        return jobs.land_months(spark, other, "bronze_clickstream", str(folder / "*.csv"), parse, **more)
+
+    def rows():
+        found = table(spark, other, "bronze_clickstream").select("k", F.col("snapshot_date").cast("string")).collect()
+        return sorted(map(tuple, found))
+
+    write_csv(folder / "a.csv", header, [["1", "2023-01-01"], ["2", "2023-02-01"]])
+    assert land() == MONTHS[:2] and land() == []
+    january = jobs.month_states(spark, other, "bronze_clickstream")[MONTHS[0]]
+    write_csv(folder / "b.csv", header, [["3", "2023-02-01"], ["4", "2023-03-01"], ["5", ""]])
+    assert land() == MONTHS[1:3]
+    assert rows() == [("1", "2023-01-01"), ("2", "2023-02-01"), ("3", "2023-02-01"), ("4", "2023-03-01")]
+    write_csv(folder / "a.csv", header, [["1", "2023-01-01"], ["22", "2023-02-01"], ["23", "2023-02-01"]])
+    assert land() == MONTHS[:2]
+    assert read == [["a.csv"], ["b.csv"], ["a.csv"]]
+    assert [r[0] for r in rows()] == ["1", "22", "23", "3", "4"]
+    # The month whose rows are the same is no reason to build anything again.
+    sources = jobs.current(spark, other, "bronze_clickstream")
+    assert sources[MONTHS[0]] == january[0]
+    assert jobs.stale_months(spark, other, "silver_clickstream", MONTHS[:3], sources) == MONTHS[:3]
+    jobs.mark_finished(spark, other, "silver_clickstream", MONTHS[:3], {**sources, MONTHS[1]: "old"})
+    assert jobs.stale_months(spark, other, "silver_clickstream", MONTHS[:3], sources) == [MONTHS[1]]
+    with pytest.raises(FileNotFoundError):
+        jobs.fresh_files(spark, other, "bronze_loans", str(tmp_path / "nowhere*.csv"), False)
+
+
+def test_late_rows_reach_the_stores(spark, raw, tmp_path):
+    lines = Path(raw.clickstream).read_text().splitlines()
+    first, second = tmp_path / "clicks", jobs.Mart(str(tmp_path / "late"))
+    first.mkdir()
+    (first / "1.csv").write_text("\n".join([x for x in lines if f"C0,{MONTHS[0]}" not in x and str(MONTHS[2]) not in x]) + "\n")
+    paths = dataclasses.replace(raw, clickstream=str(first))
+    jobs.build_datamart(spark, paths, second, MONTHS[:3])
+    assert table(spark, second, "feature_store").count() == 2 * CUSTOMERS - 1
+    log = spark.read.parquet(second.path("finished")).where("table = 'feature_store'")
+    assert log.count() == 2
+    (first / "2.csv").write_text("\n".join([lines[0], *[x for x in lines if f"C0,{MONTHS[0]}" in x or str(MONTHS[2]) in x]]) + "\n")
+    jobs.build_datamart(spark, paths, second, MONTHS[:3])
+    assert table(spark, second, "feature_store").count() == 3 * CUSTOMERS
+    built = spark.read.parquet(second.path("finished")).where("table = 'feature_store'").groupBy("snapshot_date").count()
+    assert {r[0]: r[1] for r in built.collect()} == {MONTHS[0]: 2, MONTHS[1]: 1, MONTHS[2]: 1}
+
+
+def test_gate_profiles_a_month_once(spark, mart, tmp_path, monkeypatch):
+    other = jobs.Mart(str(tmp_path / "gate"))
+    copy_tables(spark, mart, other)
+    table(spark, mart, "silver_clickstream").write.partitionBy("snapshot_date").parquet(other.path("silver_clickstream"))
+    stores = [table(spark, other, t) for t in ("feature_store", "label_store")]
+    dates = spark.createDataFrame([(m,) for m in MONTHS], "snapshot_date date")
+    direct = jobs.quality.quality_report(*stores, dates)
+    profiled = []
+    plan = jobs.quality.feature_findings
+    monkeypatch.setattr(jobs.quality, "feature_findings", lambda rows, dates: profiled.append(dates.count()) or plan(rows, dates))
+    whole = snapshot(jobs.check_quality(spark, other))
+    assert set(snapshot(direct)) <= set(whole) and len(whole) == direct.count() + 1
+    assert snapshot(jobs.check_quality(spark, other)) == whole and profiled == [len(MONTHS)]
+    # A month written anew is profiled anew, and only that one is read.
+    month = stores[0].where(F.col("snapshot_date") == MONTHS[4])
+    writers.write_months(spark.createDataFrame(month.limit(7).collect(), month.schema), other.path("feature_store"))
+    jobs.mark_finished(spark, other, "feature_store", [MONTHS[4]])
+    report = jobs.check_quality(spark, other)
+    assert profiled == [len(MONTHS), 1]
+    few = report.where("check = 'row_count' and severity = 'warn'").collect()
+    assert [(r["snapshot_date"], r["value"]) for r in few] == [(MONTHS[4], 7.0)]
+
+
+def test_rescored_months_are_measured_again(spark, mart, tmp_path):
+    other = jobs.Mart(str(tmp_path / "rescored"))
+    copy_tables(spark, mart, other)
+    jobs.score(spark, other, MONTHS[6:8])
+    jobs.measure(spark, other)
+    before = {r["snapshot_date"]: r["mean_score"] for r in table(spark, other, "score_profile").collect()}
+    rows = table(spark, other, "predictions").where(F.col("snapshot_date") == MONTHS[7]).withColumn("score", F.lit(0.25))
+    writers.write_months(spark.createDataFrame(rows.collect(), rows.schema), other.path("predictions"))
+    jobs.mark_finished(spark, other, "predictions", [MONTHS[7]])
+    jobs.measure(spark, other)
+    after = {r["snapshot_date"]: r["mean_score"] for r in table(spark, other, "score_profile").collect()}
+    assert after == {MONTHS[6]: before[MONTHS[6]], MONTHS[7]: 0.25}
+    performance = {r["snapshot_date"]: r["auc"] for r in table(spark, other, "cohort_performance").collect()}
+    assert performance[MONTHS[7]] == 0.5
+
+
+def test_latest_month(spark, mart, tmp_path):
+    last = readers.latest_month(spark, mart.path("feature_store"))
+    assert {r[0] for r in last.select("snapshot_date").distinct().collect()} == {MONTHS[-1]}
+    assert last.count() == CUSTOMERS and readers.latest_month(spark, str(tmp_path / "none")) is None
+
+
 def test_values_with_line_breaks(spark, tmp_path):
     path = write_csv(tmp_path / "x.csv", ["a", "b"], [["one\ntwo", "3"], ["four", "5"]])
     schema = jobs.text_schema(["a", "b"])
