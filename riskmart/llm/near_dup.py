@@ -12,7 +12,9 @@
    another without being linked with a hub. These classes, and only these, are joined once more
    by prefix filter: two sets of similarity t or more share one of the rarest shingles of each,
    ``n - ceil(t * n) + 1`` of them. Frequent passages are no rare shingles, so many texts
-   that share one meet in no group here. No bucket is cut off or sampled.
+   that share one meet in no group here. In ``HUB_TURNS`` turns each text meets one hub of each of
+   its rare shingles, and links found contract components; only shingles whose texts still are of several components give pairs
+   of these. No bucket is cut off or sampled.
 
 Two texts of similarity 0.75 miss each other in all bands with a probability of 1e-8.
 
@@ -26,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.components import components
@@ -37,6 +39,7 @@ BANDS = 48
 ROWS = 4
 PERCENT = 75
 ORDERS = 2
+HUB_TURNS = 3
 _LIKE_ENOUGH = 0.5  # share of equal minima; 0.75 less eight standard errors of 192 minima
 _BLOCK = 1024
 
@@ -124,13 +127,12 @@ def open_members(members: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(several, "bucket", "left_semi").select("b", "c").distinct()
 
 
-def prefix_pairs(texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that share one of the rarest shingles of both.
+def rare_shingles(texts: DataFrame, percent: int) -> DataFrame:
+    """``b``, ``c``, ``n``, ``shingle`` and ``rest``: the rarest shingles of each text, in groups that are open.
 
     ``texts`` has ``b``, ``c`` and ``shingles``. The order of shingles is by their number in these
     texts, then by hash. From the first shingle that two sets share, by that order, they can have no more in
-    common than the shorter of what remains; with their sizes this decides most pairs at once.
-    Where all rows of a shingle are of one component, or too large for the smallest, there is no pair.
+    common than the shorter ``rest`` of them; with their sizes this decides most pairs at once.
     """
     n = F.size("shingles")
     each = texts.select("b", "c", n.alias("n"), F.explode("shingles").alias("shingle"))
@@ -146,19 +148,44 @@ def prefix_pairs(texts: DataFrame, percent: int) -> DataFrame:
         F.posexplode(F.slice("shared", 1, F.greatest(prefix - alone, F.lit(0)).cast("int"))).alias("i", "s"),
     )
     rare = rare.select("b", "c", "n", F.col("s.shingle").alias("shingle"), (F.col("n") - F.col("alone") - F.col("i")).alias("rest"))
-    rare = keep(rare, "rare")
+    return open_groups(keep(rare, "rare"), percent)
+
+
+def open_groups(rare: DataFrame, percent: int) -> DataFrame:
+    """The rows of shingles whose rows are of several components and small enough for their smallest text."""
     groups = rare.groupBy("shingle").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("n").alias("least"))
     groups = keep(groups.where("c1 <> c2").select("shingle", "least"), "rare_groups")
     able = (100 + percent) * F.col("rest") >= percent * (F.col("n") + F.col("least"))
-    rare = keep(rare.join(groups, "shingle").where(able).drop("least"), "able")
+    return keep(rare.join(groups, "shingle").where(able).drop("least"), "able")
+
+
+def _able(x: str, y: str, percent: int) -> Column:
+    """Whether rows of one shingle can belong to linked texts of different components."""
+    sizes = (100 * F.col(f"{x}.n") >= percent * F.col(f"{y}.n")) & (100 * F.col(f"{y}.n") >= percent * F.col(f"{x}.n"))
+    most = F.least(F.col(f"{x}.rest"), F.col(f"{y}.rest"))
+    enough = (100 + percent) * most >= percent * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+    return (F.col(f"{x}.c") != F.col(f"{y}.c")) & sizes & enough
+
 
+def hub_pairs(rare: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of each row with the hub of its shingle, another for every shingle and turn.
+
+    A text has as many hubs as rare shingles, so a member of a family of near copies meets many
+    of the family, and the number of pairs is that of the rows.
+    """
+    order = F.xxhash64("b", "shingle", F.lit(turn))
+    hubs = rare.groupBy("shingle").agg(F.min(F.struct(order.alias("order"), "b", "c", "n", "rest")).alias("hub"))
+    hubs = hubs.select("shingle", "hub.b", "hub.c", "hub.n", "hub.rest")
+    x, y = rare.alias("x"), hubs.alias("y")
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & _able("x", "y", percent))
+    return pairs.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct()
+
+
+def prefix_pairs(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of texts of different components that share one of the rarest shingles of both."""
     x, y = rare.alias("x"), rare.alias("y")
-    near = (F.col("x.b") < F.col("y.b")) & (F.col("x.c") != F.col("y.c"))
-    sizes = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
-    most = F.least(F.col("x.rest"), F.col("y.rest"))
-    enough = (100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n"))
-    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & near & sizes & enough)
-    return pairs.select(F.col("x.b").alias("a"), F.col("y.b").alias("b")).distinct()
+    near = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.b") < F.col("y.b"))
+    return x.join(y, near & _able("x", "y", percent)).select(F.col("x.b").alias("a"), F.col("y.b").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -188,9 +215,16 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
         links = keep(confirmed(alike(pairs, signatures), sets, percent), "links")
         found = keep(components(links), "found")
         undecided = keep(open_members(members, found), "undecided")
-        pairs = prefix_pairs(undecided.join(sets.toDF("b", "shingles"), "b"), percent)
-        more = keep(confirmed(alike(pairs, signatures), sets, percent), "more")
-        found = keep(components(links.union(more)), "found") if not more.isEmpty() else found
+        rare = rare_shingles(undecided.join(sets.toDF("b", "shingles"), "b"), percent)
+        for turn in range(HUB_TURNS + 1):
+            pairs = hub_pairs(rare, turn, percent) if turn < HUB_TURNS else prefix_pairs(rare, percent)
+            more = keep(confirmed(alike(pairs, signatures), sets, percent), "more")
+            if more.isEmpty():
+                continue
+            found = keep(components(found.toDF("a", "b").union(more)), "found")
+            if turn < HUB_TURNS:
+                joined = rare.drop("c").join(found.toDF("b", "c"), "b", "left").withColumn("c", F.coalesce("c", "b"))
+                rare = open_groups(keep(joined.select("b", "c", "n", "shingle", "rest"), "contracted"), percent)
 
         # Copies belong to the component of their class; rows in no list are components of their own.
         placed = copies.join(found.toDF("first", "component"), "first", "left").select(

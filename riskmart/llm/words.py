@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,8 @@ _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 _BASE = 0x9FB21C651E98DF25
 _CHUNK_BYTES = 1 << 15
+LONG_WORD = 512
+_SMALL = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _POWERS = np.array([_BASE], np.uint64).repeat(_CHUNK_BYTES)
 _POWERS[0] = 1
 _POWERS = np.cumprod(_POWERS, dtype=np.uint64)
@@ -34,8 +37,10 @@ class WordHasher:
     """64-bit hashes of the words of UTF-8 texts, computed for all words of a text at once.
 
     A word's hash is a polynomial in its bytes with a random value for each of the 256, so the sums
-    over prefixes of a text give those of its words. ``separators`` are the bytes between words;
-    capitals A-Z count as small letters.
+    over prefixes of a text give those of its words. Modulo a power of two, long words of two kinds of
+    letters can be made to collide whatever the values (Thue-Morse words of 1,024 letters and
+    more), so words of ``LONG_WORD`` bytes and more are hashed by XXH3. ``separators`` are the bytes between
+    words; capitals A-Z count as small letters.
     """
 
     def __init__(self, separators: Iterable[int]):
@@ -71,17 +76,14 @@ class WordHasher:
         starts, ends = edges[::2], edges[1::2]
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(self.value[raw] * _POWERS[: len(raw)], out=sums[1:])
-        return self._mixed((sums[ends] - sums[starts]) * _INVERSES[starts])
-
-    def _long(self, word: bytes) -> int:
-        """The same polynomial for one very long word, chunk by chunk."""
-        total, scale = 0, 1
-        whole = pow(_BASE, _CHUNK_BYTES, 1 << 64)
-        for at in range(0, len(word), _CHUNK_BYTES):
-            raw = np.frombuffer(word[at : at + _CHUNK_BYTES], np.uint8)
-            total += scale * int((self.value[raw] * _POWERS[: len(raw)]).sum(dtype=np.uint64))
-            scale = scale * whole % (1 << 64)
-        return int(self._mixed(np.array([total % (1 << 64)], np.uint64))[0])
+        hashes = self._mixed((sums[ends] - sums[starts]) * _INVERSES[starts])
+        for i in np.flatnonzero(ends - starts >= LONG_WORD).tolist():
+            hashes[i] = self._long(raw[starts[i] : ends[i]].tobytes())
+        return hashes
+
+    @staticmethod
+    def _long(word: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(word.translate(_SMALL))
 
     @staticmethod
     def _mixed(value: np.ndarray) -> np.ndarray:

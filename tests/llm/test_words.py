@@ -33,3 +33,13 @@ def test_no_collision_among_many_words():
     hashes = words.between_spaces(text)
     assert len(set(hashes.tolist())) == len(set(text.split()))
     assert len(set((hashes >> 32).tolist())) > 0.99 * len(set(text.split()))
+
+
+def test_long_words_of_two_letters_do_not_collide():
+    """A Thue-Morse word and its complement, which collide under any polynomial modulo a power of two."""
+    for length in (512, 1024, 4096, 65_536):
+        word = "".join("ab"[i.bit_count() & 1] for i in range(length))
+        other = word.translate({97: 98, 98: 97})
+        hashes = words.between_spaces(f"{word} x {other} {word.upper()}".encode()).tolist()
+        assert hashes[0] != hashes[2] and hashes[0] == hashes[3]
+        assert words.between_spaces(word.encode()).tolist() == hashes[:1]
