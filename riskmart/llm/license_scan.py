@@ -7,7 +7,8 @@ prose follows, the longest well-formed beginning. Punctuation behind an identifi
 
 Defined results: null and empty texts have no words, no labels and score 0; repeated rows are
 scanned each for itself; a line that ends within an expression (``MIT OR``) or begins with none adds no
-label but still scores as a tag. Columns of ``docs`` that are not asked for are not read, so names cannot clash.
+label but still scores as a tag; an expression ends before the next tag of its line. Each text is read a fixed number of
+times, however many phrases and tags it holds. Columns of ``docs`` that are not asked for are not read, so names cannot clash.
 """
 
 from __future__ import annotations
@@ -83,6 +84,7 @@ PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+_-]+")
+_LINE_END = re.compile(r"[\r\n;\"'*#<>]")
 # Byte by byte: capitals to small letters, all that is no part of a word to a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -198,13 +200,24 @@ def evaluate(order: list[str]) -> tuple[set[str], int]:
     return stack[0]
 
 
-def _after_tag(text: str, start_word: int) -> str:
-    """The rest of the line behind the three words of a tag."""
+def _after_tags(text: str, starts: list[int]) -> list[str]:
+    """The rest of the line behind each tag, up to the next tag; ``starts`` are the tags' first words, ascending.
+
+    One pass over the words finds all places, and each rest is read once.
+    """
     small = text.encode().lower().decode()  # as long as the text: only A-Z change
+    places: list[tuple[int, int]] = []  # where a tag begins and ends
+    begin = 0
     for number, match in enumerate(WORD.finditer(small)):
-        if number == start_word + 2:
-            return re.split(r"[\r\n;\"'*#<>]", text[match.end() :].lstrip(" :=\t"), maxsplit=1)[0]
-    return ""
+        if number == starts[len(places)]:
+            begin = match.start()
+        elif number == starts[len(places)] + 2:
+            places.append((begin, match.end()))
+            if len(places) == len(starts):
+                break
+    nexts = [begin for begin, _ in places[1:]] + [len(text)]
+    rests = [text[end:following].lstrip(" :=\t") for (_, end), following in zip(places, nexts, strict=True)]
+    return [_LINE_END.split(rest, maxsplit=1)[0] for rest in rests]
 
 
 class Scanner:
@@ -214,6 +227,7 @@ class Scanner:
         for phrase in phrases:
             self.automaton.add_word(f" {phrase} ", phrase)
         self.automaton.make_automaton()
+        self.words = {phrase: phrase.count(" ") + 1 for phrase in phrases}
 
     def scan(self, text: str) -> tuple:
         words = fold(text)
@@ -224,8 +238,12 @@ class Scanner:
         expressions: list[str] = []
         restrictions: list[int] = []
         score = 0.0
+        tags: list[int] = []
+        counted, behind = 0, 0  # words that end before ``counted``, counted once for all phrases
         for end, phrase in self.automaton.iter(line):
-            at = line.count(" ", 0, end - len(phrase) - 1)
+            behind += line.count(" ", counted, end)
+            counted = end
+            at = behind - self.words[phrase]
             if phrase in BASE_PHRASES:
                 base.append(at)
                 base_labels.add(BASE_PHRASES[phrase])
@@ -235,13 +253,15 @@ class Scanner:
                 score = max(score, 0.8)
             else:
                 score = max(score, 0.7)
-                order = stated(_after_tag(text, at))
-                if order:
-                    found, restriction = evaluate(order)
-                    labels |= found
-                    expressions.append(" ".join(order))
-                    restrictions.append(restriction)
-                    score = 1.0
+                tags.append(at)
+        for rest in _after_tags(text, tags) if tags else []:
+            order = stated(rest)
+            if order:
+                found, restriction = evaluate(order)
+                labels |= found
+                expressions.append(" ".join(order))
+                restrictions.append(restriction)
+                score = 1.0
         return (
             len(words),
             len(base),

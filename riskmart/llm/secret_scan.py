@@ -19,7 +19,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -41,7 +44,9 @@ PEM = re.compile(
     r"(?:[ \t]*[\r\n]+[A-Za-z0-9-]+:(?:(?!-----)[^\r\n])*)*+"  # header lines of an encrypted key
     r"[A-Za-z0-9+/=\s]{16,}-----END [A-Z ]*PRIVATE KEY-----"
 )
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+# Three parts of 8 characters and more, the first behind ``eyJ``; see ``web_tokens`` for where they may begin.
+_DOTTED = re.compile(r"[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)*+")
+_PART = 8
 URL = re.compile(r"://[A-Za-z0-9._%-]+:([^\s/@:\"'<>]{4,})@")
 MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])")
 
@@ -70,6 +75,41 @@ def looks_random(value: str) -> bool:
     return entropy(value) >= 3.0 + 0.25 * (len(value) >= 20) and any(c.isdigit() for c in value)
 
 
+def web_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of each ``eyJ...``, dot, part, dot, part; leftmost, not overlapping.
+
+    A run of parts is cut at its dots once. The first ``eyJ`` of a part leaves it the most characters, so
+    no other needs to be tried.
+    """
+    for run in _DOTTED.finditer(text):
+        parts = run[0].split(".")
+        if len(parts) < 3:
+            continue
+        at, number = run.start(), 0
+        while number + 2 < len(parts):
+            first, second, third = parts[number : number + 3]
+            begin = first.find("eyJ")
+            if begin >= 0 and len(first) - begin - 3 >= _PART and len(second) >= _PART and len(third) >= _PART:
+                end = at + len(first) + len(second) + len(third) + 2
+                yield at + begin, end
+                at, number = end + 1, number + 3
+            else:
+                at, number = at + len(first) + 1, number + 1
+
+
+def outside(taken: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Tells whether a span overlaps none of the spans taken, in the logarithm of their number."""
+    taken = sorted(taken)
+    starts = [start for start, _ in taken]
+    reach = list(accumulate((end for _, end in taken), max))  # the furthest end so far
+
+    def free(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return not before or reach[before - 1] <= start
+
+    return free
+
+
 def candidates(text: str) -> list[tuple[int, int, int, str, bool]]:
     """All candidates of a text: kind, start, end, hash of the value, whether it looks random."""
     raw = text.encode()
@@ -84,15 +124,13 @@ def candidates(text: str) -> list[tuple[int, int, int, str, bool]]:
     if b"-----BEGIN " in raw:
         found += [(3, m.start(), m.end(), m[0]) for m in PEM.finditer(text)]
     if b"eyJ" in raw:
-        found += [(4, m.start(), m.end(), m[0]) for m in JWT.finditer(text)]
+        found += [(4, start, end, text[start:end]) for start, end in web_tokens(text)]
     if b"://" in raw:
         found += [(5, m.start(1), m.end(1), m[1]) for m in URL.finditer(text)]
     if _VALUE_RUN in raw.translate(_VALUE_MAP):
-        taken = [(s, e) for _, s, e, _ in found]
+        free = outside([(s, e) for _, s, e, _ in found])
         found += [
-            (6, m.start(), m.end(), m[0])
-            for m in MIXED.finditer(text)
-            if looks_random(m[0]) and not any(s < m.end() and m.start() < e for s, e in taken)
+            (6, m.start(), m.end(), m[0]) for m in MIXED.finditer(text) if looks_random(m[0]) and free(m.start(), m.end())
         ]
     return [(k, s, e, hashlib.sha256(v.encode()).hexdigest(), looks_random(v)) for k, s, e, v in found]
 

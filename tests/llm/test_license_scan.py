@@ -1,4 +1,5 @@
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -96,3 +97,22 @@ def test_expression_before_prose_and_punctuation():
     assert found("foo or bar") == ("bar,foo", 1.0, ["foo bar or"], 3)
     for line in ("MIT OR", "(MIT", "AND MIT", "--", "()", "(MIT GPL-2.0)"):
         assert found(line) == ("", 0.7, [], None)
+
+
+def test_many_hits_take_linear_time():
+    tags = 10_000
+    text = "\n".join(f"// SPDX-License-Identifier: MIT OR l{i}" for i in range(tags))
+    start = time.monotonic()
+    row = ls.Scanner().scan(text)
+    assert len(row[7]) == tags and row[7][-1] == f"mit l{tags - 1} or"
+    row = ls.Scanner().scan("SPDX-License-Identifier: MIT " * tags)  # on one line
+    assert row[7] == ["mit"] * tags
+    row = ls.Scanner().scan("cc by mit license, " * 50_000)
+    assert row[:4] == (200_000, 100_000, 0, 199_998)
+    assert time.monotonic() - start < 10
+
+
+def test_expression_ends_before_the_next_tag():
+    tag = "SPDX-License-Identifier:"
+    assert ls.Scanner().scan(f"{tag} MIT {tag} (Apache-2.0 {tag} BSD-3-Clause")[7] == ["mit", "bsd-3-clause"]
+    assert ls.Scanner().scan(f"{tag} {tag} MIT AND ISC")[7] == ["mit isc and"]
