@@ -9,8 +9,9 @@ A task packs what it reads, in blocks of a bounded number of tokens: no shuffle,
 within the bound, and a lost task repeats only its own rows. Each block leaves a few rows
 partly filled, about one in a thousand at the default size.
 
-Defined results: null and empty texts have no tokens and no piece. Repeated rows are packed each
-for itself. Only the key and the text are read.
+Defined results: null and empty texts have no tokens and no piece. Repeated rows, null keys
+too, are packed each for itself, and unpacking gives them back each for itself: every text that was read has a number
+of its own (partition, place in it). Only the key and the text are read.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,6 +90,7 @@ def _type(key_type: T.DataType, key: str) -> T.StructType:
             T.StructField("cu_seqlens", T.ArrayType(T.IntegerType())),
             T.StructField(f"{key}s", T.ArrayType(key_type)),
             T.StructField("pieces", T.ArrayType(T.IntegerType())),
+            T.StructField("texts", T.ArrayType(T.LongType())),
         ]
     )
 
@@ -107,7 +110,7 @@ def pack(
     ``ids`` and ``position_ids`` are little-endian unsigned numbers of two bytes (four if an id or a
     position needs them), padded with ``pad_id`` (by default the first id without a token) and 0, so the rows are those of a matrix.
     Positions start at 0 with each piece; ``cu_seqlens`` holds the starts of the pieces and the
-    end of the last, ``<key>s`` and ``pieces`` say whose piece it is and which.
+    end of the last, ``<key>s`` and ``pieces`` say whose piece it is and which, ``texts`` of which text that was read.
     """
     with open(rank_file, "rb") as file:
         content = file.read()
@@ -120,7 +123,7 @@ def pack(
     width = np.dtype(kind).itemsize
     places = np.arange(row_tokens, dtype=kind).tobytes()
 
-    def packed(pieces: list[tuple[object, int, bytes]]) -> pa.RecordBatch:
+    def packed(pieces: list[tuple[object, int, bytes, int]]) -> pa.RecordBatch:
         sizes = [len(p[2]) // width for p in pieces]
         rows = best_fit_decreasing(sizes, row_tokens)
         columns: list[list] = [[] for _ in schema]
@@ -136,25 +139,28 @@ def pack(
                 starts,
                 [pieces[i][0] for i in row],
                 [pieces[i][1] for i in row],
+                [pieces[i][3] for i in row],
             )
             for column, value in zip(columns, values, strict=True):
                 column.append(value)
-        types = [pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int32()), key_type, pa.list_(pa.int32())]
+        types = [pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int32()), key_type, pa.list_(pa.int32()), pa.list_(pa.int64())]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, memo = worker_codec(vocabulary.value, pattern), worker_memo(vocabulary.value, pattern, kind, MEMO_ENTRIES)
         waiting, tokens = [], 0
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             words_of = by_words(batch.column("__text"), own.words, memo)
             for owner, words in zip(batch.column("__key").to_pylist(), words_of, strict=True):
                 ids = b"".join(map(memo.__getitem__, words))
                 for piece, start in enumerate(range(0, len(ids), row_tokens * width)):
-                    waiting.append((owner, piece, ids[start : start + row_tokens * width]))
+                    waiting.append((owner, piece, ids[start : start + row_tokens * width], number))
                     tokens += len(waiting[-1][2]) // width
                     if tokens >= block_tokens:
                         yield packed(waiting)
                         waiting, tokens = [], 0
+                number += 1
         if waiting:
             yield packed(waiting)
 
@@ -162,15 +168,15 @@ def pack(
 
 
 def unpack(rows: DataFrame, key: str = "doc_id", width: int = 2) -> DataFrame:
-    """``key`` and the ``ids`` (binary) of every text again, from packed rows."""
-    part = F.posexplode(F.arrays_zip(F.col(f"{key}s").alias("k"), F.col("pieces").alias("p")))
+    """``key`` and the ``ids`` (binary) of every text again, one row for each text that was packed."""
+    part = F.posexplode(F.arrays_zip(F.col(f"{key}s").alias("k"), F.col("pieces").alias("p"), F.col("texts").alias("t")))
     each = rows.select("ids", "cu_seqlens", part.alias("i", "s"))
     start, stop = F.col("cu_seqlens")[F.col("i")], F.col("cu_seqlens")[F.col("i") + 1]
     each = each.select(
-        F.col("s")["k"].alias(key), F.col("s")["p"].alias("piece"),
+        F.col("s")["k"].alias(key), F.col("s")["t"].alias("own"), F.col("s")["p"].alias("piece"),
         F.substring("ids", start * width + 1, (stop - start) * width).alias("part"),
     )
-    parts = each.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("piece", "part"))).alias("parts"))
+    parts = each.groupBy(key, "own").agg(F.sort_array(F.collect_list(F.struct("piece", "part"))).alias("parts"))
     joined = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["part"])), ""))
     return parts.select(key, joined.alias("ids"))
 

@@ -158,23 +158,28 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op4_chat_format"] = """
-WITH placed AS (
-  SELECT conv_id, row_number() OVER w AS place, turn, role, text,
-         string_agg(role || chr(1) || text || chr(2), '') OVER w AS so_far,
-         count(*) OVER (PARTITION BY conv_id) AS n_turns
+WITH named AS (
+  -- A turn without an id is a conversation of its own.
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () ELSE 0 END AS own, turn, role, text
   FROM conversations
-  WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), placed AS (
+  SELECT conv_id, own, row_number() OVER w AS place, turn, role, text,
+         string_agg(coalesce(role, chr(3)) || chr(1) || coalesce(text, chr(3)) || chr(2), '') OVER w AS so_far,
+         count(*) OVER (PARTITION BY conv_id, own) AS n_turns
+  FROM named
+  WINDOW w AS (PARTITION BY conv_id, own ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ), ends AS (
-  SELECT so_far, n_turns, min(conv_id) AS conv_id, count(*) AS n_copies
+  SELECT so_far, n_turns, min(conv_id) AS conv_id, min(own) AS own, count(*) AS n_copies
   FROM placed WHERE place = n_turns GROUP BY so_far, n_turns
 ), whole AS (
   SELECT * FROM ends WHERE so_far NOT IN (SELECT so_far FROM placed WHERE place < n_turns)
 )
-SELECT conv_id, whole.n_turns, n_copies,
-       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
-                  ORDER BY turn, role, text) AS rendered
-FROM whole JOIN placed USING (conv_id)
-GROUP BY conv_id, whole.n_turns, n_copies
+SELECT whole.conv_id, whole.n_turns, n_copies,
+       string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), ''
+                  ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS rendered
+FROM whole JOIN placed ON placed.conv_id IS NOT DISTINCT FROM whole.conv_id AND placed.own = whole.own
+GROUP BY whole.conv_id, whole.own, whole.n_turns, n_copies
 """
 
 

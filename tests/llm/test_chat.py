@@ -1,4 +1,7 @@
+import duckdb
+
 from riskmart.llm.chat import format_chats
+from riskmart.llm.queries import ORACLE
 
 SCHEMA = "conv_id long, turn long, role string, text string, id string, place string, h1 string, kept_id string, turns string"
 EXTRA = ("x",) * 5
@@ -8,32 +11,32 @@ def frame(spark, rows):
     return spark.createDataFrame([(*r, *EXTRA) for r in rows], SCHEMA)
 
 
-def low(value):
-    return (value is not None, value if value is not None else 0)
+def order(row):
+    return (row[0] is not None, row[0] if row[0] is not None else 0, row[3], row[2])
 
 
 def brute(rows):
     chats = {}
-    for c, *turn in rows:
-        chats.setdefault(c, []).append(tuple(turn))
+    for i, (c, *turn) in enumerate(rows):  # a turn without an id is a conversation of its own
+        chats.setdefault((c is None, c if c is not None else i), []).append(tuple(turn))
     for c in chats:
         chats[c].sort(key=lambda t: tuple((x is not None, x if x is not None else "") for x in t))
     said = {c: [t[1:] for t in turns] for c, turns in chats.items()}
     out = []
-    for c, turns in said.items():
+    for (no_id, c), turns in said.items():
         equal = [d for d in said if said[d] == turns]
-        if min(equal, key=low) != c and any(d is not None and (c is None or d < c) for d in equal):
+        if min(equal) != (no_id, c):
             continue
         if any(len(o) > len(turns) and o[: len(turns)] == turns for o in said.values()):
             continue
         text = "".join(f"<|im_start|>{r or 'unknown'}\n{t or ''}<|im_end|>\n" for r, t in turns)
-        out.append((c, len(turns), len(equal), text))
-    return sorted(out, key=lambda r: low(r[0]))
+        out.append((None if no_id else c, len(turns), len(equal), text))
+    return sorted(out, key=order)
 
 
 def result(df):
     rows = [tuple(r[c] for c in ("conv_id", "n_turns", "n_copies", "rendered")) for r in df.collect()]
-    return sorted(rows, key=lambda r: low(r[0]))
+    return sorted(rows, key=order)
 
 
 TALK = [("system", "be kind"), ("user", "hi"), ("assistant", "hello"), ("user", "bye"), ("assistant", "ciao")]
@@ -60,9 +63,28 @@ def test_snapshots_collapse(spark):
     assert dict((r[0], r[2]) for r in got)[5] == 2
 
 
-def test_null_conversation_is_one(spark):
+def test_turns_without_an_id_stand_alone(spark):
     rows = [(None, 0, "user", "a"), (None, 1, "user", "b"), (1, 0, "user", "a")]
-    assert [r[0] for r in result(format_chats(frame(spark, rows)))] == [None]
+    rows += [(None, None, "user", "b"), (None, 3, None, None), (None, 4, "unknown", ""), (2, 0, "user", "c"), (2, 1, "user", "d")]
+    rows += [(None, 5, "user", "c"), (None, 6, "user", "d"), (None, 7, None, None)]
+    got = result(format_chats(frame(spark, rows)))
+    assert got == brute(rows)
+    assert [r[:3] for r in got] == [(None, 1, 1), (None, 1, 2), (None, 1, 2), (None, 1, 1), (1, 1, 2), (2, 2, 1)]
+
+
+def test_sql_takes_the_same_rows(spark):
+    rows = snapshots() + [(None, i % 5, "user", f"loose {i % 3}") for i in range(40)] + [(None, 0, "user", "hi"), (None, 0, None, None)]
+    conversations = frame(spark, rows).select("conv_id", "turn", "role", "text").toPandas()
+    conversations = conversations.astype({"conv_id": "Int64", "turn": "Int64"})
+    got = duckdb.sql(ORACLE["op4_chat_format"]).select("conv_id, n_turns, n_copies, rendered").fetchall()
+    assert len(conversations) == len(rows) and sorted(got, key=order) == result(format_chats(frame(spark, rows)))
+
+
+def test_a_third_of_the_log_without_ids(spark):
+    rows = [(c, i, "user", f"{c} says {i}") for c in range(100) for i in range(20)]
+    rows += [(None, i, "user", f"loose {i % 4}") for i in range(1000)]
+    got = result(format_chats(frame(spark, rows)))
+    assert got == brute(rows) and [r[2] for r in got[:4]] == [250] * 4
 
 
 def test_hot_first_turn_and_long_talk(spark):

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from riskmart.llm import bpe, packing
-from tests.llm.frames import documents, nothing
+from tests.llm.frames import documents, nothing, rows_as_given
 
 FILE = tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -67,6 +67,15 @@ def test_repeated_rows_are_packed_each(spark):
     assert sum(len(r["doc_ids"]) for r in rows.collect()) == 6
 
 
+def test_repeated_and_null_keys_come_back_each(spark):
+    pairs = [(1, "hello world"), (1, "hello world"), (1, "other words"), (None, "no key"), (None, "no key"), (2, "long " * 90), (2, "long " * 90)]
+    docs = rows_as_given(spark, pairs)
+    rows = packing.pack(docs, FILE, tokenizers.PATTERN, row_tokens=16)
+    got = sorted((r["doc_id"] or 0, bytes(r["ids"])) for r in packing.unpack(rows).collect())
+    wanted = {r["text"]: np.array(r["ids"], "<u2").tobytes() for r in bpe.encode(docs.select("doc_id", "text"), FILE, tokenizers.PATTERN).collect()}
+    assert got == sorted((k or 0, wanted[t]) for k, t in pairs)
+
+
 def test_written_matrix(spark, tmp_path):
     rows = packing.pack(documents(spark, ["some text"]), FILE, tokenizers.PATTERN, row_tokens=8)
     packing.write_matrix(rows, str(tmp_path / "rows"))
