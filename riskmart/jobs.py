@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskmart.operators.asof import asof_latest
 from riskmart.operators.stability import score_profile
 from riskmart.plans import datamart, governance, monitoring, quality, training, training_data
 from riskmart.schemas import (
@@ -31,7 +32,7 @@ from riskmart.schemas import (
     text_schema,
 )
 from riskmart.session import tune
-from riskmart.sources import filelog, readers, writers
+from riskmart.sources import filelog, history, readers, writers
 from riskmart.sources.scratch import keep, temporary
 
 REGISTRY_SCHEMA = "model_version string, role string, valid_from timestamp, reason string, sequence bigint"
@@ -232,6 +233,15 @@ def land_month_files(spark: SparkSession, mart: Mart, table: str, folder: str, p
     return land_months(spark, mart, table, f"{folder.rstrip('/')}/{prefix}*.parquet", parse)
 
 
+def due_months(
+    spark: SparkSession, mart: Mart, table: str, source: str, months: Months, rebuild: bool
+) -> tuple[list[dt.date], dict[dt.date, str]]:
+    """Months of ``source`` that ``table`` has not been built from as they are now, and how they all are."""
+    have = set(readers.month_partitions(spark, mart.path(source)))
+    sources = current(spark, mart, source)
+    return stale_months(spark, mart, table, have if months is None else have & set(months), sources, rebuild), sources
+
+
 def build_months(
     spark: SparkSession,
     mart: Mart,
@@ -242,9 +252,7 @@ def build_months(
     rebuild: bool,
 ) -> None:
     """Apply ``plan`` to the partitions of ``source`` that ``table`` has not been built from as they are now."""
-    have = set(readers.month_partitions(spark, mart.path(source)))
-    sources = current(spark, mart, source)
-    todo = stale_months(spark, mart, table, have if months is None else have & set(months), sources, rebuild)
+    todo, sources = due_months(spark, mart, table, source, months, rebuild)
     if not todo:
         return
     rows = readers.in_months(spark.read.parquet(mart.path(source)), todo)
@@ -252,6 +260,27 @@ def build_months(
     mark_finished(spark, mart, table, todo, sources)
 
 
+def build_features(
+    spark: SparkSession, mart: Mart, names: Sequence[str], months: Months = None, rebuild: bool = False
+) -> list[dt.date]:
+    """Build the feature store's due months from visits and the histories ``names``. Returns these months.
+
+    Of a history the latest records carried from the last month built are read, and those that they lack;
+    the whole history only for months before that one. What is carried is then moved on.
+    """
+    todo, sources = due_months(spark, mart, "feature_store", "silver_clickstream", months, rebuild)
+    if not todo:
+        return []
+    visits = readers.in_months(spark.read.parquet(mart.path("silver_clickstream")), todo)
+    parts = [history.History(spark, mart.path(f"silver_{n}"), mart.path(f"latest_{n}"), datamart.encoded_history) for n in names]
+    records = {n: p.records(todo) for n, p in zip(names, parts)}
+    writers.write_months(asof_latest(visits, records) if records else visits, mart.path("feature_store"))
+    mark_finished(spark, mart, "feature_store", todo, sources)
+    for part in parts:
+        part.carry(max(todo))
+    return todo
+
+
 def land_history(
     spark: SparkSession,
     mart: Mart,
@@ -260,25 +289,25 @@ def land_history(
     parse: Callable[[list[str]], DataFrame],
     clean: Callable[[DataFrame], DataFrame],
     rebuild: bool,
-) -> DataFrame:
+) -> None:
     """Parse raw files that are new or have changed, land their dated records that are new, and clean only those."""
     bronze, silver = mart.path(f"bronze_{name}"), mart.path(f"silver_{name}")
-    whole = rebuild or not readers.path_exists(spark, silver)
+    whole = rebuild or not history.landings(spark, silver)
     files = fresh_files(spark, mart, f"bronze_{name}", pattern, whole)
     if whole:
         writers.write_static(parse([f.path for f in files]), bronze)
-        writers.write_static(clean(spark.read.parquet(bronze)), silver)
+        history.land(clean(spark.read.parquet(bronze)), silver, whole=True)
     elif files:
+        readers.settle(spark, bronze)
         known = spark.read.parquet(bronze).select(F.col(CUSTOMER).alias("c"), F.col(MONTH).alias("m"))
         same = F.col(CUSTOMER).eqNullSafe(F.col("c")) & F.col(MONTH).eqNullSafe(F.col("m"))
         with temporary():
             new = keep(parse([f.path for f in files]).join(known, same, "left_anti"), f"new_{name}")
             if not new.isEmpty():
-                writers.append_rows(clean(new), silver)
+                history.land(clean(new), silver)
                 writers.append_rows(new, bronze)
     if files:
         filelog.record(spark, mart.path("landed_files"), f"bronze_{name}", files)
-    return spark.read.parquet(silver)
 
 
 def build_datamart(
@@ -312,17 +341,13 @@ def build_datamart(
         land_month_files(spark, mart, "bronze_clickstream", *raw.clickstream_months)
     build("silver_clickstream", "bronze_clickstream", datamart.silver_clickstream)
 
-    attributes = land_history(
+    land_history(
         spark, mart, "attributes", raw.attributes, extract(RAW_ATTRIBUTE_COLUMNS), datamart.silver_attributes, rebuild
     )
-    financials = land_history(
+    land_history(
         spark, mart, "financials", raw.financials, extract(RAW_FINANCIAL_COLUMNS), datamart.silver_financials, rebuild
     )
-    build(
-        "feature_store",
-        "silver_clickstream",
-        lambda clickstream: datamart.feature_store(clickstream, attributes, financials),
-    )
+    build_features(spark, mart, ("attributes", "financials"), months, rebuild)
 
 
 def profile_months(
@@ -579,8 +604,9 @@ def monitor(spark: SparkSession, mart: Mart, at: Column | None = None, rebuild:
     decision = governance.promotion_decision(monitoring.in_shadow(table, profile, challenger, after))
     if decision.first()["promote"]:
         log = keep(decision.withColumn("promoted_at", at), "promotion")
-        promote(spark, mart, at, "won_consecutive_months")
+        # The log first: a run lost in between finds the challenger still winning and adds no second row.
         writers.append_new(log, mart.path("promotion_log"), ["cohorts"])
+        promote(spark, mart, at, "won_consecutive_months")
 
 
 def run(

@@ -105,6 +105,12 @@ def silver_records(
     return cleaning.clean_numbers(cleaned, rules)
 
 
+def encoded_history(history: DataFrame) -> DataFrame:
+    """Dated records with their categories as codes."""
+    codes = features.encoded_categories(history.columns)
+    return history.select(*[codes.get(c, F.col(c)) for c in history.columns])
+
+
 def feature_store(
     clickstream: DataFrame,
     attributes: DataFrame | None,
@@ -119,8 +125,7 @@ def feature_store(
     histories = {}
     for name, history in (("attributes", attributes), ("financials", financials)):
         if history is not None:
-            codes = features.encoded_categories(history.columns)
-            histories[name] = history.select(*[codes.get(c, F.col(c)) for c in history.columns])
+            histories[name] = encoded_history(history)
     if not histories:
         return clickstream
     return asof_latest(clickstream, histories, tiebreak=tiebreak)

@@ -33,10 +33,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def beside(path: str, mark: str) -> str:
+    """Where a table that replaces the one at ``path``, or was replaced, lies for the time being."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{mark}_{name}"
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish the switch of a table that a lost driver left half done.
+
+    The old table is moved away only when the new one is whole, so the new one takes its place.
+    """
+    old, new, here = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside(path, "old"), beside(path, "new"), path))
+    system = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(old):
+        return
+    if not system.exists(here) and not system.rename(new, here):
+        raise OSError(f"cannot move {new} to {here}")
+    system.delete(old, True)
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame | None:
     """A Parquet table; when it is absent or has no files an empty frame of ``schema``, or None without one."""
+    settle(spark, path)
     if path_exists(spark, path):
         try:
             return spark.read.parquet(path)
@@ -46,15 +67,19 @@ def read_table(
     return None if schema is None else spark.createDataFrame([], schema)
 
 
-def month_partitions(spark: SparkSession, path: str) -> list[dt.date]:
-    """Months a partitioned table holds, from the names of its folders; no file is opened."""
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a table's first partition column, from the names of its folders; no file is opened."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(folder):
         return []
     names = [s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory()]
-    dated = [n.removeprefix(f"{MONTH}=") for n in names if n.startswith(f"{MONTH}=")]
-    return sorted(dt.date.fromisoformat(d) for d in dated if d[:1].isdigit())
+    return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
+
+
+def month_partitions(spark: SparkSession, path: str) -> list[dt.date]:
+    """Months a partitioned table holds, from the names of its folders; no file is opened."""
+    return [dt.date.fromisoformat(d) for d in partition_values(spark, path, MONTH) if d[:1].isdigit()]
 
 
 def latest_month(spark: SparkSession, path: str) -> DataFrame | None:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.schemas import MONTH
-from riskmart.sources.readers import path_exists
+from riskmart.sources.readers import beside, path_exists, settle
 
 # Partition column of tables by model version; its text is never taken for a number.
 VERSION_KEY = "version_key"
@@ -52,11 +52,31 @@ def write_version_months(df: DataFrame, path: str, version: str, month: str = MO
     )
 
 
-def write_static(df: DataFrame, path: str, if_absent: bool = False) -> bool:
-    """Write a whole table; with ``if_absent`` an existing one is kept. Says if it wrote."""
-    if if_absent and path_exists(df.sparkSession, path):
+def switch(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replace what is at ``path`` by what ``write`` puts into the folder it is given.
+
+    The new table is written whole beside the old one and then takes its place by two renames. A driver
+    lost before them leaves the old table; one lost between them leaves a switch that ``settle``
+    finishes. Needs a file system that renames folders at once, such as HDFS or a local one.
+    """
+    settle(spark, path)
+    write(beside(path, "new"))
+    old, new, here = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside(path, "old"), beside(path, "new"), path))
+    system = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(here) and not system.rename(here, old):
+        raise OSError(f"cannot move {here} to {old}")
+    if not system.rename(new, here):
+        raise OSError(f"cannot move {new} to {here}")
+    system.delete(old, True)
+
+
+def write_static(df: DataFrame, path: str, if_absent: bool = False, by: Sequence[str] = ()) -> bool:
+    """Write a whole table, switched in at once; with ``if_absent`` an existing one is kept. Says if it wrote."""
+    spark = df.sparkSession
+    settle(spark, path)
+    if if_absent and path_exists(spark, path):
         return False
-    df.write.mode("overwrite").parquet(path)
+    switch(spark, path, lambda new: df.write.mode("overwrite").partitionBy(*by).parquet(new))
     return True
 
 
@@ -75,5 +95,5 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 
 def write_json_document(df: DataFrame, path: str) -> None:
-    """A small frame as JSON lines, one file."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """A small frame as JSON lines, one file, switched in at once."""
+    switch(df.sparkSession, path, lambda new: df.coalesce(1).write.mode("overwrite").json(new))
