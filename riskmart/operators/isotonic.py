@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def pool(values: list[tuple[float, float, float]]) -> list[tuple[float, float, float, float]]:
-    """Blocks (first, last, target, weight) of ascending (value, target, weight) with rising targets."""
-    blocks: list[tuple[float, float, float, float]] = []
+Block = tuple[float, float, float, float]
+
+
+def pool(values: Iterable[tuple[float, float, float]], blocks: list[Block] | None = None) -> list[Block]:
+    """Blocks (first, last, target, weight) of ascending (value, target, weight) with rising targets.
+
+    Goes on from the ``blocks`` of smaller values, if given, and changes them.
+    """
+    blocks = [] if blocks is None else blocks
     for value, target, weight in values:
         blocks.append((value, value, target, weight))
         while len(blocks) > 1 and blocks[-2][2] >= blocks[-1][2]:
@@ -26,13 +32,16 @@ def pooled_blocks(df: DataFrame, value: str, target: str, weight: str) -> DataFr
     ``df`` has one row per value. It is cut into ranges of the value, and violators are pooled in
     each; a block is given back as its two ends with half the weight each, so the
     steps keep their limits. Pooling is associative: what is pooled in a range would be in the
-    whole. Labels of 0 and 1 leave few blocks, however many rows there are.
+    whole. Labels of 0 and 1 leave few blocks, however many rows there are. A task reads its range batch by
+    batch and holds its blocks only.
     """
 
     def ends(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [r for part in parts for r in part.itertuples(index=False, name=None)]
+        blocks: list[Block] = []
+        for part in parts:
+            pool(part.itertuples(index=False, name=None), blocks)
         out = []
-        for first, last, mean, total in pool(rows):
+        for first, last, mean, total in blocks:
             if first == last:
                 out.append((first, mean, total))
             else:

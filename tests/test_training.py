@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskmart.operators.isotonic import pooled_blocks
+from riskmart.operators.isotonic import pool, pooled_blocks
 from riskmart.plans import preprocessing, training, training_data
 
 
@@ -60,6 +60,14 @@ def test_isotonic_is_monotone_and_keeps_the_mean(spark):
     assert np.mean(values) == pytest.approx(np.mean([r["label"] for r in out]), abs=1e-9)
 
 
+def test_pooling_batch_by_batch_gives_the_same_blocks():
+    rows = [(float(i), float((i * 7) % 11 > 5), 1.0 + i % 3) for i in range(200)]
+    blocks = []
+    for start in range(0, 200, 13):
+        pool(iter(rows[start : start + 13]), blocks)
+    assert blocks == pool(rows) and len(blocks) < 20
+
+
 def test_pooling_in_ranges_changes_no_fit(spark):
     from pyspark.ml.regression import IsotonicRegression
 
