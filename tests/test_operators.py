@@ -14,7 +14,7 @@ from riskmart.operators.asof import asof_latest
 from riskmart.operators.profile import duplicate_rate
 from riskmart.operators.quantiles import exact_percentiles, long_features, moments
 from riskmart.operators.ranking import join_predictions, ranking_metrics
-from riskmart.operators.running import range_of, running_sums, with_range
+from riskmart.operators.running import range_of, running_sums, splitters, with_range
 from riskmart.operators.stability import (
     bin_index,
     covariate_shift,
@@ -103,6 +103,16 @@ def test_ranges_are_monotone(spark):
     assert spark.range(1).select(range_of(F.lit(None).cast("double"), F.array(F.lit(1.0)), 2)).first()[0] == 0
 
 
+def test_ranges_of_rows_are_compiled(spark):
+    """The range of a row is that of ``range_of``, without a function interpreted for every value."""
+    df = spark.createDataFrame([(v,) for v in [*map(float, range(40)), float("inf"), -1.0, 0.5]], "v double")
+    located = with_range(df, [], "v", 6)
+    assert "lambdafunction" not in located._jdf.queryExecution().optimizedPlan().toString()
+    cuts = splitters(df, [], "v", 6).first()["_splitters"]
+    assert all(r["_bucket"] == sum(c <= r["v"] for c in cuts) for r in located.collect())
+    assert located.schema["_bucket"].dataType.typeName() == "long" and not located.schema["_bucket"].nullable
+
+
 def test_running_sums_with_coarse_buckets(spark):
     values = [0.001 * i for i in range(50)] + [float(i) for i in range(1, 40)]
     df = spark.createDataFrame([("g", v, i % 3) for i, v in enumerate(sorted(set(values)))], "g string, v double, n long")
