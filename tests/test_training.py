@@ -188,3 +188,43 @@ def test_drawn_parameters_are_repeatable():
     first = training.draw_parameters(training.BOOSTED_TREE_RANGES, 10, 42)
     assert first == training.draw_parameters(training.BOOSTED_TREE_RANGES, 10, 42)
     assert len({tuple(p.items()) for p in first}) == 10
+
+
+def forest_rows(spark, n=400):
+    rng = random.Random(5)
+    rows = [(i, *(x := [rng.gauss(0, 1), float(rng.randint(0, 9)), rng.random()]), int(x[0] + x[2] > rng.random()), 1) for i in range(n)]
+    df = spark.createDataFrame(rows, f"{training.ROW} long, a double, b double, c double, label int, weight long")
+    return training.assembler(["a", "b", "c"]).transform(df).withColumns({w: F.lit(1.0) for w in ("balanced_weight", "ratio_weight")})
+
+
+def test_forest_walk_equals_the_transform(spark):
+    """Bit for bit, also below a pipeline and on values beyond all thresholds; and no row walks through Spark's trees."""
+    from pyspark.ml import PipelineModel
+
+    df = forest_rows(spark)
+    model = training.random_forest(training.TrainingOptions(forest_trees=21, forest_depth=6)).fit(df)
+    odd = spark.createDataFrame([(v, -v, v) for v in (float("inf"), float("nan"), 1e300, 0.0)], "a double, b double, c double")
+    for frame in (df, training.assembler(["a", "b", "c"]).setHandleInvalid("keep").transform(odd)):
+        both = training.with_probability(model, model.transform(frame), "walked")
+        rows = both.select("walked", training.positive_probability().alias("p")).collect()
+        assert [r["walked"] for r in rows] == [r["p"] for r in rows] and rows
+    piped = training.with_probability(PipelineModel(stages=[training.assembler(["a", "b", "c"]), model]), df.drop("features"), "p")
+    assert "rawPrediction" not in piped.columns and piped.where("p between 0 and 1").count() == 400
+
+
+def test_search_fits_every_draw_once_per_fold(spark):
+    """The metrics of Spark's cross validation, without the fit of the best draw on all rows."""
+    from unittest.mock import patch
+
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.tuning import CrossValidator
+
+    ranges = {"maxIter": [2, 3], "maxDepth": [2], "stepSize": [0.1, 0.5]}
+    options = training.TrainingOptions(search_draws=3, search_folds=2, search_ranges=ranges)
+    df = forest_rows(spark, 200)
+    fits, fit = [], GBTClassifier._fit
+    with patch.object(GBTClassifier, "_fit", lambda self, frame: fits.append(1) or fit(self, frame)):
+        best, results = training.search_boosted_trees(df, options)
+    assert len(fits) == 6
+    with patch.object(training, "PooledSearch", CrossValidator):
+        assert (best, results) == training.search_boosted_trees(df, options)
