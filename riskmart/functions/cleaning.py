@@ -47,10 +47,10 @@ def strip_matches(column: Column, pattern: str) -> Column:
 def to_integer(column: Column) -> Column:
     """Text to int, cutting decimals off; anything but a plain number is null.
 
-    Whole numbers take the plain cast; only other text is rewritten to its whole digits.
+    Whole numbers take the plain cast; only other text with a decimal point is rewritten to its whole digits.
     """
     whole = F.regexp_replace(column, PLAIN_NUMBER, "${sign}0${whole}")
-    return F.coalesce(column.try_cast("int"), whole.try_cast("int"))
+    return F.coalesce(column.try_cast("int"), F.when(F.contains(column, F.lit(".")), whole.try_cast("int")))
 
 
 def to_truncated(column: Column) -> Column:

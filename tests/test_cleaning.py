@@ -28,6 +28,15 @@ def test_to_integer(spark):
     ]
 
 
+def test_only_text_with_a_point_is_rewritten(spark):
+    """What has no decimal point is a whole number for the plain cast, or null: it meets no regular expression."""
+    old = lambda c: F.coalesce(c.try_cast("int"), F.regexp_replace(c, cleaning.PLAIN_NUMBER, "${sign}0${whole}").try_cast("int"))
+    odd = ["", " ", "+", "-", ".", "-.", "\t5\n", "\x0b6\x0c", "+007", "2147483647", "2147483648", "-2147483649.5", "7.", " -8.9\r", "1e2.", "\x01 9", "9\u00a0", "0x1", "5f"]
+    assert apply(spark, odd, cleaning.to_integer) == apply(spark, odd, old)
+    plan = spark.createDataFrame([("1",)], "x string").select(cleaning.to_integer(F.col("x")).alias("y"))
+    assert "CASE WHEN Contains" in plan._jdf.queryExecution().analyzed().toString()
+
+
 def test_na_tokens(spark):
     assert apply(spark, [*NA_TOKENS, "x"], cleaning.na_to_null) == [None] * len(NA_TOKENS) + ["x"]
 
