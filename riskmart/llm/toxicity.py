@@ -5,11 +5,13 @@ that shares can be compared whatever the sizes of the classes and a word of all
 Beyond what ordinary texts make likely, a toxic text counts only if the expression follows a word it did
 not follow before (Kneser-Ney continuation): copies can make an expression more ordinary, never more toxic. With
 ``n`` the count of an expression in a class, ``N`` the sum and ``T`` the number of its
-expressions, ``D`` the discount and ``p`` the share of the expression in both classes together:
+expressions, ``D`` the discount and ``p`` the backoff that both classes share:
 
     P(expression | class) = (max(n - D, 0) + D * T * p) / N
 
-Rare expressions live on the shared ``p`` alone. Where the counts of both classes do not tell them
+For words, the lower order, ``p`` is the Kneser-Ney continuation: the share of a word in the different pairs of both
+classes, so that a word of one phrase has little of it however often it stands. Pairs, the highest order, have their
+share of the counts. Rare expressions live on ``p`` alone. Where the counts of both classes do not tell them
 apart (log-likelihood ratio test, at a level at which one expression of the whole
 vocabulary would pass by chance) an expression is left to the backoff in both classes: its
 ratio is one. A pair that passes stands for its second word.
@@ -162,24 +164,32 @@ def expression_counts(train: DataFrame, text: str) -> DataFrame:
 
 
 def _comparable(counts: DataFrame, total: dict) -> DataFrame:
-    """Counts by texts; ``nt`` beyond what ``no`` makes likely is bounded by the number of different words before."""
+    """Counts by texts; ``nt`` beyond what ``no`` makes likely is bounded by the number of different words before.
+
+    ``before`` is the number of different words before in either class (of pairs: not known in the ordinary one).
+    """
     likely = F.col("do") * (total["nt"] / total["no"])
-    return counts.select("level", "gram", F.least("dt", F.greatest("nt", likely)).alias("nt"), F.col("do").alias("no"))
+    before = F.when(F.col("level") == WORD, F.col("nt") + F.col("no")).alias("before")
+    return counts.select("level", "gram", F.least("dt", F.greatest("nt", likely)).alias("nt"), F.col("do").alias("no"), before)
 
 
-def _ratios(counts: DataFrame, level: int, total: dict, types: dict) -> DataFrame:
-    """The log ratio of every expression of a level that tells the classes apart."""
+def _ratios(counts: DataFrame, level: int, total: dict, types: dict, pairs: int | None = None) -> DataFrame:
+    """The log ratio of every expression of a level that tells the classes apart.
+
+    With ``pairs``, the different pairs of both classes, the backoff is the continuation ``before / pairs``.
+    """
     everything = total["nt"] + total["no"]
     vocabulary = max(types["nt"] + types["no"], 3)
     limit = 2 * math.log(vocabulary) - math.log(math.log(vocabulary)) - math.log(math.pi)
     both = F.col("nt") + F.col("no")
+    backoff = both / everything if pairs is None else F.col("before") / max(pairs, 1)
     log = {}
     fit = F.lit(0.0)
     for c in ("nt", "no"):
         expected = both * (total[c] / everything)
         fit += F.when(F.col(c) > 0, 2 * F.col(c) * F.log(F.col(c) / expected)).otherwise(0.0)
         held = F.greatest(F.col(c) - F.lit(DISCOUNT), F.lit(0.0))
-        log[c] = F.log((held + DISCOUNT * types[c] * both / everything) / total[c])
+        log[c] = F.log((held + DISCOUNT * types[c] * backoff) / total[c])
     return counts.where((F.col("level") == level) & (fit > limit)).select("gram", (log["nt"] - log["no"]).alias("ratio"))
 
 
@@ -187,14 +197,19 @@ def learn(train: DataFrame, text: str = "text") -> DataFrame:
     """``gram`` and ``ratio`` of all telling expressions; ``train`` has ``toxic`` 0 or 1 for each text."""
     counts = keep(expression_counts(train, text), "counts")
     sums = counts.where(f"level = {WORD}").agg(
-        F.sum("dt").alias("dt"), F.sum("do").alias("do"), F.count_if(F.col("dt") > 0).alias("tt"), F.count_if(F.col("do") > 0).alias("to")
+        *[F.sum(c).alias(c) for c in ("nt", "no", "dt", "do")],
+        *[F.count_if(F.col(c) > 0).alias(n) for c, n in (("dt", "tt"), ("do", "to"))],
     )
     words = sums.first()
     pairs = counts.where("level = 0").select("dt", "do", "tt", "to").first()
     if not words["dt"] or not words["do"]:
         return counts.where("false").select("gram", F.lit(0.0).alias("ratio"))
     of = [({"nt": r["dt"], "no": r["do"]}, {"nt": r["tt"], "no": r["to"]}) for r in (words, pairs)]
-    parts = [_ratios(_comparable(counts, total), level, total, types) for level, (total, types) in zip((WORD, PAIR), of, strict=True)]
+    continuations = {WORD: words["nt"] + words["no"], PAIR: None}
+    parts = [
+        _ratios(_comparable(counts, total), level, total, types, continuations[level])
+        for level, (total, types) in zip((WORD, PAIR), of, strict=True)
+    ]
     return parts[0].union(parts[1])
 
 

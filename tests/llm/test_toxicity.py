@@ -98,6 +98,19 @@ def test_the_formula(spark):
     assert math.isclose(got, math.log(toxic / ordinary))
 
 
+def test_the_backoff_of_a_word_is_its_continuation(spark):
+    """Two words with the same counts: the one that follows more different words has more of the backoff."""
+    columns = "level int, gram long, nt long, no long, tt long, to long, dt long, do long"
+    counts = spark.createDataFrame([(1, 7, 30, 40, 0, 0, 30, 2), (1, 8, 30, 1, 0, 0, 30, 2)], columns)
+    total, types = {"nt": 1000, "no": 9000}, {"nt": 400, "no": 2500}
+    rows = toxicity._ratios(toxicity._comparable(counts, total), 1, total, types, 5000).collect()
+    got = {r["gram"]: r["ratio"] for r in rows}
+    for gram, before in ((7, 70), (8, 31)):
+        toxic = (30 - 0.75 + 0.75 * 400 * before / 5000) / 1000
+        ordinary = (2 - 0.75 + 0.75 * 2500 * before / 5000) / 9000
+        assert math.isclose(got[gram], math.log(toxic / ordinary))
+
+
 def _hash(word):
     return int(toxicity._expressions(word)[0].astype(np.int64)[0])
 
