@@ -58,6 +58,21 @@ def test_every_codepoint_splits_alike(codec, known):
         assert codec.encode(text) == known.encode_ordinary(text)
 
 
+def test_later_letters_and_numbers_are_none_to_the_library(codec, known):
+    text = "\U0003edd8\ub000 a\u0558b 1\U00011de01 x\U0003d000"
+    assert codec.encode(text) == known.encode_ordinary(text)
+    assert codec.decode(codec.encode(text)) == text.encode()
+    assert codec.words("\U0003edd8\ub000") == ["\U0003edd8", "\ub000"]
+
+
+def test_classes_are_those_of_the_library():
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        library = tiktoken.Encoding("class", pat_str=f"{name}+", mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
+        known = bytes(library.encode_ordinary(every)).decode()
+        assert "".join(bpe.Codec({}, f"{name}+").words(every)) == known
+
+
 def test_frame(spark, known):
     texts = [None, "", "Hello world", "Hello world", "é" * 3000, "It's 100 %\n\n  ok\t"]
     every = tuple(bpe.RESULT)
