@@ -146,7 +146,7 @@ CTE["report"] = _report_sql()
 def quality_report(spark, folder):
     labels = label_store(spark, folder)
     report = build_report(
-        feature_store(spark, folder), labels, distinct_months(labels), REQUIRED_FEATURE_COLUMNS
+        feature_store(spark, folder), labels, distinct_months(labels), REQUIRED_FEATURE_COLUMNS, one_pass=True
     )
     return report.withColumn("value", F.round("value", 6))
 

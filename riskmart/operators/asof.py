@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.schemas import CUSTOMER, MONTH
 
+# A key has fewer dates than this power of two: Spark's calendar has 3.7 million days.
+DATE_BITS = 22
+
 
 def next_month_start(column: Column) -> Column:
     """First month start that is not before the date."""
@@ -27,6 +30,21 @@ def latest_per_key(
     return df.groupBy(*keys).agg(ranked).select(*keys, "_top._row.*")
 
 
+def search_sizes(dates: Column) -> Column:
+    """Step sizes of a binary search among ``dates``."""
+    powers = F.array(*[F.lit(1 << i) for i in reversed(range(DATE_BITS))])
+    return F.filter(powers, lambda size: size <= F.size(dates))
+
+
+def latest_at(rows: Column, dates: Column, sizes: Column, date: Column) -> Column:
+    """Of ``rows`` that hold from the ascending ``dates`` on, the last one that holds at ``date``."""
+
+    def step(place: Column, size: Column) -> Column:
+        return F.when(F.get(dates, place + size - 1) <= date, place + size).otherwise(place)
+
+    return F.get(rows, F.aggregate(sizes, F.lit(0), step) - 1)
+
+
 def asof_latest(
     visits: DataFrame,
     histories: Mapping[str, DataFrame],
@@ -42,16 +60,13 @@ def asof_latest(
     are not returned. ``monthly`` says that visits are dated on month starts, so the
     records of a month can be reduced to one before anything else happens.
 
-    Visits and records of all histories are first reduced to one row per (key, date):
-    a hot key is combined map-side and its window holds at most one row per date.
-    The only join left has unique keys on its right side, and its left side is a plain
-    shuffle that adaptive execution can split when a key is hot.
+    Records of all histories are first reduced to one row per (key, date), combined map-side,
+    then to one row per key with the records of each history in order of date: at most one per date,
+    however hot the key is. Visits are computed and shuffled once, by key, and look their
+    records up in that row. The join has unique keys on its right side, and both sides are
+    plain shuffles that adaptive execution can split when a key is hot.
     """
-    streams = [
-        visits.where(F.col(key).isNotNull() & F.col(date).isNotNull()).select(
-            F.col(key), F.col(date), F.lit(True).alias("_visit")
-        )
-    ]
+    streams = []
     payloads = {}
     for name, history in histories.items():
         ties = [c for c in tiebreak if c in history.columns]
@@ -67,19 +82,27 @@ def asof_latest(
     moments = (
         reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), streams)
         .groupBy(key, date)
-        .agg(F.max("_visit").alias("_visit"), *[F.max(name).alias(name) for name in histories])
+        .agg(*[F.max(name).alias(name) for name in histories])
     )
-    so_far = Window.partitionBy(key).orderBy(date).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    dated = {name: F.struct(F.col(date).alias("from"), F.col(f"{name}._row").alias("row")) for name in histories}
+    # Grouped by a hash, too: rows that lie by key alone would not be shuffled for the join, and only
+    # two shuffles made for a join are split.
+    known = moments.groupBy(F.hash(key).alias("_hash"), key).agg(
+        *[F.sort_array(F.collect_list(F.when(F.col(n).isNotNull(), r))).alias(n) for n, r in dated.items()]
     )
-    known = (
-        moments.select(
-            key,
-            date,
-            "_visit",
-            *[F.last(name, ignorenulls=True).over(so_far).alias(name) for name in histories],
-        )
-        .where("_visit")
-        .select(key, date, *[F.col(f"{n}._row.{c}").alias(c) for n, cs in payloads.items() for c in cs])
+    timeline = known.select(
+        key,
+        *[
+            F.struct(F.col(f"{n}.row").alias("rows"), F.col(f"{n}.from").alias("dates"), search_sizes(F.col(n)).alias("sizes")).alias(f"_{n}")
+            for n in histories
+        ],
+    )
+    found = visits.join(timeline, key, "left").select(
+        *[F.col(c) for c in visits.columns],
+        *[
+            latest_at(F.col(f"_{n}.rows"), F.col(f"_{n}.dates"), F.col(f"_{n}.sizes"), F.col(date)).alias(f"_{n}")
+            for n in histories
+        ],
     )
-    return visits.join(known, [key, date], "left")
+    others = [c for c in visits.columns if c not in (key, date)]
+    return found.select(key, date, *others, *[F.col(f"_{n}.{c}") for n, cs in payloads.items() for c in cs])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NULL_WARN = 0.30
@@ -46,6 +46,11 @@ def duplicate_rate(df: DataFrame, key: Sequence[str], by: Sequence[str] = ()) ->
     return copies.groupBy(*by).agg(rate.alias("duplicate_rate"))
 
 
+def first_of_key(key: Sequence[str]) -> Column:
+    """True for one row of each key, null being a key."""
+    return F.row_number().over(Window.partitionBy(*key).orderBy(key[-1])) == 1
+
+
 def any_negative_sql(column: str) -> str:
     """True when a value is below 0, as a SQL aggregate; nulls are ignored."""
     return f"coalesce(bool_or(`{column}` < 0), false)"

@@ -280,6 +280,20 @@ def test_asof_takes_whole_records_and_keeps_visits(spark):
     }
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 400])
+def test_asof_finds_each_of_many_dates(spark, n):
+    first = dt.date(2020, 1, 2)
+    records = [("k", first + dt.timedelta(2 * i), i) for i in range(n)]
+    visits = [("k", first + dt.timedelta(i - 1)) for i in range(2 * n + 3)] + [("k", None), (None, first)]
+    v = spark.createDataFrame(visits, "Customer_ID string, snapshot_date date")
+    r = spark.createDataFrame(records, "Customer_ID string, snapshot_date date, value int")
+    got = asof_latest(v, {"r": r, "s": r.withColumnRenamed("value", "other").where("other % 2 = 0")}, monthly=False).collect()
+    assert {(x["snapshot_date"], x["value"], x["other"]) for x in got if x["Customer_ID"] and x["snapshot_date"]} == {
+        (d, *(max((i for _, f, i in records if f <= d and i % m == 0), default=None) for m in (1, 2))) for _, d in visits[:-2]
+    }
+    assert [x["value"] for x in got if not (x["Customer_ID"] and x["snapshot_date"])] == [None, None]
+
+
 def test_duplicate_rate_counts_null_as_a_key(spark):
     df = spark.createDataFrame([(None,), (None,), ("a",), ("b",)], "k string")
     assert duplicate_rate(df, ["k"]).first()["duplicate_rate"] == 0.25

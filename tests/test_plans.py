@@ -104,3 +104,27 @@ def test_labelled_dataset_splits_a_hot_customer(spark, small_skew_threshold):
     out = labelled_dataset(hot_visits(spark), labels)
     assert "skew=true" in executed(out)
     assert out.where("Customer_ID = 'hot'").count() == 20_000
+
+
+def scans(spark, name, table):
+    """How often the query reads a table, by a column only that table has."""
+    column = {"lineitem": "l_orderkey", "orders": "o_orderkey"}[table]
+    return len(re.findall(rf"ReadSchema: struct<[^>]*{column}", planned(QUERIES[name](spark, FOLDER))))
+
+
+@pytest.mark.parametrize("name, times", [("feature_store", 1), ("quality_report", 4)])
+def test_visits_are_computed_once(spark, name, times):
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        assert scans(spark, name, "lineitem") == times
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+
+
+def test_asof_reads_visits_once(spark):
+    visits = spark.range(50).selectExpr("CAST(id % 7 AS STRING) AS Customer_ID", "DATE '2024-01-01' AS snapshot_date", "id AS n")
+    history = spark.createDataFrame([("1", dt.date(2023, 12, 5), 4)], "Customer_ID string, snapshot_date date, value int")
+    out = asof_latest(visits, {"h": history})
+    assert planned(out).count("Range (") == 1
+    assert {(r["Customer_ID"], r["value"]) for r in out.collect()} == {(str(i), 4 if i == 1 else None) for i in range(7)}
