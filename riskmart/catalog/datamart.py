@@ -95,17 +95,26 @@ def label_store(spark, folder):
     return datamart.label_store(silver_loans(spark, folder))
 
 
-def feature_store(spark, folder):
+def store_of(visits, spark, folder):
     return datamart.feature_store(
-        clickstream(spark, folder),
+        visits,
         silver_attributes(spark, folder),
         silver_financials(spark, folder),
         tiebreak=["record_id"],
     )
 
 
+def feature_store(spark, folder):
+    return store_of(clickstream(spark, folder), spark, folder)
+
+
 def labelled(spark, folder):
-    return training_data.labelled_dataset(feature_store(spark, folder), label_store(spark, folder))
+    """Visits meet their labels first: the store attaches columns row by row, and only labelled rows come out."""
+    visits = training_data.labelled_dataset(clickstream(spark, folder), label_store(spark, folder))
+    store = store_of(visits, spark, folder)
+    ends = ["label", "weight"]
+    added = [c for c in store.columns if c not in visits.columns]
+    return store.select(*[c for c in visits.columns if c not in ends], *added, *ends)
 
 
 query("loan_silver", sql_with(LOANS, "SELECT * FROM silver_loans"))(silver_loans)
