@@ -22,6 +22,7 @@ from riskmart.schemas import (
     FINANCIAL_COLUMNS,
     REQUIRED_FEATURE_COLUMNS,
 )
+from riskmart.sources.scratch import keep
 
 STORE_COLUMNS = ["Customer_ID", "snapshot_date", *CLICKSTREAM_COLUMNS, *ATTRIBUTE_COLUMNS, *FINANCIAL_COLUMNS]
 
@@ -165,6 +166,8 @@ def quality_critical_rows(spark, folder):
     """A store without a required column, and label months for which no features were written."""
     labels, features = label_store(spark, folder), feature_store(spark, folder)
     months = distinct_months(labels)
-    report = build_report(features.drop("Age"), labels, months, REQUIRED_FEATURE_COLUMNS)
-    report = report.unionByName(empty_partitions(months, features))
+    report = keep(build_report(features.drop("Age"), labels, months, REQUIRED_FEATURE_COLUMNS, one_pass=True), "report")
+    # The months that features have, from the few rows of the report: the store is not computed again.
+    built = report.where("check = 'row_count'")
+    report = report.unionByName(empty_partitions(months, built))
     return report.where("severity = 'critical'")
