@@ -112,7 +112,7 @@ def scans(spark, name, table):
     return len(re.findall(rf"ReadSchema: struct<[^>]*{column}", planned(QUERIES[name](spark, FOLDER))))
 
 
-@pytest.mark.parametrize("name, times", [("feature_store", 1), ("quality_report", 4), ("labeled_dataset_offset", 2)])
+@pytest.mark.parametrize("name, times", [("feature_store", 1), ("quality_report", 4), ("labeled_dataset_offset", 2), ("quality_critical_rows", 1)])
 def test_visits_are_computed_once(spark, name, times):
     before = spark.conf.get("spark.sql.maxMetadataStringLength")
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
