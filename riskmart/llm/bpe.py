@@ -22,10 +22,12 @@ such as are called like a result, are not touched, results replace columns of th
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,10 @@ LEAF_BYTES = 32
 SHORT_BYTES = 48
 MEMO_ENTRIES = 150_000
 MEMO_CHARACTERS = 64
+WORDS_AT_ONCE = 4096  # their matrices stay in the cache
 _NO_RANK = (1 << 31) - 1
+_NO_PAIR = np.iinfo(np.int64).min
+_MIX = 0x9E3779B97F4A7C15
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -77,6 +82,73 @@ def in_ascii(pattern: str) -> str:
     return "".join(out)
 
 
+# The pattern whose matches ``word_starts`` finds without a search: they cover a text and follow from what its characters are.
+USUAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_SPACE, _LETTER, _NUMBER, _SYMBOL = range(4)
+
+
+@functools.cache
+def character_kinds() -> np.ndarray:
+    """What each code point is to the usual pattern."""
+    every = "".join(map(chr, range(0xD800))) + "\ufffd" * 0x800 + "".join(map(chr, range(0xE000, 0x110000)))
+    kinds = np.full(0x110000, _SYMBOL, np.uint8)
+    for kind, name in ((_SPACE, r"\s"), (_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}")):
+        for m in regex.finditer(f"{name}+", every):
+            kinds[m.start() : m.end()] = kind
+    kinds[_is_later] = _SYMBOL
+    return kinds
+
+
+def _kinds_of(data: np.ndarray) -> np.ndarray:
+    """The kind of each byte's character in UTF-8."""
+    known = character_kinds()
+    kinds = known[:256][data]
+    first = np.flatnonzero(data >= 0xC0)
+    if len(first):
+        size = 2 + (data[first] >= 0xE0) + (data[first] >= 0xF0)
+        code = data[first].astype(np.int64) & (0x7F >> size)
+        places = [np.minimum(first + i, len(data) - 1) for i in range(4)]
+        for i in (1, 2, 3):
+            code = np.where(size > i, code << 6 | data[places[i]] & 0x3F, code)
+        kind = known[np.minimum(code, len(known) - 1)]
+        for i, place in enumerate(places):
+            kinds[place[size > i]] = kind[size > i]
+    return kinds
+
+
+def word_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where the matches of the usual pattern start in the bytes of texts, of which none is empty and ``texts`` has the starts.
+
+    A match is a run of one kind with the space before it. Of spaces before something else the last is a
+    match of its own, or goes with what follows if it is a blank. A quote that starts a match takes an ending with it.
+    """
+    kinds = _kinds_of(data)
+    first = np.zeros(len(data) + 3, bool)  # a text's first byte; what lies after the data belongs to no text
+    first[texts] = first[len(data) :] = True
+    starts = first.copy()
+    starts[1 : len(data)] |= kinds[1:] != kinds[:-1]
+
+    is_space = kinds == _SPACE
+    after = np.flatnonzero(is_space[:-1] & ~is_space[1:]) + 1
+    after = after[~first[after]]
+    last = after - 1
+    for _ in range(3):  # from its last byte to its first
+        last = last - ((data[last] & 0xC0) == 0x80)
+    starts[last] = True
+    starts[after[data[last] == ord(" ")]] = False
+
+    quotes = np.flatnonzero(data == ord("'"))
+    quotes = quotes[starts[quotes] & ~first[quotes + 1]]
+    one, two = data[quotes + 1], data[np.minimum(quotes + 2, len(data) - 1)]
+    short = np.isin(one, list(b"stmd"))
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    long &= ~first[quotes + 2]
+    starts[quotes[short | long] + 1] = False
+    starts[quotes[short] + 2] = True
+    starts[quotes[long] + 3] = True
+    return np.flatnonzero(starts[: len(data)])
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; memos are bounded and hold no text beyond a word."""
 
@@ -92,8 +164,18 @@ class Codec:
             for i in range(1, len(token))
             if token[:i] in ranks and token[i:] in ranks
         }
-        self._pairs = np.array(sorted(pairs), np.int64)
-        self._pair_ranks = np.array([pairs[p] for p in self._pairs.tolist()], np.int64)
+        # A hash table of pairs, at most a quarter full; a pair whose place is taken goes to the next that is free.
+        self._shift = 64 - max(4, (4 * len(pairs)).bit_length())
+        self._pairs = np.full(1 << 64 - self._shift, _NO_PAIR)
+        self._pair_ranks = np.full(len(self._pairs), _NO_RANK)
+        keys, made = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int64)
+        at = self._place(keys)
+        while len(keys):
+            free = self._pairs[at] == _NO_PAIR
+            self._pairs[at[free]] = keys[free]
+            put = self._pairs[at] == keys
+            self._pair_ranks[at[put]] = made[put]
+            keys, made, at = keys[~put], made[~put], at[~put] + 1 & len(self._pairs) - 1
         self._of_byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
         self._of_bytes = np.full(1 << 16, _NO_RANK, np.int64)
         for token, rank in ranks.items():
@@ -111,6 +193,22 @@ class Codec:
         alike = np.where(later, np.uint32(0xFFFD), codes).tobytes().decode("utf-32-le")  # a symbol to both
         return [text[m.start() : m.end()] for m in self.pattern.finditer(alike)]
 
+    def words_of(self, texts: pa.LargeStringArray) -> tuple[pa.BinaryArray, np.ndarray]:
+        """The words of all texts, none null, one after another, and where each text's words start and the last's end."""
+        if self.pattern.pattern != USUAL:
+            each = [self.words(text) for text in texts.to_pylist()]
+            words = pa.array([word.encode() for words in each for word in words], pa.binary())
+            return words, np.cumsum([0, *map(len, each)])
+        borders = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        content = texts.buffers()[2]
+        if borders[0] == borders[-1]:
+            return pa.array([], pa.binary()), np.zeros(len(borders), np.int64)
+        content = content.slice(borders[0], borders[-1] - borders[0])
+        borders = borders - borders[0]
+        starts = word_starts(np.frombuffer(content, np.uint8), borders[:-1][np.diff(borders) > 0])
+        places = pa.py_buffer(np.append(starts, borders[-1]).astype(np.int32))
+        return pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, places, content]), np.searchsorted(starts, borders)
+
     # --- leaves ---------------------------------------------------------------------
 
     def merge(self, data: bytes) -> list[int]:
@@ -153,51 +251,80 @@ class Codec:
             i = after[i]
         return out
 
+    def _place(self, pairs: np.ndarray) -> np.ndarray:
+        return (pairs.astype(np.uint64) * np.uint64(_MIX) >> np.uint64(self._shift)).astype(np.int64)
+
     def _rank_of_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        if not len(self._pairs):
-            return np.full(len(left), _NO_RANK)
-        wanted = left << 32 | right
-        place = np.minimum(np.searchsorted(self._pairs, wanted), len(self._pairs) - 1)
-        return np.where(self._pairs[place] == wanted, self._pair_ranks[place], _NO_RANK)
+        pairs = left << 32 | right
+        at = self._place(pairs)
+        found = self._pairs[at]
+        out = np.where(found == pairs, self._pair_ranks[at], _NO_RANK)
+        more = np.flatnonzero((found != pairs) & (found != _NO_PAIR))
+        while len(more):
+            at[more] = at[more] + 1 & len(self._pairs) - 1
+            found = self._pairs[at[more]]
+            hit = found == pairs[more]
+            out[more[hit]] = self._pair_ranks[at[more[hit]]]
+            more = more[~hit & (found != _NO_PAIR)]
+        return out
+
+    def _merge_block(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of words one after another, and how many each has; a round merges the next pair of every word.
+
+        A column is a word and a row a place in it. Tokens stay at their first byte and know the places before and after;
+        the last row stands for what is outside of a word.
+        """
+        n, width = len(words), max(map(len, words))
+        sizes = np.array([len(w) for w in words])
+        data = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(n, width).T
+        places = np.arange(width + 1)[:, None]
+        inside = places < sizes
+        tokens = np.full((width + 1, n), _NO_RANK)
+        tokens[:width] = self._of_byte[data]
+        tokens[~inside] = _NO_RANK
+        bits = width.bit_length()
+        order = np.full((width + 1, n), _NO_RANK << bits)  # the rank of a place's pair, then the place
+        order[: width - 1] = self._of_bytes[data[:-1].astype(np.uint16) << 8 | data[1:]] << bits
+        order[np.maximum(sizes - 1, 0), np.arange(n)] = _NO_RANK << bits
+        order[~inside] = _NO_RANK << bits
+        order |= places
+        after = np.where(places + 1 < sizes, places + 1, width)
+        before = np.repeat(np.where(places > 0, places - 1, width), n, 1)
+        tokens, order, after, before, inside = (x.ravel() for x in (tokens, order, after, before, inside))
+        while True:
+            least = order.reshape(width + 1, n)[:width].min(0)
+            word = np.flatnonzero(least >> bits != _NO_RANK)
+            if not len(word):
+                break
+            least = least[word]
+            rank, place = least >> bits, least & (1 << bits) - 1
+            here = place * n + word
+            gone = after[here] * n + word
+            right, left = after[gone], before[here]
+            there, back = right * n + word, left * n + word
+            inside[gone] = False
+            order[gone] = _NO_RANK << bits
+            tokens[here], after[here], before[there] = rank, right, place
+            order[here] = self._rank_of_pairs(rank, tokens[there]) << bits | place
+            order[back] = self._rank_of_pairs(tokens[back], rank) << bits | left
+        inside = inside.reshape(width + 1, n).T
+        return tokens.reshape(width + 1, n).T[inside], inside.sum(1)
+
+    def merge_blocks(self, numbers, words: list[bytes]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+        """The words that are not empty by length, in blocks: their numbers, tokens, and how many each has."""
+        lengths = np.array(list(map(len, words)), np.int64)
+        by_length = np.argsort(lengths, kind="stable")[np.count_nonzero(lengths == 0) :].tolist()
+        for start in range(0, len(by_length), WORDS_AT_ONCE):
+            block = by_length[start : start + WORDS_AT_ONCE]
+            yield [numbers[i] for i in block], *self._merge_block([words[i] for i in block])
 
     def merge_many(self, words: list[bytes]) -> list[list[int]]:
-        """``merge`` of many short words at once: each round merges the next pair of every word."""
+        """``merge`` of many short words at once."""
         out: list[list[int]] = [[] for _ in words]
-        sizes = np.array([len(w) for w in words], np.int64)
-        number = np.nonzero(sizes)[0]
-        sizes = sizes[number]
-        data = np.frombuffer(b"".join(words), np.uint8)
-        tokens, ranks = self._of_byte[data], np.full(len(data), _NO_RANK)
-        ranks[:-1] = self._of_bytes[data[:-1].astype(np.uint16) << 8 | data[1:]]
-        ranks[np.cumsum(sizes) - 1] = _NO_RANK  # the last token of a word has no right neighbour
-        while len(number):
-            starts = np.cumsum(sizes) - sizes
-            first = np.minimum.reduceat(ranks << 32 | np.arange(len(ranks)), starts)
-            merges = first >> 32 != _NO_RANK
-            if not merges.all():  # words without a further merge are done
-                stays = np.repeat(merges, sizes)
-                done, end = tokens[~stays].tolist(), np.cumsum(sizes[~merges])
-                for i, start, stop in zip(number[~merges].tolist(), [0, *end.tolist()], end.tolist()):
-                    out[i] = done[start:stop]
-                moved = np.cumsum(stays) - 1
-                number, sizes, tokens, ranks = number[merges], sizes[merges], tokens[stays], ranks[stays]
-                at = moved[(first & 0xFFFFFFFF)[merges]]
-            else:
-                at = first & 0xFFFFFFFF
-            if not len(number):
-                break
-            tokens[at] = ranks[at]
-            ranks[at] = ranks[at + 1]
-            keep = np.ones(len(tokens), bool)
-            keep[at + 1] = False
-            at = at - np.arange(len(at))  # one token has gone from each word before
-            tokens, ranks, sizes = tokens[keep], ranks[keep], sizes - 1
-            ends = np.cumsum(sizes) - 1
-            inner = at < ends
-            ranks[at[inner]] = self._rank_of_pairs(tokens[at[inner]], tokens[at[inner] + 1])
-            ranks[at[~inner]] = _NO_RANK
-            left = at[at > ends - sizes + 1]
-            ranks[left - 1] = self._rank_of_pairs(tokens[left - 1], tokens[left])
+        for numbers, tokens, sizes in self.merge_blocks(range(len(words)), words):
+            ids, ends = tokens.tolist(), np.cumsum(sizes).tolist()
+            for i, first, stop in zip(numbers, [0, *ends], ends):
+                out[i] = ids[first:stop]
         return out
 
     # --- the tree -------------------------------------------------------------------
@@ -292,6 +419,7 @@ class WordMemo(dict):
 
 
 CHARACTERS_AT_ONCE = 2_000_000
+BYTES_AT_ONCE = 4_000_000
 
 
 def by_words(values, find, memo: WordMemo) -> Iterator[list[str]]:
@@ -310,8 +438,76 @@ def by_words(values, find, memo: WordMemo) -> Iterator[list[str]]:
     yield from texts
 
 
+class IdMemo(dict):
+    """The ids of words, given as bytes, in a number type of numpy; emptied when it holds too many."""
+
+    def __init__(self, codec: Codec, kind: str, entries: int):
+        self.codec, self.kind, self.entries = codec, kind, entries
+
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of some different words; short new ones are made in bulk."""
+        if len(self) >= self.entries:
+            self.clear()
+        made = list(map(self.get, words))
+        ranks, short = self.codec.ranks, []
+        for i in [i for i, ids in enumerate(made) if ids is None]:
+            word = words[i]
+            if len(word) <= LEAF_BYTES and word not in ranks:
+                short.append(i)
+            else:
+                made[i] = np.array(self.codec.encode_piece(word), self.kind).tobytes()
+                if len(word) <= MEMO_CHARACTERS:
+                    self[word] = made[i]
+        width = np.dtype(self.kind).itemsize
+        for numbers, tokens, sizes in self.codec.merge_blocks(short, [words[i] for i in short]):
+            ids, ends = tokens.astype(self.kind).tobytes(), (np.cumsum(sizes) * width).tolist()
+            for i, first, stop in zip(numbers, [0, *ends], ends):
+                self[words[i]] = made[i] = ids[first:stop]
+        return made
+
+
+def ids_of_texts(batches: Iterator[pa.RecordBatch], text: str, codec: Codec, memo: IdMemo) -> Iterator[tuple[pa.RecordBatch, Iterator[bytes]]]:
+    """Each batch with the ids of its texts (null: none); a word is looked up once for all its places in some batches."""
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append((batch, batch.column(text).cast(pa.large_string()).fill_null("")))
+        size += waiting[-1][1].nbytes
+        if size >= BYTES_AT_ONCE:
+            yield from _ids_of_batches(waiting, codec, memo)
+            waiting, size = [], 0
+    if waiting:
+        yield from _ids_of_batches(waiting, codec, memo)
+
+
+def _ids_of_batches(batches: list[tuple[pa.RecordBatch, pa.LargeStringArray]], codec: Codec, memo: IdMemo):
+    every = [texts for _, texts in batches]
+    ids = _ids_of(every[0] if len(every) == 1 else pa.concat_arrays(every), codec, memo)
+    for batch, texts in batches:
+        yield batch, islice(ids, len(texts))
+
+
+def _ids_of(texts: pa.LargeStringArray, codec: Codec, memo: IdMemo) -> Iterator[bytes]:
+    start = 0
+    while start < len(texts):
+        borders = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        stop = max(start + 1, int(np.searchsorted(borders, borders[start] + 2 * BYTES_AT_ONCE, "right")) - 1)
+        words, spans = codec.words_of(texts.slice(start, stop - start))
+        start = stop
+        if not len(words):
+            yield from [b""] * (len(spans) - 1)
+            continue
+        places = words.dictionary_encode()
+        known = places.dictionary
+        content, ends = known.buffers()[2].to_pybytes(), np.frombuffer(known.buffers()[1], np.int32)[: len(known) + 1].tolist()
+        forms = memo.of([content[a:b] for a, b in zip(ends, ends[1:])])
+        joined = pa.array(forms, pa.large_binary()).take(places.indices)
+        ids, ends = joined.buffers()[2].to_pybytes(), np.frombuffer(joined.buffers()[1], np.int64)[spans].tolist()
+        yield from (ids[a:b] for a, b in zip(ends, ends[1:]))
+
+
 _codecs: dict[tuple[str, str], Codec] = {}
-_memos: dict[tuple[str, str, str], WordMemo] = {}
+_memos: dict[tuple[str, str], WordMemo] = {}
+_id_memos: dict[tuple[str, str, str], IdMemo] = {}
 
 
 def worker_codec(content: bytes, pattern: str) -> Codec:
@@ -322,17 +518,24 @@ def worker_codec(content: bytes, pattern: str) -> Codec:
     return _codecs[key]
 
 
-def worker_memo(content: bytes, pattern: str, kind: str, entries: int = MEMO_ENTRIES) -> WordMemo:
-    """A memo that the tasks of a Python worker share: ``decimal``, or a number type of numpy."""
-    key = (hashlib.sha256(content).hexdigest(), pattern, kind)
+def worker_memo(content: bytes, pattern: str) -> WordMemo:
+    """A memo of decimal ids that the tasks of a Python worker share."""
+    key = (hashlib.sha256(content).hexdigest(), pattern)
     if key not in _memos:
         codec = worker_codec(content, pattern)
-        ids = range(max(codec.bytes_of, default=0) + 1)
-        form = [b"%d" % i for i in ids] if kind == "decimal" else [np.array(i, kind).tobytes() for i in ids]
-        _memos[key] = WordMemo(codec, form, b"," if kind == "decimal" else b"", entries)
+        form = [b"%d" % i for i in range(max(codec.bytes_of, default=0) + 1)]
+        _memos[key] = WordMemo(codec, form, b",", MEMO_ENTRIES)
     return _memos[key]
 
 
+def worker_id_memo(content: bytes, pattern: str, kind: str, entries: int = MEMO_ENTRIES) -> IdMemo:
+    """A memo of ids in a number type of numpy that the tasks of a Python worker share."""
+    key = (hashlib.sha256(content).hexdigest(), pattern, kind)
+    if key not in _id_memos:
+        _id_memos[key] = IdMemo(worker_codec(content, pattern), kind, entries)
+    return _id_memos[key]
+
+
 def concatenate(parts: list[bytes]) -> bytes:
     """Join decoded parts up a tree."""
     if len(parts) <= 4096:
@@ -370,7 +573,7 @@ def encode(
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, decimal = worker_codec(vocabulary.value, pattern), worker_memo(vocabulary.value, pattern, "decimal")
+        codec, decimal = worker_codec(vocabulary.value, pattern), worker_memo(vocabulary.value, pattern)
         token = {b"%d" % i: t for i, t in codec.bytes_of.items()}
         find = codec.words
         for batch in batches:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskmart.llm.bpe import by_words, worker_codec, worker_memo
+from riskmart.llm.bpe import ids_of_texts, worker_codec, worker_id_memo
 
 ROW_TOKENS = 2048
 BLOCK_TOKENS = 4_000_000
@@ -147,13 +147,11 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, memo = worker_codec(vocabulary.value, pattern), worker_memo(vocabulary.value, pattern, kind, MEMO_ENTRIES)
+        own, memo = worker_codec(vocabulary.value, pattern), worker_id_memo(vocabulary.value, pattern, kind, MEMO_ENTRIES)
         waiting, tokens = [], 0
         number = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            words_of = by_words(batch.column("__text"), own.words, memo)
-            for owner, words in zip(batch.column("__key").to_pylist(), words_of, strict=True):
-                ids = b"".join(map(memo.__getitem__, words))
+        for batch, ids_of in ids_of_texts(batches, "__text", own, memo):
+            for owner, ids in zip(batch.column("__key").to_pylist(), ids_of, strict=True):
                 for piece, start in enumerate(range(0, len(ids), row_tokens * width)):
                     waiting.append((owner, piece, ids[start : start + row_tokens * width], number))
                     tokens += len(waiting[-1][2]) // width

@@ -1,7 +1,10 @@
 import hashlib
 import random
+import time
 
+import numpy as np
 import public_tokenizers as tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -73,6 +76,77 @@ def test_classes_are_those_of_the_library():
         assert "".join(bpe.Codec({}, f"{name}+").words(every)) == known
 
 
+ODD = "aZé中1٣ \n\t 　''stmdrevl!?́\U0003edd8\U0001f600\x1c\x85\r\x00"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=30) | st.text(alphabet=ODD, max_size=30), max_size=12), st.integers(0, 3))
+def test_words_of_all_texts_at_once(codec, texts, skipped):
+    column = pa.array(["left out"] * skipped + texts + [""], pa.large_string()).slice(skipped)
+    words, spans = codec.words_of(column)
+    each = [[w.encode() for w in codec.words(t)] for t in [*texts, ""]]
+    assert words.to_pylist() == [w for ws in each for w in ws]
+    assert np.diff(spans).tolist() == [len(ws) for ws in each]
+
+
+def test_endings_after_a_quote(codec):
+    for text in ("it's", "'s", " 's", "\n's", "''s", "x'", "x'r", "x're", "x'rev", "we'll'd've", "1'm 2'T", "'l", "a'sb'mé", "é'll中"):
+        words, _ = codec.words_of(pa.array([text, "e l"], pa.large_string()))
+        assert words.to_pylist() == [w.encode() for t in (text, "e l") for w in codec.words(t)]
+
+
+def test_another_pattern_is_searched_for():
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256}
+    own = bpe.Codec(ranks, r"[a-z]+")
+    batch = pa.record_batch({"t": ["ab 1 abc", None, "", "1", "é b"]})
+    [(same, ids)] = bpe.ids_of_texts(iter([batch]), "t", own, bpe.IdMemo(own, "<u2", 10))
+    assert [np.frombuffer(i, "<u2").tolist() for i in ids] == [[256, 256, 99], [], [], [], [98]] and same is batch
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.lists(st.none() | st.text(alphabet="abthe '\n1é", max_size=90), max_size=5), max_size=5),
+    st.integers(1, 400),
+    st.integers(1, 60),
+)
+def test_ids_of_batches(codec, known, lists, at_once, entries):
+    batches = [pa.record_batch({"t": pa.array(texts, pa.string())}) for texts in lists]
+    memo, usual = bpe.IdMemo(codec, "<u4", entries), bpe.BYTES_AT_ONCE
+    bpe.BYTES_AT_ONCE = at_once
+    try:
+        got = [[np.frombuffer(i, "<u4").tolist() for i in ids] for _, ids in bpe.ids_of_texts(iter(batches), "t", codec, memo)]
+    finally:
+        bpe.BYTES_AT_ONCE = usual
+    assert got == [[known.encode_ordinary(t or "") for t in texts] for texts in lists]
+
+
+def test_pairs_that_share_a_place():
+    tokens = [bytes([i]) for i in range(256)] + [bytes([i, j]) for i in range(200) for j in range(200)]
+    own = bpe.Codec({t: i for i, t in enumerate(tokens)}, tokenizers.PATTERN)
+    left, right = (x.ravel() for x in np.meshgrid(np.arange(256), np.arange(256), indexing="ij"))
+    wanted = np.where((left < 200) & (right < 200), 256 + 200 * left + right, bpe._NO_RANK)
+    assert (own._rank_of_pairs(left, right) == wanted).all()
+
+
+def test_ids_cost_less_than_a_search_for_words(codec):
+    g = random.Random(5)
+    some = ["".join(g.choices("aeinrst", k=g.randrange(2, 9))) for _ in range(2000)]
+    texts = [" ".join(g.choices(some, k=400)) for _ in range(1000)]
+    batch = pa.record_batch({"t": texts})
+
+    def best(work):
+        took = []
+        for _ in range(3):
+            start = time.process_time()
+            work()
+            took.append(time.process_time() - start)
+        return min(took)
+
+    memo = bpe.IdMemo(codec, "<u2", bpe.MEMO_ENTRIES)
+    ids = best(lambda: [list(ids) for _, ids in bpe.ids_of_texts(iter([batch]), "t", codec, memo)])
+    assert ids < best(lambda: [codec.words(t) for t in texts])
+
+
 def test_frame(spark, known):
     texts = [None, "", "Hello world", "Hello world", "é" * 3000, "It's 100 %\n\n  ok\t"]
     every = tuple(bpe.RESULT)
