@@ -228,3 +228,58 @@ def test_search_fits_every_draw_once_per_fold(spark):
     assert len(fits) == 6
     with patch.object(training, "PooledSearch", CrossValidator):
         assert (best, results) == training.search_boosted_trees(df, options)
+
+
+@pytest.fixture(scope="module")
+def line_items(spark, tmp_path_factory):
+    """6,500 training, 700 test and 800 later rows of the table the model queries read."""
+    folder = tmp_path_factory.mktemp("items")
+    day = F.when(F.col("id") < 6_500, "1996-05-03").when(F.col("id") < 7_200, "1999-05-03").otherwise("2001-05-03")
+    spark.range(8_000).select(
+        F.col("id").alias("l_orderkey"),
+        (F.col("id") * 31 % 977).alias("l_partkey"),
+        (F.col("id") % 7).cast("int").alias("l_linenumber"),
+        (F.col("id") % 50).cast("double").alias("l_quantity"),
+        (F.col("id") * 7919 % 105_000).cast("double").alias("l_extendedprice"),
+        (F.col("id") % 11 / 100).alias("l_discount"),
+        (F.col("id") % 9 / 100).alias("l_tax"),
+        day.cast("date").alias("l_shipdate"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "name, fits",
+    [
+        ("shadow_scoring", ["RandomForestClassifier"]),
+    ],
+)
+def test_ensembles_are_fitted_on_all_training_rows(spark, line_items, name, fits):
+    from unittest.mock import patch
+
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+
+    from riskmart.catalog import QUERIES
+
+    seen = {}
+
+    class Stop(Exception):
+        pass
+
+    def search(frame, options):
+        seen["search"] = frame.select(training.ROW).distinct().count()
+        return {}, []
+
+    def fit(self, frame):
+        seen[type(self).__name__] = frame.count()
+        if type(self).__name__ == fits[-1]:
+            raise Stop
+
+    with (
+        patch.object(training, "search_boosted_trees", search),
+        patch.object(RandomForestClassifier, "_fit", fit),
+        patch.object(GBTClassifier, "_fit", fit),
+        pytest.raises(Stop),
+    ):
+        QUERIES[name](spark, line_items)
+    assert seen == dict.fromkeys(fits, 6_500)
