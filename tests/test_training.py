@@ -252,6 +252,7 @@ def line_items(spark, tmp_path_factory):
     "name, fits",
     [
         ("shadow_scoring", ["RandomForestClassifier"]),
+        ("train_forest", ["RandomForestClassifier"]),
     ],
 )
 def test_ensembles_are_fitted_on_all_training_rows(spark, line_items, name, fits):
