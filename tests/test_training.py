@@ -253,6 +253,7 @@ def line_items(spark, tmp_path_factory):
     [
         ("shadow_scoring", ["RandomForestClassifier"]),
         ("train_forest", ["RandomForestClassifier"]),
+        ("train_boosted_trees", ["GBTClassifier"]),
     ],
 )
 def test_ensembles_are_fitted_on_all_training_rows(spark, line_items, name, fits):
