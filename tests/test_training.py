@@ -251,6 +251,7 @@ def line_items(spark, tmp_path_factory):
 @pytest.mark.parametrize(
     "name, fits",
     [
+        ("train_challenger", ["search", "RandomForestClassifier", "GBTClassifier"]),
         ("shadow_scoring", ["RandomForestClassifier"]),
         ("train_forest", ["RandomForestClassifier"]),
         ("train_boosted_trees", ["GBTClassifier"]),
